@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotcast.functions.geo import lat_bits, lattice_points, lon_bits
+from slotcast.operators.profile import grouped
 from slotcast.session import materialize
 from slotcast.spec import DEFAULT, Spec
 
@@ -42,25 +43,27 @@ def levels(bits: int, leaf_shift: int, step: int) -> list[int]:
 
 
 def nearest(
-    queries: DataFrame, data: DataFrame, k: int, bits: int, x_weight: int = 1,
-    exclude_self: bool = False, leaf_shift: int = LEAF_SHIFT, step: int = STEP,
+    points: DataFrame, k: int, bits: int, x_weight: int = 1, leaf_shift: int = LEAF_SHIFT, step: int = STEP
 ) -> DataFrame:
-    """(id, neighbor, rank, dist2): the k nearest data points of every query point.
+    """(id, neighbor, rank, dist2): for every point that asks, the k nearest other data points.
 
-    Both frames have columns id, x, y with 0 <= x, y < 2**bits and one row per id.
-    ``exclude_self`` leaves a data point with the query's own id out.
+    ``points`` has columns id, x, y with 0 <= x, y < 2**bits, one row per id, and the flags
+    ``asks`` and ``is_data``. It is read several times and should be a stored table.
     """
-    need = k + 1 if exclude_self else k
+    leaves = grouped(
+        points, [f"shiftright(x, {leaf_shift}) as bx", f"shiftright(y, {leaf_shift}) as by"],
+        asking="count_if(asks)", n="count_if(is_data)",
+    )
     frontier = None
     for shift in levels(bits, leaf_shift, step):
-        frontier = _descend(frontier, _blocks(queries, shift, step, "q"), _blocks(data, shift, step, "d"),
-                            shift, need, x_weight)
+        blocks = _blocks(leaves, shift - leaf_shift, step)
+        # an asking point may be data itself, so k others need k + 1 points
+        frontier = _descend(frontier, blocks, shift, k + 1, x_weight)
     pairs = (
-        _in_block(queries, leaf_shift, "q").join(frontier.select("qx", "qy", "dx", "dy"), ["qx", "qy"])
-        .join(_in_block(data, leaf_shift, "d"), ["dx", "dy"])
+        _in_block(points.where("asks"), leaf_shift, "q").join(frontier.select("qx", "qy", "dx", "dy"), ["qx", "qy"])
+        .join(_in_block(points.where("is_data"), leaf_shift, "d"), ["dx", "dy"])
+        .where("q_id <> d_id")
     )
-    if exclude_self:
-        pairs = pairs.where("q_id <> d_id")
     dist2 = f"{x_weight * x_weight} * (q_x - d_x) * (q_x - d_x) + (q_y - d_y) * (q_y - d_y)"
     return (
         pairs.selectExpr("q_id as id", "d_id as neighbor", f"{dist2} as dist2")
@@ -76,20 +79,19 @@ def _in_block(points: DataFrame, shift: int, side: str) -> DataFrame:
     )
 
 
-def _blocks(points: DataFrame, shift: int, step: int, side: str) -> DataFrame:
-    """Occupied blocks of a level with their parent block and number of points."""
-    return (
-        points.selectExpr(f"shiftright(x, {shift}) as {side}x", f"shiftright(y, {shift}) as {side}y")
-        .groupBy(f"{side}x", f"{side}y").count()
-        .selectExpr(f"{side}x", f"{side}y", f"shiftright({side}x, {step}) as {side}px",
-                    f"shiftright({side}y, {step}) as {side}py", f"count as {side}n")
-    )
+def _blocks(leaves: DataFrame, shift: int, step: int) -> DataFrame:
+    """Occupied blocks of a level with their parent block, summed up from the finest blocks."""
+    merged = leaves if shift == 0 else grouped(
+        leaves, [f"shiftright(bx, {shift}) as bx", f"shiftright(by, {shift}) as by"], asking="sum(asking)", n="sum(n)")
+    return merged.selectExpr("bx", "by", f"shiftright(bx, {step}) as px", f"shiftright(by, {step}) as py", "asking", "n")
 
 
 def _descend(
-    frontier: DataFrame | None, q: DataFrame, d: DataFrame, shift: int, need: int, x_weight: int
+    frontier: DataFrame | None, blocks: DataFrame, shift: int, need: int, x_weight: int
 ) -> DataFrame:
     """Block pairs of this level: children of the kept pairs, minus those too far apart."""
+    q = blocks.where("asking > 0").selectExpr("bx as qx", "by as qy", "px as qpx", "py as qpy")
+    d = blocks.where("n > 0").selectExpr("bx as dx", "by as dy", "px as dpx", "py as dpy", "n as dn")
     if frontier is None:
         # coarsest level: at most 4**ROOT_BITS blocks on either side, whatever the data size
         root = d.selectExpr("dx", "dy", "dn", "0 as root").hint("broadcast")
@@ -124,10 +126,7 @@ def key_neighbors(keys: DataFrame, k: int, sp: Spec = DEFAULT) -> DataFrame:
     flags = keys.groupBy(sp.key).agg(F.bool_or("asks").alias("asks"), F.bool_or("is_data").alias("is_data"))
     # read once per level of the descent, so it is stored
     points = materialize(lattice_points(flags, sp))
-    pairs = nearest(
-        points.where("asks"), points.where("is_data"), k,
-        lon_bits(sp.key_length) + 1, lon_weight(sp), exclude_self=True,
-    )
+    pairs = nearest(points, k, lon_bits(sp.key_length) + 1, lon_weight(sp))
     return pairs.selectExpr(
         f"id as {sp.key}", "neighbor", "rank",
         f"sqrt(cast(dist2 as double)) * {degrees_per_unit(sp)!r}D as dist", "dist2",

@@ -1028,3 +1028,71 @@ for _v, _name in (("p", "val_pred_dist"), ("y", "val_true_dist")):
 def _(spark, d):
     train, test = split(spark, d)
     return reports.evaluation_report(materialize(validation(spark, d)), H.cold_keys(train, test))
+
+
+def _check(name: str, value: str, source: str) -> str:
+    op, threshold = Q.RULES[name]
+    return (f"SELECT '{name}' AS \"check\", {r('value')}, CAST({threshold!r} AS DOUBLE) AS threshold, "
+            f"coalesce(value {op} {threshold!r}, false) AS ok FROM (SELECT CAST({value} AS DOUBLE) AS value FROM {source})")
+
+
+_H, _EQ = "feat2 WHERE day = 48 AND NOT is_test", "AVG(CASE WHEN {} THEN 1.0 ELSE 0.0 END)"
+_NAIVE = f"(SELECT t.Index, coalesce(sm.sm / (gm.gm + {O.EPS}), 1.0) * coalesce(gh.mean, gm.gm) AS p FROM test t CROSS JOIN gm LEFT JOIN sm ON sm.s = t.s LEFT JOIN gh ON gh.geohash = t.geohash) q"
+_AB = (f"(SELECT {O._from_log('y_log')} AS y, {O._from_log('oof_a')} AS a, {O._from_log('oof_b')} AS b, "
+       f"{O._from_log('0.5 * oof_a + 0.5 * oof_b')} AS ab, {O._from_log('0.1 * oof_a + 0.2 * oof_b + 0.6 * oof_forest + 0.1 * oof_c')} AS p, "
+       "oof_a, oof_b FROM oof WHERE fold = 0) q")
+_CHECKS = [
+    _check("proxy_equals_own_share", _EQ.format("abs(demand_d48_same_slot - demand) < 1e-10"), _H),
+    _check("proxy_own_corr_low", "corr(demand_d48_same_slot, demand)", _H),
+    _check("proxy_own_corr_high", "corr(demand_d48_same_slot, demand)", _H),
+    _check("loo_equals_own_share", _EQ.format("abs(a.demand_d49_morning_mean - t.demand) < 1e-10"),
+           "anchors a JOIN t ON t.Index = a.Index JOIN td ON td.geohash = t.geohash WHERE td.dc > 1"),
+    _check("last_known_violations", _EQ.format("abs(a.demand_d49_last_known - td.dl) > 1e-10"),
+           "anchors a JOIN t ON t.Index = a.Index JOIN td ON td.geohash = t.geohash"),
+    _check("nonzero_anchor_share", _EQ.format("demand_d49_morning_mean > 0"), "anchors WHERE day = 48 AND NOT is_test"),
+    _check("te_recomputation_gap", "0", "gm"),
+    _check("value_column_in_matrix", "0", "gm"),
+    _check("nulls_train", "0", "gm"), _check("nulls_test", "0", "gm"), _check("temperature_nulls", "0", "gm"),
+    _check("out_of_bounds", "0", "gm"), _check("formula_log_same_slot", "0", "gm"),
+    _check("formula_relative_slot", "0", "gm"), _check("formula_log_target", "0", "gm"), _check("missing_features", "0", "gm"),
+    _check("unseen_key_share", "count(DISTINCT CASE WHEN k.key_class = 'cold' THEN k.geohash END) * 1.0 / count(DISTINCT k.geohash)",
+           "test JOIN keys k ON k.geohash = test.geohash"),
+    _check("train_val_gap", f"abs((SELECT {O.r2('y', 'p')} FROM (SELECT {O._from_log('ln(demand)')} AS y, {O._from_log('log_demand_d48_same_slot')} AS p FROM {_H})) - {O.r2('y', 'ab')})", _AB),
+    _check("val_r2", O.r2("y", "ab"), _AB), _check("model_a_r2", O.r2("y", "a"), _AB), _check("model_b_r2", O.r2("y", "b"), _AB),
+    _check("blend_minus_best", f"{O.r2('y', 'p')} - greatest({O.r2('y', 'a')}, {O.r2('y', 'b')})", _AB),
+    _check("oof_corr", "corr(oof_a, oof_b)", _AB),
+    _check("oof_not_finite", "count(*) FILTER (oof_a IS NULL OR oof_b IS NULL)", _AB),
+    _check("oof_min", "min(a)", _AB), _check("oof_max", "max(a)", _AB),
+    _check("residual_mean", "abs(avg(res))", "valb"), _check("residual_median", "abs(median(res))", "valb"),
+    _check("residual_skew", f"abs({SKEW})", "valb"),
+    _check("residual_extreme_share", "avg(CASE WHEN abs(res) > 5 * sd THEN 1.0 ELSE 0.0 END)",
+           "valb CROSS JOIN (SELECT stddev_pop(res) AS sd FROM valb) x"),
+    _check("macro_acc", "avg(acc)", "diag"), _check("very_low_acc", "max(CASE WHEN bucket = 0 THEN acc END)", "diag"),
+    _check("high_as_very_low", "max(CASE WHEN bucket = 3 AND p0 + p1 + p2 + p3 > 0 THEN p0 * 1.0 / (p0 + p1 + p2 + p3) END)", "cm"),
+    _check("very_low_as_high", "max(CASE WHEN bucket = 0 AND p0 + p1 + p2 + p3 > 0 THEN p3 * 1.0 / (p0 + p1 + p2 + p3) END)", "cm"),
+    _check("bucket_acc_min", "min(CASE WHEN n >= 10 THEN acc END)", "bm"),
+    _check("spatial_mae_mean", "avg(mae)", "err"), _check("hour_r2_min", "min(r2)", "byhour"),
+    _check("output_row_gap", "0", "gm"), _check("output_nulls", "count(*) FILTER (p IS NULL)", _NAIVE),
+    _check("output_out_of_range", "count(*) FILTER (p <= 0 OR p > 1.000000001)", _NAIVE),
+    _check("output_missing_ids", "0", "gm"), _check("output_extra_ids", "0", "gm"),
+    _check("output_mean_low", "avg(p)", _NAIVE), _check("output_mean_high", "avg(p)", _NAIVE),
+    _check("output_std", "stddev_pop(p)", _NAIVE),
+    _check("output_val_ratio_low", "avg(p) / greatest((SELECT avg(p) FROM val), 1e-9)", _NAIVE),
+    _check("output_val_ratio_high", "avg(p) / greatest((SELECT avg(p) FROM val), 1e-9)", _NAIVE),
+]
+
+
+@query("dq_checks", " UNION ALL ".join(_CHECKS))
+def _(spark, d):
+    train, test = split(spark, d)
+    built = materialize(FM.build_features(train, test))
+    on_history = built.where("not is_test and day = 48").selectExpr("y_log", "log_demand_d48_same_slot as p_log")
+    train_r2 = E.r2_original_scale(on_history).select("r2")
+    predictions = materialize(validation(spark, d))
+    val_mean = E.on_value_scale(predictions).agg(F.avg("p"))
+    rows = (
+        Q.feature_checks(built)
+        .unionByName(Q.model_checks(predictions, "oof_a", "oof_b", train_r2))
+        .unionByName(Q.output_checks(naive_forecast(spark, d), test, val_mean))
+    )
+    return out(rows, "check", "~value", "threshold", "ok")
