@@ -19,9 +19,9 @@ from slotcast.session import materialize
 from slotcast.spec import DEFAULT, Spec
 
 LEAF_SHIFT = 3
-STEP = 3
+STEP = 4
 # The descent starts at the coarsest level with at most 2**ROOT_BITS blocks per axis.
-ROOT_BITS = 4
+ROOT_BITS = 5
 
 
 def degrees_per_unit(sp: Spec = DEFAULT) -> float:
@@ -50,15 +50,12 @@ def nearest(
     ``points`` has columns id, x, y with 0 <= x, y < 2**bits, one row per id, and the flags
     ``asks`` and ``is_data``. It is read several times and should be a stored table.
     """
-    leaves = grouped(
-        points, [f"shiftright(x, {leaf_shift}) as bx", f"shiftright(y, {leaf_shift}) as by"],
-        asking="count_if(asks)", n="count_if(is_data)",
-    )
+    shifts = levels(bits, leaf_shift, step)
+    blocks = materialize(_blocks(points, shifts, step))
     frontier = None
-    for shift in levels(bits, leaf_shift, step):
-        blocks = _blocks(leaves, shift - leaf_shift, step)
+    for shift in shifts:
         # an asking point may be data itself, so k others need k + 1 points
-        frontier = _descend(frontier, blocks, shift, k + 1, x_weight)
+        frontier = _descend(frontier, blocks.where(f"shift = {shift}"), shift, k + 1, x_weight)
     pairs = (
         _in_block(points.where("asks"), leaf_shift, "q").join(frontier.select("qx", "qy", "dx", "dy"), ["qx", "qy"])
         .join(_in_block(points.where("is_data"), leaf_shift, "d"), ["dx", "dy"])
@@ -79,11 +76,18 @@ def _in_block(points: DataFrame, shift: int, side: str) -> DataFrame:
     )
 
 
-def _blocks(leaves: DataFrame, shift: int, step: int) -> DataFrame:
-    """Occupied blocks of a level with their parent block, summed up from the finest blocks."""
-    merged = leaves if shift == 0 else grouped(
-        leaves, [f"shiftright(bx, {shift}) as bx", f"shiftright(by, {shift}) as by"], asking="sum(asking)", n="sum(n)")
-    return merged.selectExpr("bx", "by", f"shiftright(bx, {step}) as px", f"shiftright(by, {step}) as py", "asking", "n")
+def _blocks(points: DataFrame, shifts: list[int], step: int) -> DataFrame:
+    """Occupied blocks of every level with their parent and how many points ask and are data.
+
+    Points are first summed into the finest blocks, which then count for all levels at once.
+    """
+    finest = shifts[-1]
+    leaves = grouped(points, [f"shiftright(x, {finest}) as lx", f"shiftright(y, {finest}) as ly"],
+                     asking="count_if(asks)", n="count_if(is_data)")
+    every = leaves.selectExpr("*", f"explode(array({', '.join(map(str, shifts))})) as shift")
+    merged = grouped(every, ["shift", f"shiftright(lx, shift - {finest}) as bx", f"shiftright(ly, shift - {finest}) as by"],
+                     asking="sum(asking)", n="sum(n)")
+    return merged.selectExpr("*", f"shiftright(bx, {step}) as px", f"shiftright(by, {step}) as py")
 
 
 def _descend(
