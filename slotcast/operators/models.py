@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotcast import spec as S
+from slotcast.functions.scalar import to_number
 from slotcast.operators.categories import fit_codes
 from slotcast.operators.encoding import foldsafe_te
 from slotcast.operators.evaluate import model_r2, on_value_scale, r2
@@ -81,7 +82,9 @@ def _estimators(p: ModelParams, rounds: dict[str, int], validation: str | None)
 
 def _prepare(rows: DataFrame, labelled: DataFrame, codes: StringIndexerModel, p: ModelParams, sp: Spec) -> DataFrame:
     with_key = foldsafe_te(labelled, rows, [sp.key], "y_log", 1, p.key_smoothing, "key_code")
-    return codes.transform(with_key)
+    numeric = with_key.selectExpr(*[
+        f"{to_number(c)} as {c}" if c in S.NUMERIC_FEATURES and c != sp.hour else c for c in with_key.columns])
+    return codes.transform(numeric)
 
 
 def _assemble(df: DataFrame, columns: list[str], out: str = "features") -> DataFrame:
