@@ -31,14 +31,18 @@ def exact_quantiles(
     group_limit: int = GROUP_LIMIT,
     bins: int = BINS,
     counts: DataFrame | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """``by`` columns plus one linearly interpolated quantile per entry of ``probs``.
 
     ``counts`` (the ``by`` columns and ``_n``, non-null values per group) saves the pass
-    that looks for large groups where the sizes are known already.
+    that looks for large groups where the sizes are known already, ``largest`` (no group
+    has more rows) also the look at them.
     """
     by = list(by)
     rows = df.select(*by, F.col(value).cast("double").alias("_v")).where("_v is not null")
+    if largest is not None and largest <= group_limit:
+        return _builtin(rows, by, probs)
     sizes = rows.groupBy(*by).agg(F.count("*").alias("_n")) if counts is None else counts.select(*by, "_n")
     large = sizes.where(F.col("_n") > group_limit)
     n_large = large.count()

@@ -10,16 +10,18 @@ from slotcast.spec import DEFAULT, Spec
 
 
 def median_levels(
-    train: DataFrame, column: str, sp: Spec = DEFAULT, counts: DataFrame | None = None, **limits: int
+    train: DataFrame, column: str, sp: Spec = DEFAULT, counts: DataFrame | None = None,
+    n_rows: int | None = None, **limits: int,
 ) -> dict[str, DataFrame]:
     """Exact medians of the training rows by (key, hour), by key and overall.
 
-    ``counts`` holds (key, hour, _n) with the non-null values of ``column`` per group.
+    ``counts`` holds (key, hour, _n) with the non-null values of ``column`` per group,
+    ``n_rows`` is an upper bound of all of them; both save looking for large groups.
     """
 
     def level(by: list[str]) -> DataFrame:
         sizes = None if counts is None else counts.groupBy(*by).agg(F.sum("_n").alias("_n"))
-        return exact_quantiles(train, by, column, {"median": 0.5}, counts=sizes, **limits)
+        return exact_quantiles(train, by, column, {"median": 0.5}, counts=sizes, largest=n_rows, **limits)
 
     return {"key_hour": level([sp.key, sp.hour]), "key": level([sp.key]), "global": level([])}
 

@@ -97,9 +97,10 @@ def _descend(
     q = blocks.where("asking > 0").selectExpr("bx as qx", "by as qy", "px as qpx", "py as qpy")
     d = blocks.where("n > 0").selectExpr("bx as dx", "by as dy", "px as dpx", "py as dpy", "n as dn")
     if frontier is None:
-        # coarsest level: at most 4**ROOT_BITS blocks on either side, whatever the data size
-        root = d.selectExpr("dx", "dy", "dn", "0 as root").hint("broadcast")
-        pairs = q.selectExpr("qx", "qy", "0 as root").join(root, "root").selectExpr("*", "cast(null as bigint) as reach")
+        # coarsest level: all blocks have the one root as parent, at most 4**ROOT_BITS blocks on either side
+        q = q.selectExpr("qx", "qy", f"shiftright(qx, {ROOT_BITS}) as root")
+        d = d.selectExpr("dx", "dy", "dn", f"shiftright(dx, {ROOT_BITS}) as root")
+        pairs = q.join(d.hint("broadcast"), "root").selectExpr("*", "cast(null as bigint) as reach")
     else:
         parents = frontier.selectExpr("qx as qpx", "qy as qpy", "dx as dpx", "dy as dpy", "reach")
         pairs = parents.join(q, ["qpx", "qpy"]).join(d, ["dpx", "dpy"])

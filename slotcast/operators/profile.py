@@ -125,9 +125,11 @@ def cluster_slot_mean(
 
 
 def entity_quantiles(
-    rows: DataFrame, sp: Spec = DEFAULT, counts: DataFrame | None = None, **limits: int
+    rows: DataFrame, sp: Spec = DEFAULT, counts: DataFrame | None = None, largest: int | None = None, **limits: int
 ) -> DataFrame:
-    return exact_quantiles(rows, [sp.key], sp.value, {"p10": 0.1, "p90": 0.9}, counts=counts, **limits)
+    """Exact 10th and 90th percentile of the value per key."""
+    probs = {"p10": 0.1, "p90": 0.9}
+    return exact_quantiles(rows, [sp.key], sp.value, probs, counts=counts, largest=largest, **limits)
 
 
 # --- windows over a key's profile -------------------------------------------------------

@@ -77,6 +77,7 @@ def build_features(
     history = P.on_day(train, sp.history_day, sp)
     hour = X.hour_of_slot(sp.slot)
 
+    n_rows = P.grouped(grid.where("not is_test"), [], n="sum(greatest(n, n_Temperature))").first()["n"]
     on_target = f"not is_test and {sp.day} = {sp.target_day} and n > 0"
     keys = H.key_classes(
         grid, sp,
@@ -92,11 +93,11 @@ def build_features(
     px_te = E.encodings_by_fold(px_totals, ["_px"], 1, prior, sp.te_smoothing, "te_prefix")
 
     sizes = P.grouped(grid.where("not is_test"), [sp.key, f"{hour} as {sp.hour}"], _n="sum(n_Temperature)")
-    medians = median_levels(train, "Temperature", sp, counts=sizes, **limits)
+    medians = median_levels(train, "Temperature", sp, counts=sizes, n_rows=n_rows, **limits)
     by_hour = P.grouped(medians["key_hour"], [sp.key], temp_hours=P.entries("median", sp.hour))
 
     wide = (
-        H.entities(history, prof, keys, H.needs_of(cell_features, sp), sp, **limits)
+        H.entities(history, prof, keys, H.needs_of(cell_features, sp), sp, n_rows=n_rows, **limits)
         .join(key_encodings(totals, prior, sp), sp.key, "left")
         .selectExpr("*", f"substring({sp.key}, 1, 4) as _px").join(px_te, "_px", "left").drop("_px")
         .join(by_hour, sp.key, "left")
@@ -108,10 +109,10 @@ def build_features(
     if clusters is not None:
         wide = wide.join(clusters.select(sp.key, "geohash_cluster"), sp.key, "left")
         keep.append("geohash_cluster")
-    wide = materialize(geo.with_lat_lon(wide, sp.key))
+    wide = materialize(geo.with_lat_lon(wide, sp.key), sp.key)
     cell = H.cells(wide, prof, cell_features, sp, keep=keep)
 
-    out = H.row_features(rows.join(cell, [sp.key, sp.slot], "left"), sp)
+    out = H.row_features(H.join_cells(rows, cell, sp), sp)
     out = encode_row(anchor_columns(out, day_overall, sp), sp)
     return (
         out.withColumn("Temperature", F.coalesce("Temperature", "temp_fill", medians["global"].scalar()))

@@ -210,15 +210,19 @@ def cell_features(sp: Spec = DEFAULT) -> dict[str, tuple[str, set[str]]]:
 # --- cells ----------------------------------------------------------------------------
 
 def entities(
-    history: DataFrame, prof: DataFrame, keys: DataFrame, needs: set[str], sp: Spec = DEFAULT, **limits: int
+    history: DataFrame, prof: DataFrame, keys: DataFrame, needs: set[str], sp: Spec = DEFAULT,
+    n_rows: int | None = None, **limits: int,
 ) -> DataFrame:
-    """One wide row per key with the tables named in ``needs``."""
+    """One wide row per key with the tables named in ``needs``.
+
+    ``n_rows``, an upper bound of the history rows, saves looking for keys with very many.
+    """
     out = keys
     if needs & {"profile", "stats", "dynamics"}:
         out = out.join(P.key_table(prof, sp).drop("n"), sp.key, "left")
     if "quantiles" in needs:
         sizes = P.grouped(prof, [sp.key], _n="sum(n)")
-        out = out.join(P.entity_quantiles(history, sp, counts=sizes, **limits), sp.key, "left")
+        out = out.join(P.entity_quantiles(history, sp, counts=sizes, largest=n_rows, **limits), sp.key, "left")
     if "hours" in needs:
         out = out.join(hour_maps(prof, sp), sp.key, "left")
     for length in (5, 4):
@@ -263,8 +267,15 @@ def attach_cell_features(
     needs = needs_of(features, sp)
     wide = entities(history, prof, key_classes(grid, sp), needs, sp, **limits)
     if len(needs) > 3:
-        wide = materialize(wide)
-    return rows.join(cells(wide, prof, features, sp, keep=["key_class"]), [sp.key, sp.slot], "left")
+        wide = materialize(wide, sp.key)
+    return join_cells(rows, cells(wide, prof, features, sp, keep=["key_class"]), sp)
+
+
+def join_cells(rows: DataFrame, cell: DataFrame, sp: Spec = DEFAULT) -> DataFrame:
+    """Rows with their cell. A merge join: the planner cannot see how much the explode adds to
+    the size of the cells, and splits of a skewed key work on this kind of join.
+    """
+    return rows.join(cell.hint("merge"), [sp.key, sp.slot], "left")
 
 
 # --- row-level features -----------------------------------------------------------------

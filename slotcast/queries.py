@@ -60,6 +60,10 @@ def split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return V.labelled(spark, d), V.unlabelled(spark, d)
 
 
+def stored(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return V.stored(spark, d)
+
+
 def history_rows(spark: SparkSession, d: str) -> DataFrame:
     return P.on_day(V.labelled(spark, d), 48)
 
@@ -69,8 +73,7 @@ def profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def attached(spark: SparkSession, d: str, *features: str) -> DataFrame:
-    train, test = split(spark, d)
-    return H.attach_cell_features(train, test, list(features))
+    return H.attach_cell_features(*stored(spark, d), list(features))
 
 
 ROWS = "Index, geohash, s AS minute_of_day"
@@ -123,8 +126,9 @@ WEIGHTS = {"oof_a": 0.1, "oof_b": 0.2, "oof_forest": 0.6, "oof_c": 0.1}
 
 def oof(spark: SparkSession, d: str) -> DataFrame:
     """Deterministic stand-ins for model outputs: four history lookups on the log scale."""
-    rows = attached(spark, d, "profile_or_slot", "demand_d48_expected", "demand_d48_geohash_mean",
-                    "hour_mean", "hour_fallback")
+    train, test = split(spark, d)
+    features = ["profile_or_slot", "demand_d48_expected", "demand_d48_geohash_mean", "hour_mean", "hour_fallback"]
+    rows = H.attach_cell_features(train, test.where("false"), features)
     models = {"oof_a": "profile_or_slot", "oof_b": "demand_d48_expected", "oof_forest": "demand_d48_geohash_mean",
               "oof_c": "coalesce(hour_mean, hour_fallback)"}
     return (
@@ -494,7 +498,7 @@ def _(spark, d):
 
 @query("impute_temperature", f"SELECT Index, {r('Temperature')} FROM temp")
 def _(spark, d):
-    train, test = split(spark, d)
+    train, test = stored(spark, d)
     return out(impute.impute_median(train, H.stack_rows(train, test), "Temperature"), "Index", "~Temperature")
 
 
@@ -885,7 +889,7 @@ QUICK = M.ModelParams(boosting_rounds=5, min_final_rounds=5, step=0.1, forest_tr
 
 
 def trained(spark: SparkSession, d: str, refit: bool = False) -> M.Trained:
-    train, test = split(spark, d)
+    train, test = stored(spark, d)
     return M.train_ensemble(FM.build_features(train, test), QUICK, refit=refit)
 
 
@@ -931,13 +935,13 @@ HISTORY = [*H.HISTORY_COLUMNS, "demand_d48_same_slot", "demand_d48_gh_hour_mean"
 
 @query("history_features", f"SELECT Index, {rr(*HISTORY)} FROM feat2 WHERE day = 48 AND NOT is_test")
 def _(spark, d):
-    rows = H.history_features(*split(spark, d)).where("not is_test and day = 48")
+    rows = H.history_features(*stored(spark, d)).where("not is_test and day = 48")
     return out(rows, "Index", *[f"~{c}" for c in HISTORY])
 
 
 @query("history_features_all", f"SELECT Index, is_test, {rr(*HISTORY)} FROM feat2")
 def _(spark, d):
-    return out(H.history_features(*split(spark, d)), "Index", "is_test", *[f"~{c}" for c in HISTORY])
+    return out(H.history_features(*stored(spark, d)), "Index", "is_test", *[f"~{c}" for c in HISTORY])
 
 
 def row_query(name: str, column: str, cells: list[str]) -> None:
@@ -998,7 +1002,7 @@ def _matrix_column(c: str) -> str:
     JOIN anchors an ON an.Index = f.Index JOIN te_k k ON k.Index = f.Index JOIN te_px p ON p.Index = f.Index
     JOIN te_kh kh ON kh.Index = f.Index""")
 def _(spark, d):
-    matrix = FM.feature_matrix(FM.build_features(*split(spark, d)))
+    matrix = FM.feature_matrix(FM.build_features(*stored(spark, d)))
     numeric = [c if c in WHOLE else f"~{c}" for c in S.NUMERIC_FEATURES]
     return out(matrix, "Index", "is_test", "fold", "geohash", "RoadType", "Weather", *numeric)
 
@@ -1084,7 +1088,7 @@ _CHECKS = [
 
 @query("dq_checks", " UNION ALL ".join(_CHECKS))
 def _(spark, d):
-    train, test = split(spark, d)
+    train, test = stored(spark, d)
     built = materialize(FM.build_features(train, test))
     on_history = built.where("not is_test and day = 48").selectExpr("y_log", "log_demand_d48_same_slot as p_log")
     train_r2 = E.r2_original_scale(on_history).select("r2")

@@ -54,12 +54,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, *by: str) -> DataFrame:
     """Compute once, store as a table in the shared folder and continue from the stored rows.
 
+    ``by`` spreads the rows by these columns first, for tables whose few, wide rows are
+    expensive to work on.
+
     Later plans start from the files: short lineage, column pruning and known sizes, and
     nothing to recompute when an executor is lost.
     """
     path = scratch_path(df.sparkSession, "table")
+    if by:
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

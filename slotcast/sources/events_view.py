@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from slotcast.functions.geo import ALPHABET
+from slotcast.session import materialize
 from slotcast.sources.tables import with_time
 
 
@@ -56,9 +57,23 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training rows with parsed time columns."""
-    return with_time(observations(spark, sf_dir).where("split = 'train'").drop("key_class", "split"))
+    return _labelled(observations(spark, sf_dir))
 
 
 def unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows to predict: the value column is not part of them."""
-    return with_time(observations(spark, sf_dir).where("split = 'test'").drop("key_class", "split", "demand"))
+    return _unlabelled(observations(spark, sf_dir))
+
+
+def stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both, read from one stored observation table; for dataflows that scan the rows several times."""
+    rows = materialize(observations(spark, sf_dir).drop("key_class"))
+    return _labelled(rows), _unlabelled(rows)
+
+
+def _labelled(rows: DataFrame) -> DataFrame:
+    return with_time(rows.where("split = 'train'").drop("key_class", "split"))
+
+
+def _unlabelled(rows: DataFrame) -> DataFrame:
+    return with_time(rows.where("split = 'test'").drop("key_class", "split", "demand"))

@@ -18,7 +18,10 @@ def test_registry_is_complete():
 
 @pytest.mark.parametrize("name", WITH_SQL)
 def test_query_matches_sql(spark, duck, sf_dir, name):
-    rows = entry.queries()[name](spark, sf_dir).toPandas()
+    df = entry.queries()[name](spark, sf_dir)
+    rows = df.toPandas()
+    plan = df._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert compare.differences(rows, duck.execute(entry.oracle_sql()[name]).df()) is None
 
 
