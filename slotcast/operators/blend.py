@@ -123,6 +123,11 @@ def apply_weights(df: DataFrame, models: Sequence[str], best: DataFrame, sp: Spe
     return out.selectExpr("*", f"{X.from_log('blend_log', sp)} as blend")
 
 
+def calibrated(df: DataFrame, shift: float, sp: Spec = DEFAULT) -> DataFrame:
+    """``blend`` recomputed with the applied log shift; blend_log is what it is computed from."""
+    return df.withColumn("blend", F.expr(X.from_log(f"blend_log + {float(shift)!r}D", sp)))
+
+
 def shift_scores(df: DataFrame, steps: int = SHIFT_STEPS, max_shift: float = MAX_SHIFT, sp: Spec = DEFAULT) -> DataFrame:
     """R2 for every log shift on the grid; shift 0 is the uncorrected prediction."""
     shift = f"i * {max_shift!r}D / {steps - 1}"

@@ -65,6 +65,6 @@ def materialize(df: DataFrame, *by: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "table")
     if by:
-        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+        df = df.repartition(*by)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

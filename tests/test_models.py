@@ -12,14 +12,17 @@ from slotcast.operators import categories, clusters
 from slotcast.operators import models as M
 from slotcast.operators import quality as Q
 from slotcast.plans.feature_matrix import build_features
-from slotcast.session import materialize
+from slotcast.plans.forecast import run_forecast
+from slotcast.session import materialize, scratch_path
+from slotcast.sources.tables import read_run_log
+from slotcast.spec import Spec
 
 SMALL = M.ModelParams(boosting_rounds=15, min_final_rounds=15, step=0.2, forest_trees=8, depth_a=3, depth_b=3,
                       depth_c=4, forest_depth=6, max_bins=32)
 
 
 @pytest.fixture(scope="module")
-def built(spark, observed):
+def planted(observed):
     rng = random.Random(21)
     train, test = [], []
     for k in range(12):
@@ -32,6 +35,12 @@ def built(spark, observed):
     test_df = observed(test, value=False, temperature=[20.0] * len(test))
     test_df = test_df.selectExpr("Index + 100000 as Index", *[c for c in test_df.columns if c != "Index"])
     train_df = observed(train, temperature=[None if i % 7 == 0 else float(i % 30) for i in range(len(train))])
+    return train_df, test_df
+
+
+@pytest.fixture(scope="module")
+def built(planted):
+    train_df, test_df = planted
     zones = clusters.spatial_clusters(train_df, test_df, k=3, restarts=2)
     return materialize(build_features(train_df, test_df, clusters=zones))
 
@@ -85,3 +94,25 @@ def test_nearest_centroid_takes_the_smaller_on_ties(spark):
     points = spark.createDataFrame([("a", 0.0, 0.0), ("b", 5.0, 5.0)], "geohash string, lat double, lon double")
     got = clusters.assign_centroid(points, [(1.0, 0.0), (-1.0, 0.0), (5.0, 4.0)]).collect()
     assert [r["cluster"] for r in got] == [0, 2]
+
+
+def test_whole_run_from_files(spark, planted):
+    raw = ["Index", "geohash", "day", "timestamp", "RoadType", "NumberofLanes", "LargeVehicles", "Landmarks",
+           "Temperature", "Weather"]
+    base = scratch_path(spark, "run")
+    planted[0].select(*raw, "demand").write.csv(f"{base}/train", header=True)
+    planted[1].select(*raw).write.csv(f"{base}/test", header=True)
+    tiny = M.ModelParams(boosting_rounds=3, min_final_rounds=3, step=0.3, forest_trees=4, depth_a=3, depth_b=3,
+                         depth_c=3, forest_depth=5, max_bins=32)
+    done = run_forecast(spark, f"{base}/train", f"{base}/test", f"{base}/out", tiny, Spec(n_clusters=3),
+                        simplex_steps=4, shrink=0.5, restarts=1)
+    stored = spark.read.csv(f"{base}/out/predictions", header=True, inferSchema=True)
+    assert stored.columns == ["Index", "demand"] and stored.count() == 12 * 48
+    assert tuple(Q.reconcile(planted[1], stored, "Index").first())[:2] == (0, 0)
+    assert stored.where("demand <= 0 or demand > 1 or demand is null").count() == 0
+    run = read_run_log(spark, f"{base}/out/runs").first()
+    assert run["n_feat"] == 50 and run["n_val"] == 12 * 48 and run["eval"]["cold_start"] == 0
+    assert abs(sum(run["w"]) - 1) < 1e-9 and run["blend_raw"] >= max(run["lgbm"], run["cat"], run["et"]) - 0.02
+    sections = {r["section"] for r in done.report.select("section").distinct().collect()}
+    assert {"residuals", "bucket_metrics", "confusion", "spatial", "temporal", "test_pred_dist", "worst"} <= sections
+    assert spark.read.json(f"{base}/out/feature_stats").where("n_null > 0").count() == 0
