@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slotcast.llm import decontaminate, license_scan
+from slotcast.llm import decontaminate, license_scan, quality
 from slotcast.llm.words import SEPARATOR, UPPER
 
 QUERIES, ORACLES = {}, {}
@@ -55,3 +55,10 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)"""
 
 ORACLES["op4_license_scan"] = license_scan.oracle(sql_words)
+
+
+@query
+def op5_quality(spark, sf_dir):
+    """Base counts of every text and the calibrated classifier's verdict."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.rate(docs, quality.train(docs, table(spark, sf_dir, "labels")))
