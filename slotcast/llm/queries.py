@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slotcast.llm import decontaminate, license_scan, quality
+from slotcast.llm import decontaminate, license_scan, ngram_join, quality
 from slotcast.llm.words import SEPARATOR, UPPER
 
 QUERIES, ORACLES = {}, {}
@@ -62,3 +62,26 @@ def op5_quality(spark, sf_dir):
     """Base counts of every text and the calibrated classifier's verdict."""
     docs = table(spark, sf_dir, "documents")
     return quality.rate(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op1_ngram_jaccard(spark, sf_dir):
+    """Class and number of links of every document: word 5-gram Jaccard of at least 0.8."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+# All pairs that share a gram, then the classes by repeated spreading of the smallest id.
+ORACLES["op1_ngram_jaccard"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {sql_words('text')} AS w FROM documents),
+v AS (SELECT min(doc_id) AS node, count(*) AS copies, w FROM d WHERE len(w) > 0 GROUP BY w),
+g AS (SELECT node, unnest(list_distinct(list_transform(range(1, greatest(len(w) - {ngram_join.N - 1}, 1) + 1),
+      lambda i: list_slice(w, i, i + {ngram_join.N - 1})))) AS gram FROM v),
+n AS (SELECT node, count(*) AS n FROM g GROUP BY node),
+p AS (SELECT a.node AS a, b.node AS b, count(*) AS i FROM g a JOIN g b ON a.gram = b.gram AND a.node <> b.node GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.node = a JOIN n y ON y.node = b WHERE 10 * i >= 8 * (x.n + y.n - i)),
+r(a, b) AS (SELECT node, node FROM v UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+c AS (SELECT a AS node, min(b) AS class_id FROM r GROUP BY a),
+k AS (SELECT l.a AS node, sum(v.copies) AS links FROM l JOIN v ON v.node = l.b GROUP BY l.a)
+SELECT d.doc_id, coalesce(c.class_id, d.doc_id) AS class_id,
+       CAST(coalesce(v.copies - 1, 0) + coalesce(k.links, 0) AS BIGINT) AS n_links
+FROM d LEFT JOIN v ON v.w = d.w LEFT JOIN c ON c.node = v.node LEFT JOIN k ON k.node = v.node"""

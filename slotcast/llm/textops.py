@@ -127,5 +127,6 @@ def starts_of(rows, n: int):
 
 def sums(values, bounds):
     """Sum of the values of each row, given its bounds in them."""
-    total = np.concatenate([[0], np.cumsum(values)])
+    total = np.zeros(len(values) + 1, values.dtype)
+    np.cumsum(values, out=total[1:])
     return total[bounds[1:]] - total[bounds[:-1]]
