@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slotcast.llm import decontaminate, license_scan, ngram_join, quality
+from slotcast.llm import decontaminate, license_scan, ngram_join, packing, quality
 from slotcast.llm.words import SEPARATOR, UPPER
 
 QUERIES, ORACLES = {}, {}
@@ -85,3 +85,9 @@ k AS (SELECT l.a AS node, sum(v.copies) AS links FROM l JOIN v ON v.node = l.b G
 SELECT d.doc_id, coalesce(c.class_id, d.doc_id) AS class_id,
        CAST(coalesce(v.copies - 1, 0) + coalesce(k.links, 0) AS BIGINT) AS n_links
 FROM d LEFT JOIN v ON v.w = d.w LEFT JOIN c ON c.node = v.node LEFT JOIN k ON k.node = v.node"""
+
+
+@query
+def op6_packing(spark, sf_dir):
+    """Pieces of all documents packed into sequences of at most 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
