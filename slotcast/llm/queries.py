@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slotcast.llm import decontaminate, license_scan, ngram_join, packing, quality
+from slotcast.llm import decontaminate, license_scan, ngram_join, packing, pii, quality
 from slotcast.llm.words import SEPARATOR, UPPER
 
 QUERIES, ORACLES = {}, {}
@@ -91,3 +91,9 @@ FROM d LEFT JOIN v ON v.w = d.w LEFT JOIN c ON c.node = v.node LEFT JOIN k ON k.
 def op6_packing(spark, sf_dir):
     """Pieces of all documents packed into sequences of at most 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_pii_surrogates(spark, sf_dir):
+    """Every text with keyed surrogates in place of personal data, and the number of mentions."""
+    return pii.replaced(table(spark, sf_dir, "documents")).selectExpr("row.doc_id", "clean AS text", "n_mentions")
