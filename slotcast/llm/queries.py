@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slotcast.llm import decontaminate, license_scan, ngram_join, packing, pii, quality
+from slotcast.llm import decontaminate, language_id, license_scan, ngram_join, packing, pii, quality
 from slotcast.llm.words import SEPARATOR, UPPER
 
 QUERIES, ORACLES = {}, {}
@@ -97,3 +97,15 @@ def op6_packing(spark, sf_dir):
 def op7_pii_surrogates(spark, sf_dir):
     """Every text with keyed surrogates in place of personal data, and the number of mentions."""
     return pii.replaced(table(spark, sf_dir, "documents")).selectExpr("row.doc_id", "clean AS text", "n_mentions")
+
+
+HELD_OUT = "coalesce(crc32(CAST(doc_id AS STRING)) % 3 = 1, false)"
+
+
+@query
+def op3_language_id(spark, sf_dir):
+    """Predicted language of every text; a third of the documents, by id, teaches nothing."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(f"NOT {HELD_OUT}"))
+    return language_id.identify(docs, model).selectExpr(
+        "doc_id", f"{HELD_OUT} AS held_out", "lang_pred", "score", "runner_up", "ambiguous")
