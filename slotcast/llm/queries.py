@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotcast.llm import decontaminate, language_id, license_scan, ngram_join, packing, pii, quality
+from slotcast.llm import decontaminate, language_id, license_scan, ngram_join, packing, pii, quality, token_counts, token_shards
 from slotcast.llm.words import SEPARATOR, UPPER
+from slotcast.session import scratch_path
 
 QUERIES, ORACLES = {}, {}
 
@@ -109,3 +110,28 @@ def op3_language_id(spark, sf_dir):
     model = language_id.train(docs.where(f"NOT {HELD_OUT}"))
     return language_id.identify(docs, model).selectExpr(
         "doc_id", f"{HELD_OUT} AS held_out", "lang_pred", "score", "runner_up", "ambiguous")
+
+
+@query
+def op8_training_order(spark, sf_dir):
+    """Every sequence's place in the shards, with the checksum of what is read back from there."""
+    made = token_shards.write(table(spark, sf_dir, "documents"), scratch_path(spark, "shards"), key=20240601)
+    back = token_shards.read(spark, made).selectExpr("slot", "crc32(ids) AS ids_crc32")
+    return token_shards.index(spark, made).drop("crc32").join(back, "slot")
+
+
+@query
+def op10_token_counts(spark, sf_dir):
+    """Totals after two batches: every document is counted, then later copies of a text are deleted."""
+    docs = table(spark, sf_dir, "documents")
+    store = token_counts.create(spark, scratch_path(spark, "counts"))
+    counted = token_counts.count_tokens(docs, "byte_bpe_50k/1")
+    inserts = counted.selectExpr("*", "'insert' AS op", "0 AS seq")
+    token_counts.apply_batch(spark, store, "load", inserts)
+    token_counts.apply_batch(spark, store, "load", inserts)  # a repeated commit changes nothing
+    texts = docs.select(F.col("doc_id"), F.sha2("text", 256).alias("h")).where("h IS NOT NULL AND doc_id IS NOT NULL")
+    first = texts.groupBy("h").agg(F.min("doc_id").alias("first"))
+    copies = texts.join(first, "h").where("doc_id <> first")
+    token_counts.apply_batch(spark, store, "copies", copies.selectExpr(
+        "doc_id", "NULL AS source", "NULL AS lang", "'byte_bpe_50k/1' AS version", "'delete' AS op", "0 AS n_tokens", "0 AS seq"))
+    return token_counts.totals(spark, store)
