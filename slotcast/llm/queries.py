@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slotcast.llm import decontaminate, language_id, license_scan, ngram_join, packing, pii, quality, token_counts, token_shards
+from slotcast.llm import (
+    decontaminate, language_id, license_scan, ngram_join, packing, pii, quality, token_counts, token_shards, warc,
+)
 from slotcast.llm.words import SEPARATOR, UPPER
 from slotcast.session import scratch_path
 
@@ -135,3 +137,20 @@ def op10_token_counts(spark, sf_dir):
     token_counts.apply_batch(spark, store, "copies", copies.selectExpr(
         "doc_id", "NULL AS source", "NULL AS lang", "'byte_bpe_50k/1' AS version", "'delete' AS op", "0 AS n_tokens", "0 AS seq"))
     return token_counts.totals(spark, store)
+
+
+@query
+def op2_warc(spark, sf_dir):
+    """What the archives of all pages hold, read back through their index."""
+    archive = warc.write(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return warc.captures(spark, archive, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op2_warc"] = f"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+o AS (SELECT payload_digest, payload_bytes, max(page_id) AS owner FROM p WHERE payload_bytes >= {warc.MIN_REVISIT} GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN owner IS DISTINCT FROM page_id AND owner IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN owner IS DISTINCT FROM page_id THEN owner END AS refers_to
+FROM p LEFT JOIN o USING (payload_digest, payload_bytes)"""
