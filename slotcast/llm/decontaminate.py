@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from slotcast.llm.words import SEPARATOR, word_array
+from slotcast.llm.words import RAW_WORD, word_array
 from slotcast.session import materialize
 
 WINDOW = 10
@@ -94,8 +94,7 @@ def remove_spans(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     hits = window_hits(docs, items, doc_id, text, item_id, item_text, window).select("id", "th", "spans")
     joined = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("d_id"), F.xxhash64(text).alias("d_th")).join(
         hits, F.expr("d_id <=> id AND d_th = th"), "left")
-    between = SEPARATOR.replace("\\", "\\\\")
-    word = between.replace("[", "[^", 1)
+    word = RAW_WORD.replace("\\", "\\\\")
     source = f"row.`{text}`"
     # Split at the words gives the separators around them: one more than there are words.
     cut = (f"CASE WHEN spans IS NULL THEN {source} ELSE array_join(zip_with(split({source}, '{word}', -1), "

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same words before A-Z are lower-cased
 
 
 def lowered(text: str) -> str:
