@@ -14,7 +14,8 @@ from slotcast.spec import DEFAULT, Spec
 ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 # Fixed value: the digits of the number base 32 in their usual order.
 BASE32_DIGITS = "0123456789abcdefghijklmnopqrstuv"
-MAX_LENGTH = 12
+MAX_LENGTH = 24  # characters whose bits per axis fit a bigint
+CHUNK = 12  # characters whose bits fit one conversion
 
 
 def lon_bits(n: int) -> int:
@@ -25,17 +26,23 @@ def lat_bits(n: int) -> int:
     return (5 * n) // 2
 
 
-def normalized(key: str, max_length: int = MAX_LENGTH) -> str:
-    """Lower-cased key cut to ``max_length``; NULL when a character is not in the alphabet."""
-    return f"case when lower({key}) rlike '^[{ALPHABET}]+$' then substring(lower({key}), 1, {max_length}) end"
+def normalized(key: str) -> str:
+    """Lower-cased key; NULL when a character is not in the alphabet, an error beyond ``MAX_LENGTH`` characters."""
+    too_long = f"cast(raise_error('a geohash has more than {MAX_LENGTH} characters') as string)"
+    return (f"case when not lower({key}) rlike '^[{ALPHABET}]+$' then null "
+            f"when length({key}) > {MAX_LENGTH} then {too_long} else lower({key}) end")
 
 
-def with_cell_index(df: DataFrame, key: str, max_length: int = MAX_LENGTH) -> DataFrame:
+def _bits(part: str) -> str:
+    return f"case when length({part}) > 0 then lpad(conv(translate({part}, '{ALPHABET}', '{BASE32_DIGITS}'), 32, 2), length({part}) * 5, '0') else '' end"
+
+
+def with_cell_index(df: DataFrame, key: str) -> DataFrame:
     """Adds ``_k`` (normalized key) and its cell indices ``_lat``, ``_lon`` on the grid of its length."""
-    bits = f"lpad(conv(translate(_k, '{ALPHABET}', '{BASE32_DIGITS}'), 32, 2), length(_k) * 5, '0')"
+    head, tail = f"substring(_k, 1, {CHUNK})", f"substring(_k, {CHUNK + 1}, {CHUNK})"
     return (
-        df.selectExpr("*", f"{normalized(key, max_length)} as _k")
-        .selectExpr("*", f"{bits} as _bits")
+        df.selectExpr("*", f"{normalized(key)} as _k")
+        .selectExpr("*", f"concat({_bits(head)}, {_bits(tail)}) as _bits")
         .selectExpr(
             "*",
             "cast(conv(regexp_replace(_bits, '(.)(.)?', '$2'), 2, 10) as bigint) as _lat",

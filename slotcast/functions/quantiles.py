@@ -1,152 +1,72 @@
-"""Exact quantiles that never hold a large group in one task.
+"""Exact quantiles from distributed ranks, one way for groups of any size.
 
-Groups of up to ``group_limit`` rows use the built-in ``percentile``. For larger ones
-the value range is cut into bins, only the bin counts are shuffled, and the next pass
-reads just the bins that hold a wanted rank. Bin limits are taken from the values
-found in the bin, so every pass separates at least the smallest from the largest
-value and the loop ends with the exact order statistic.
+Equal values of a group become one row with a count. These rows are range-partitioned by
+(group, value) and stored, so that partition follows partition in the order of the values; a
+few counts per group and partition then give every row its ranks. No task needs to hold a
+group: a large one lies across many partitions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotcast.session import materialize
 
-GROUP_LIMIT = 2_000_000
-BINS = 4096
-BROADCAST_ROWS = 100_000
-
-Send = Callable[[DataFrame], DataFrame]
-
 
 def exact_quantiles(
-    df: DataFrame,
-    by: Sequence[str],
-    value: str,
-    probs: dict[str, float],
-    group_limit: int = GROUP_LIMIT,
-    bins: int = BINS,
-    counts: DataFrame | None = None,
-    largest: int | None = None,
+    df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float], weight: str | None = None
 ) -> DataFrame:
     """``by`` columns plus one linearly interpolated quantile per entry of ``probs``.
 
-    ``counts`` (the ``by`` columns and ``_n``, non-null values per group) saves the pass
-    that looks for large groups where the sizes are known already, ``largest`` (no group
-    has more rows) also the look at them.
+    Null values are left out; NaN counts as larger than all other values. ``weight`` names a
+    column that says how often a row counts.
     """
     by = list(by)
-    rows = df.select(*by, F.col(value).cast("double").alias("_v")).where("_v is not null")
-    if largest is not None and largest <= group_limit:
-        return _builtin(rows, by, probs)
-    sizes = rows.groupBy(*by).agg(F.count("*").alias("_n")) if counts is None else counts.select(*by, "_n")
-    large = sizes.where(F.col("_n") > group_limit)
-    n_large = large.count()
-    if n_large == 0:
-        return _builtin(rows, by, probs)
-    hot = materialize(large)
-    # at most two wanted ranks per quantile, hence brackets, for each large group
-    send = F.broadcast if n_large * 2 * len(probs) <= BROADCAST_ROWS else (lambda d: d)
-    hot_rows = rows.join(send(hot.select(*by)), by, "left_semi") if by else rows
-    refined = _refine(hot_rows, hot, by, probs, group_limit, bins, send)
-    if not by:
-        return refined
-    small = rows.join(send(hot.select(*by)), by, "left_anti")
-    return _builtin(small, by, probs).unionByName(refined)
-
-
-def _builtin(rows: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
-    q = rows.groupBy(*by).agg(F.percentile("_v", [float(p) for p in probs.values()]).alias("_q"))
-    return q.select(*by, *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)])
-
-
-def _refine(
-    rows: DataFrame, hot: DataFrame, by: list[str], probs: dict[str, float], group_limit: int, bins: int, send: Send
-) -> DataFrame:
-    wanted = _wanted_ranks(hot, by, probs)
-    bounds = rows.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    # one row per wanted rank: its bracket [_lo, _hi], rows below the bracket, rows inside
-    state = _by_join(wanted, bounds, by).withColumns({"_below": F.lit(0).cast("bigint"), "_inside": F.col("_n")})
-    state = materialize(state)
-    while True:
-        open_ = state.where((F.col("_lo") < F.col("_hi")) & (F.col("_inside") > group_limit))
-        if open_.isEmpty():
-            break
-        done = state.where((F.col("_lo") == F.col("_hi")) | (F.col("_inside") <= group_limit))
-        brackets = open_.select(*by, "_lo", "_hi").distinct()
-        hist = _histogram(_in_bracket(rows, send(brackets), by), by, bins)
-        key = [*by, "_lo", "_hi"]
-        finer = (
-            open_.join(hist, key)
-            .where((F.col("_rank") >= F.col("_below") + F.col("_before"))
-                   & (F.col("_rank") < F.col("_below") + F.col("_before") + F.col("_cnt")))
-            .select(*by, "_rank", "_n", F.col("_min").alias("_lo"), F.col("_max").alias("_hi"),
-                    (F.col("_below") + F.col("_before")).alias("_below"), F.col("_cnt").alias("_inside"))
-        )
-        state = materialize(done.select(*finer.columns).unionByName(finer))
-    return _interpolate(_order_statistics(rows, state, by, send), hot, by, probs)
-
-
-def _by_join(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
-    """Join on the group columns; without any, both sides describe the one whole table."""
-    if by:
-        return left.join(right, by)
-    return left.withColumn("_one", F.lit(1)).join(right.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    rows = df.select(*by, F.col(value).cast("double").alias("_v"),
+                     (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_c")).where("_v is not null and _c > 0")
+    counts = rows.groupBy(*by, "_v").agg(F.sum("_c").alias("_c"))
+    ranged = materialize(counts.repartitionByRange(*by, "_v").withColumn("_part", F.spark_partition_id()))
+
+    # One row per group and partition it reaches into.
+    parts = ranged.groupBy(*by, "_part").agg(F.sum("_c").alias("_s"))
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(
+        *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_part").alias("_p"),
+        F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_before"), F.sum("_s").over(group).alias("_n"))
+    same = F.col("_part") == F.col("_p")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    upto = Window.partitionBy(*by, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = ranged.withColumn("_upto", F.sum("_c").over(upto)).join(parts, same).withColumn(
+        "_past", F.col("_before") + F.col("_upto"))
+
+    ends = {name: (F.floor(_position(p)), F.ceil(_position(p))) for name, p in probs.items()}
+    holds = {(name, end): _holds(rank) for name, pair in ends.items() for end, rank in enumerate(pair)}
+    found = placed.where(_any(list(holds.values()))).groupBy(*by).agg(
+        F.max("_n").alias("_n"), *[F.max(F.when(here, F.col("_v"))).alias(f"_{name}_{end}") for (name, end), here in holds.items()])
+    return found.select(*by, *[_between(f"_{name}_0", f"_{name}_1", p).alias(name) for name, p in probs.items()])
 
 
 def _position(p: float) -> Column:
     return F.lit(float(p)) * (F.col("_n") - 1)
 
 
-def _wanted_ranks(hot: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
-    ranks = [f(_position(p)).cast("bigint") for p in probs.values() for f in (F.floor, F.ceil)]
-    return hot.select(*by, "_n", F.explode(F.array_distinct(F.array(*ranks))).alias("_rank"))
-
-
-def _in_bracket(rows: DataFrame, brackets: DataFrame, by: list[str]) -> DataFrame:
-    joined = _by_join(rows, brackets, by)
-    return joined.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-
-
-def _histogram(rows: DataFrame, by: list[str], bins: int) -> DataFrame:
-    """Per bracket and bin: rows before the bin, rows in it, smallest and largest value."""
-    share = (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-    key = [*by, "_lo", "_hi"]
-    counted = (
-        rows.withColumn("_bin", F.least(F.floor(share * bins).cast("int"), F.lit(bins - 1)))
-        .groupBy(*key, "_bin")
-        .agg(F.count("*").alias("_cnt"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-    )
-    w = Window.partitionBy(*key).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    return counted.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0).cast("bigint")))
-
-
-def _order_statistics(rows: DataFrame, state: DataFrame, by: list[str], send: Send) -> DataFrame:
-    """Value at each wanted rank: known where the bracket is one value, else read from its rows."""
-    key = [*by, "_lo", "_hi"]
-    single = state.where("_lo = _hi").select(*by, "_rank", F.col("_lo").alias("_value"))
-    several = state.where("_lo < _hi")
-    values = (
-        _in_bracket(rows, send(several.select(*key).distinct()), by)
-        .groupBy(*key).agg(F.sort_array(F.collect_list("_v")).alias("_sorted"))
-    )
-    read = several.join(values, key).select(
-        *by, "_rank", F.get("_sorted", (F.col("_rank") - F.col("_below")).cast("int")).alias("_value")
-    )
-    return single.unionByName(read)
-
-
-def _interpolate(stats: DataFrame, hot: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
-    lookup = F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_at")
-    table = _by_join(hot, stats.groupBy(*by).agg(lookup), by)
-    out = []
-    for name, p in probs.items():
-        pos = _position(p)
-        low = F.element_at("_at", F.floor(pos).cast("bigint"))
-        high = F.element_at("_at", F.ceil(pos).cast("bigint"))
-        out.append((low + (high - low) * (pos - F.floor(pos))).alias(name))
-    return table.select(*by, *out)
+def _holds(rank: Column) -> Column:
+    """Whether a row's run of equal values covers the rank."""
+    return (rank >= F.col("_past") - F.col("_c")) & (rank < F.col("_past"))
+
+
+def _any(conditions: list[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out | c
+    return out
+
+
+def _between(low: str, high: str, p: float) -> Column:
+    share = _position(p) - F.floor(_position(p))
+    return F.when(F.col(low) == F.col(high), F.col(low)).otherwise(F.col(low) + (F.col(high) - F.col(low)) * share)

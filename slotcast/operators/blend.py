@@ -24,9 +24,17 @@ MAX_SHIFT = 0.7
 CALIBRATION_SHRINK = 0.0
 
 
+def _counts(df: DataFrame, models: Sequence[str]) -> Column:
+    """Scalar: a struct with the number of predictions of every model; 0 marks one that is absent."""
+    counts = grouped(df, [], s=f"named_struct({', '.join(f'{m!r}, count({m})' for m in models)})")
+    return counts.select("s").scalar()
+
+
 def _complete(df: DataFrame, models: Sequence[str], sp: Spec) -> DataFrame:
-    present = " and ".join(f"{m} is not null" for m in models)
-    return df.where(f"{present} and y_log is not null").selectExpr(*models, f"{X.from_log('y_log', sp)} as y")
+    """Rows that every model predicted; one that is absent altogether counts as 0 and must get no weight."""
+    present = " and ".join(f"({m} is not null or _have.{m} = 0)" for m in models)
+    return df.withColumn("_have", _counts(df, models)).where(f"{present} and y_log is not null").selectExpr(
+        *[f"coalesce({m}, 0D) as {m}" for m in models], f"{X.from_log('y_log', sp)} as y")
 
 
 def simplex_scores(
@@ -46,6 +54,8 @@ def simplex_scores(
         *[F.expr(f"{c} / {float(steps)!r}D").alias(f"w_{m}") for c, m in zip(counts, models)],
         _r2_of(F.col("sse"), sst).alias("r2"),
     )
+    usable = " and ".join(f"(w_{m} = 0 or _have.{m} > 0)" for m in models)
+    scored = scored.withColumn("_have", _counts(df, models)).where(usable).drop("_have")
     return _with_score(scored, models, penalty)
 
 
@@ -70,16 +80,18 @@ def refine_weights(
 ) -> dict[str, float]:
     """Moves weight between two models at a time around ``start``, halving the step when nothing improves.
 
-    Only one row of metrics per pass comes to the driver.
+    A model without any prediction gets no weight. Only one row of metrics per pass comes to
+    the driver.
     """
     weights = [start[m] for m in models]
+    have = grouped(df, [], **{m: f"count({m})" for m in models}).first()
     best: float | None = None
     while step >= min_step:
         candidates = [weights]
         for i in range(len(models)):
             for j in range(len(models)):
                 moved = min(step, weights[j])
-                if i != j and moved > 0:
+                if i != j and moved > 0 and have[models[i]]:
                     trial = list(weights)
                     trial[i], trial[j] = trial[i] + moved, trial[j] - moved
                     candidates.append(trial)
@@ -147,18 +159,23 @@ def best_shift(scores: DataFrame, shrink: float = CALIBRATION_SHRINK) -> DataFra
 
 def reblend(
     df: DataFrame, weights: dict[str, float] | None, fallback: tuple[str, str, float],
-    calibration: tuple[float, float] | None = None,
+    calibration: tuple[float, float] | None = None, required: Sequence[str] = ("oof_forest",),
 ) -> DataFrame:
     """Blended log prediction from stored columns.
 
-    With weights, a model column missing on a row makes the blend missing there. Without
-    weights the two fallback models are mixed w to 1 - w. ``calibration`` is a*x + b.
+    With weights, a model column missing on a row makes the blend missing there; a model
+    without any prediction drops out of the sum. Without weights, or where a ``required``
+    model is absent, the two fallback models are mixed w to 1 - w. ``calibration`` is a*x + b.
     """
     a, b, w = fallback
+    mixed = f"{w!r}D * {a} + {1 - w!r}D * {b}"
     if weights:
-        blended = " + ".join(f"{x!r}D * {m}" for m, x in weights.items())
+        total = " + ".join(f"case when _have.{m} > 0 then {x!r}D * {m} else 0D end" for m, x in weights.items())
+        lacking = " or ".join([f"_have.{m} = 0" for m in required if m in weights] or ["false"])
+        blended = f"case when {lacking} then {mixed} else {total} end"
+        df = df.withColumn("_have", _counts(df, list(weights)))
     else:
-        blended = f"{w!r}D * {a} + {1 - w!r}D * {b}"
+        blended = mixed
     if calibration:
         blended = f"{calibration[0]!r}D * ({blended}) + {calibration[1]!r}D"
-    return df.selectExpr("*", f"{blended} as p_log")
+    return df.selectExpr("*", f"{blended} as p_log").drop("_have")

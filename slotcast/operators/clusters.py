@@ -49,6 +49,14 @@ def assign_centroid(coordinates: DataFrame, centroids: list[tuple[float, float]]
     return coordinates.selectExpr("*", f"{nearest} as cluster")
 
 
+def assign_centroid_table(coordinates: DataFrame, centroids: DataFrame) -> DataFrame:
+    """The same with the centres in a table of (cluster, lat, lon); all of them go into one array."""
+    packed = centroids.selectExpr("sort_array(collect_list(struct(cluster, lat, lon))) as c").scalar()
+    d = "(lat - x.lat) * (lat - x.lat) + (lon - x.lon) * (lon - x.lon)"
+    return coordinates.withColumn("_c", packed).selectExpr(
+        "*", f"array_min(transform(_c, x -> struct({d} as d, x.cluster as cluster))).cluster as cluster").drop("_c")
+
+
 def unseen_keys(keys: DataFrame, known: DataFrame, sp: Spec = DEFAULT) -> DataFrame:
     """Distinct keys without a zone yet."""
     return keys.select(sp.key).distinct().join(known.select(sp.key).distinct(), sp.key, "left_anti")

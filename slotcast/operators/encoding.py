@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotcast.operators.profile import grouped
+from slotcast.session import materialize
 from slotcast.spec import DEFAULT, Spec
 
 
@@ -63,6 +64,34 @@ def foldsafe_te(
     return rows.join(table, list(by), "left").withColumn(name, for_fold("_te", prior, fold)).drop("_te")
 
 
+def inner_fold_te(
+    train: DataFrame, rows: DataFrame, key: str, row_id: str, target: str, n_folds: int, m: float, name: str,
+    fold: str = "fold",
+) -> DataFrame:
+    """``rows`` with a key encoding fitted on fold -1 alone, without the part a row itself is in.
+
+    Rows of fold -1 are dealt into ``n_folds`` parts by a hash of their id and see the other
+    parts only; validation and unlabelled rows see all of fold -1. Neither a row's own value
+    nor any validation value reaches the encoding of a training row, the prior included.
+    """
+    part = f"pmod(xxhash64({row_id}), {n_folds})"
+    fit = train.where(f"{fold} = -1 and {target} is not null").selectExpr(key, f"cast({part} as int) as part", target)
+    totals = materialize(grouped(fit, [key, "part"], s=f"sum({target})", c=f"count({target})"))
+    outside = [("", "true"), *[(str(i), f"part <> {i}") for i in range(n_folds)]]
+    sums = {f"s{i}": f"coalesce(sum(case when {w} then s end), 0D)" for i, w in outside}
+    sums |= {f"c{i}": f"coalesce(sum(case when {w} then c end), 0)" for i, w in outside}
+    arrays = [f"array({', '.join(f'{x}{i}' for i, _ in outside)}) as _{x}" for x in "sc"]
+    by_key = grouped(totals, [key], **sums).selectExpr(key, *arrays)
+    overall = grouped(totals, [], **sums).selectExpr(
+        f"array({', '.join(f'try_divide(s{i}, c{i})' for i, _ in outside)}) as p").scalar()
+    at = f"case when {fold} = -1 then cast({part} as int) + 1 else 0 end"
+    return (
+        rows.join(by_key, key, "left").withColumn("_p", overall).selectExpr("*", f"{at} as _at")
+        .withColumn(name, F.expr(f"(coalesce(_s[_at], 0D) + {m!r}D * coalesce(_p[_at], _p[0], 0D)) / (coalesce(_c[_at], 0) + {m!r}D)"))
+        .drop("_s", "_c", "_p", "_at")
+    )
+
+
 def leave_one_out(total: str, count: str, own: str, otherwise: str) -> str:
     """Mean of the group without the row itself; ``otherwise`` where it is alone (SQL text)."""
     return f"case when {count} > 1 then ({total} - {own}) / ({count} - 1) else {otherwise} end"

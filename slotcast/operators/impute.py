@@ -6,33 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotcast.functions.quantiles import exact_quantiles
+from slotcast.session import materialize
 from slotcast.spec import DEFAULT, Spec
 
 
-def median_levels(
-    train: DataFrame, column: str, sp: Spec = DEFAULT, counts: DataFrame | None = None,
-    n_rows: int | None = None, **limits: int,
-) -> dict[str, DataFrame]:
+def median_levels(train: DataFrame, column: str, sp: Spec = DEFAULT) -> dict[str, DataFrame]:
     """Exact medians of the training rows by (key, hour), by key and overall.
 
-    ``counts`` holds (key, hour, _n) with the non-null values of ``column`` per group,
-    ``n_rows`` is an upper bound of all of them; both save looking for large groups.
+    The rows are read once, into counts per (key, hour, value) that serve all three levels.
     """
+    counts = materialize(train.where(F.col(column).isNotNull()).groupBy(sp.key, sp.hour, column).agg(F.count("*").alias("_rows")))
 
     def level(by: list[str]) -> DataFrame:
-        sizes = None if counts is None else counts.groupBy(*by).agg(F.sum("_n").alias("_n"))
-        return exact_quantiles(train, by, column, {"median": 0.5}, counts=sizes, largest=n_rows, **limits)
+        return exact_quantiles(counts, by, column, {"median": 0.5}, weight="_rows")
 
     return {"key_hour": level([sp.key, sp.hour]), "key": level([sp.key]), "global": level([])}
 
 
-def impute_median(train: DataFrame, rows: DataFrame, column: str, sp: Spec = DEFAULT, **limits: int) -> DataFrame:
+def impute_median(train: DataFrame, rows: DataFrame, column: str, sp: Spec = DEFAULT) -> DataFrame:
     """Nulls of ``column`` become the (key, hour) median, else the key's, else the overall one.
 
     The two keyed levels are joined to each other before they meet the rows, so the rows
     are shuffled once.
     """
-    levels = median_levels(train, column, sp, **limits)
+    levels = median_levels(train, column, sp)
     cells = rows.select(sp.key, sp.hour).distinct()
     fill = (
         cells.join(levels["key_hour"].withColumnRenamed("median", "_m1"), [sp.key, sp.hour], "left")

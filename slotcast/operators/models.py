@@ -9,15 +9,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from slotcast import spec as S
 from slotcast.functions.scalar import to_number
 from slotcast.operators.categories import fit_codes
-from slotcast.operators.encoding import foldsafe_te
+from slotcast.operators.encoding import inner_fold_te
 from slotcast.operators.evaluate import model_r2, on_value_scale, r2
 from slotcast.operators.profile import grouped
 from slotcast.session import materialize
@@ -32,6 +32,7 @@ class ModelParams:
     """Sizes of the learners; the defaults are meant for a cluster."""
 
     boosting_rounds: int = 500
+    patience: int = 150
     min_final_rounds: int = 500
     step: float = 0.03
     forest_trees: int = 600
@@ -41,6 +42,7 @@ class ModelParams:
     forest_depth: int = 12
     max_bins: int = 64
     key_smoothing: float = 1.0
+    key_folds: int = 5
     seed: int = 42
 
 
@@ -63,12 +65,10 @@ def model_inputs(df: DataFrame) -> dict[str, list[str]]:
     return {"oof_a": view, "oof_b": [*view, "key_code"], "oof_forest": view, "oof_c": view}
 
 
-def _estimators(p: ModelParams, rounds: dict[str, int], validation: str | None) -> dict[str, object]:
-    common = {"featuresCol": "features", "labelCol": "y_log", "maxBins": p.max_bins, "seed": p.seed,
+def _estimators(p: ModelParams, rounds: dict[str, int], max_bins: int) -> dict[str, object]:
+    common = {"featuresCol": "features", "labelCol": "y_log", "maxBins": max(p.max_bins, max_bins), "seed": p.seed,
               "maxMemoryInMB": 512, "cacheNodeIds": True}
     boosted = {**common, "stepSize": p.step}
-    if validation:
-        boosted["validationIndicatorCol"] = validation
     return {
         "oof_a": GBTRegressor(maxDepth=p.depth_a, maxIter=rounds["oof_a"], subsamplingRate=0.8,
                               featureSubsetStrategy="0.7", minInstancesPerNode=100, **boosted),
@@ -80,8 +80,13 @@ def _estimators(p: ModelParams, rounds: dict[str, int], validation: str | None)
     }
 
 
+def _widest(codes: StringIndexerModel) -> int:
+    """Bins that tell all categories of every coded column apart, with one for unseen ones."""
+    return max([len(labels) + 1 for labels in codes.labelsArray], default=0)
+
+
 def _prepare(rows: DataFrame, labelled: DataFrame, codes: StringIndexerModel, p: ModelParams, sp: Spec) -> DataFrame:
-    with_key = foldsafe_te(labelled, rows, [sp.key], "y_log", 1, p.key_smoothing, "key_code")
+    with_key = inner_fold_te(labelled, rows, sp.key, sp.row_id, "y_log", p.key_folds, p.key_smoothing, "key_code")
     numeric = with_key.selectExpr(*[
         f"{to_number(c)} as {c}" if c in S.NUMERIC_FEATURES and c != sp.hour else c for c in with_key.columns])
     return codes.transform(numeric)
@@ -100,25 +105,56 @@ def _predict(df: DataFrame, ensemble: Ensemble, sp: Spec) -> DataFrame:
 
 
 def fit_fold(train: DataFrame, codes: StringIndexerModel, p: ModelParams) -> Ensemble:
-    """Fits on fold -1; the boosted learners stop early on fold 0."""
+    """Fits on fold -1; the boosted learners keep the rounds up to the best one on fold 0.
+
+    The loss of every round is looked at; ``patience`` rounds without a better one end the search.
+    """
     inputs = model_inputs(train)
     rounds = {m: p.boosting_rounds for m in MODELS}
-    flagged = train.withColumn("is_validation", F.col("fold") == 0)
-    fitted = {}
-    for name, est in _estimators(p, rounds, "is_validation").items():
-        rows = flagged if isinstance(est, GBTRegressor) else flagged.where("fold = -1")
-        fitted[name] = est.fit(_assemble(rows, inputs[name]).select("features", "y_log", "is_validation"))
-    used = {m: f.getNumTrees for m, f in fitted.items() if isinstance(f, GBTRegressionModel)}
+    fitted, used = {}, {}
+    for name, est in _estimators(p, rounds, _widest(codes)).items():
+        rows = _assemble(train, inputs[name]).select("fold", "features", "y_log")
+        model = est.fit(rows.where("fold = -1"))
+        if isinstance(est, GBTRegressor):
+            losses = model.evaluateEachIteration(rows.where("fold = 0"), "squared")
+            used[name] = best_round(losses, p.patience)
+            model = first_rounds(model, used[name])
+        fitted[name] = model
     return Ensemble(fitted, inputs, codes, used)
 
 
+def best_round(losses: list[float], patience: int) -> int:
+    """Number of rounds up to the smallest loss, seen by one who stops after ``patience`` rounds without a better one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The boosted model with its first trees only."""
+    java, sc = model._java_obj, SparkContext._active_spark_context
+    trees = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = sc._gateway.new_array(sc._jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
+    cut = GBTRegressionModel(sc._jvm.org.apache.spark.ml.regression.GBTRegressionModel(
+        java.uid(), trees, weights, java.numFeatures()))
+    model._copyValues(cut)
+    cut._transfer_params_to_java()
+    return cut
+
+
 def fit_final(train: DataFrame, codes: StringIndexerModel, rounds: dict[str, int], p: ModelParams) -> Ensemble:
     """Refit on all labelled rows with at least ``min_final_rounds`` boosting rounds."""
     inputs = model_inputs(train)
     wanted = {m: max(rounds.get(m, 0), p.min_final_rounds) for m in MODELS}
     fitted = {
         name: est.fit(_assemble(train, inputs[name]).select("features", "y_log"))
-        for name, est in _estimators(p, wanted, None).items()
+        for name, est in _estimators(p, wanted, _widest(codes)).items()
     }
     return Ensemble(fitted, inputs, codes, wanted)
 

@@ -124,12 +124,10 @@ def cluster_slot_mean(
     return grouped(profile.join(clusters.select(sp.key, cluster), sp.key), [cluster, sp.slot], cluster_slot_mean=MEAN)
 
 
-def entity_quantiles(
-    rows: DataFrame, sp: Spec = DEFAULT, counts: DataFrame | None = None, largest: int | None = None, **limits: int
-) -> DataFrame:
+def entity_quantiles(rows: DataFrame, sp: Spec = DEFAULT) -> DataFrame:
     """Exact 10th and 90th percentile of the value per key."""
     probs = {"p10": 0.1, "p90": 0.9}
-    return exact_quantiles(rows, [sp.key], sp.value, probs, counts=counts, largest=largest, **limits)
+    return exact_quantiles(rows, [sp.key], sp.value, probs)
 
 
 # --- windows over a key's profile -------------------------------------------------------

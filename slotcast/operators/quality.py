@@ -96,8 +96,9 @@ def _relative(a: str, b: str) -> str:
     return f"max(abs(({a}) - ({b})) / greatest(abs({b}), 1e-12D))"
 
 
-def feature_checks(built: DataFrame, sp: Spec = DEFAULT) -> DataFrame:
-    """Leakage, nulls, bounds and formulas of a built feature frame."""
+def feature_checks(built: DataFrame, sp: Spec = DEFAULT, matrix: DataFrame | None = None) -> DataFrame:
+    """Leakage, nulls, bounds and formulas of a built feature frame and of the matrix made from it."""
+    matrix_columns = (built.select(*[c for c in S.NUMERIC_FEATURES if c in built.columns]) if matrix is None else matrix).columns
     y, eps = sp.value, f"{sp.eps!r}D"
     hist, target = f"not is_test and {sp.day} = {sp.history_day}", f"not is_test and {sp.day} = {sp.target_day}"
     same, mean = "demand_d48_same_slot", "demand_d48_geohash_mean"
@@ -121,7 +122,7 @@ def feature_checks(built: DataFrame, sp: Spec = DEFAULT) -> DataFrame:
         formula_relative_slot=_relative("demand_d48_relative_slot", f"{same} / ({mean} + {eps})"),
         formula_log_target=_relative("exp(y_log)", y),
     ).withColumns({
-        "value_column_in_matrix": F.lit(int(sp.value in S.NUMERIC_FEATURES)),
+        "value_column_in_matrix": F.lit(int(sp.value in matrix_columns)),
         "missing_features": F.lit(len(S.NUMERIC_FEATURES) - len(declared)),
     })
     keys = grouped(built, [sp.key], in_test="bool_or(is_test)", in_train="bool_or(not is_test)")

@@ -57,7 +57,7 @@ CTE: dict[str, str] = {
           FROM e GROUP BY user_id, day, slot
         )
         SELECT CAST((user_id * 2 + day - 48) * 1440 + slot AS BIGINT) AS Index,
-               concat('qp', {_char('floor(user_id / 1000) % 32')}, {_char('floor(user_id / 100) % 10')},
+               concat({_char('(22 + floor(user_id / 1024000)) % 32')}, {_char('(21 + floor(user_id / 32000)) % 32')}, {_char('floor(user_id / 1000) % 32')}, {_char('floor(user_id / 100) % 10')},
                       {_char('floor(user_id / 10) % 10')}, {_char('user_id % 10')}) AS geohash,
                day, concat(CAST(CAST(floor(slot / 60) AS INT) AS VARCHAR), ':', CAST(slot % 60 AS VARCHAR)) AS timestamp,
                CASE user_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 'Highway' WHEN 2 THEN 'Highway'

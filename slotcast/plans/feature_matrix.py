@@ -63,7 +63,7 @@ def encode_row(rows: DataFrame, sp: Spec = DEFAULT) -> DataFrame:
 
 def build_features(
     train: DataFrame, test: DataFrame, sp: Spec = DEFAULT, clusters: DataFrame | None = None,
-    features: list[str] | None = None, **limits: int,
+    features: list[str] | None = None,
 ) -> DataFrame:
     """Training and unlabelled rows with every feature, ``fold``, ``y_log`` and ``is_test``.
 
@@ -77,7 +77,6 @@ def build_features(
     history = P.on_day(train, sp.history_day, sp)
     hour = X.hour_of_slot(sp.slot)
 
-    n_rows = P.grouped(grid.where("not is_test"), [], n="sum(greatest(n, n_Temperature))").first()["n"]
     on_target = f"not is_test and {sp.day} = {sp.target_day} and n > 0"
     keys = H.key_classes(
         grid, sp,
@@ -92,12 +91,11 @@ def build_features(
     px_totals = totals.selectExpr("*", f"substring({sp.key}, 1, 4) as _px")
     px_te = E.encodings_by_fold(px_totals, ["_px"], 1, prior, sp.te_smoothing, "te_prefix")
 
-    sizes = P.grouped(grid.where("not is_test"), [sp.key, f"{hour} as {sp.hour}"], _n="sum(n_Temperature)")
-    medians = median_levels(train, "Temperature", sp, counts=sizes, n_rows=n_rows, **limits)
+    medians = median_levels(train, "Temperature", sp)
     by_hour = P.grouped(medians["key_hour"], [sp.key], temp_hours=P.entries("median", sp.hour))
 
     wide = (
-        H.entities(history, prof, keys, H.needs_of(cell_features, sp), sp, n_rows=n_rows, **limits)
+        H.entities(history, prof, keys, H.needs_of(cell_features, sp), sp)
         .join(key_encodings(totals, prior, sp), sp.key, "left")
         .selectExpr("*", f"substring({sp.key}, 1, 4) as _px").join(px_te, "_px", "left").drop("_px")
         .join(by_hour, sp.key, "left")

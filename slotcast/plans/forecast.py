@@ -15,9 +15,10 @@ from slotcast.operators.profile import grouped
 from slotcast.plans.feature_matrix import build_features, feature_matrix
 from slotcast.plans.history import cold_keys
 from slotcast.plans.reports import evaluation_document, evaluation_report
-from slotcast.session import materialize
+from slotcast.session import materialize, stored_tables_dropped
 from slotcast.sources import sinks
-from slotcast.sources.tables import read_observations, with_time
+from slotcast.sources.tables import read_observations, read_run_log, with_time
+from slotcast import spec as S
 from slotcast.spec import DEFAULT, Spec
 
 
@@ -38,9 +39,21 @@ def run_forecast(
 ) -> Outcome:
     """Reads, builds features, trains, blends, evaluates and writes.
 
-    Below ``out_dir``: predictions (CSV), oof (parquet), metrics, feature_stats, eval (JSON) and
-    runs, to which every call appends one line.
+    Below ``out_dir``: predictions (CSV), oof (parquet), metrics, feature_stats, eval, importances
+    (JSON) and runs, to which every call appends one line. What the run stored elsewhere is
+    deleted at its end; the frames returned read the output folder.
     """
+    with stored_tables_dropped(spark):
+        _run(spark, train_path, test_path, out_dir, params, sp, fmt, simplex_steps, shrink, leaderboard, restarts)
+    return Outcome(
+        spark.read.schema(f"{sp.row_id} bigint, demand double").csv(f"{out_dir}/predictions", header=True),
+        spark.read.parquet(f"{out_dir}/oof"), spark.read.parquet(f"{out_dir}/report"), read_run_log(spark, f"{out_dir}/runs"))
+
+
+def _run(
+    spark: SparkSession, train_path: str, test_path: str, out_dir: str, params: M.ModelParams, sp: Spec, fmt: str,
+    simplex_steps: int, shrink: float, leaderboard: float | None, restarts: int,
+) -> None:
     train = with_time(read_observations(spark, train_path, fmt=fmt), sp)
     test = with_time(read_observations(spark, test_path, labelled=False, fmt=fmt), sp)
     zones = materialize(spatial_clusters(train, test, sp, restarts=restarts))
@@ -49,7 +62,9 @@ def run_forecast(
     oof = materialize(trained.oof)
     validation = oof.where("fold = 0")
 
-    best = materialize(B.best_weights(B.simplex_scores(validation, M.MODELS, simplex_steps, sp=sp), M.MODELS))
+    grid = B.best_weights(B.simplex_scores(validation, M.MODELS, simplex_steps, sp=sp), M.MODELS).first()
+    fine = B.refine_weights(validation, M.MODELS, {m: grid[f"w_{m}"] for m in M.MODELS}, 1 / simplex_steps, sp=sp)
+    best = spark.createDataFrame([tuple(fine[m] for m in M.MODELS)], ", ".join(f"w_{m} double" for m in M.MODELS))
     blended = materialize(B.apply_weights(validation, M.MODELS, best, sp).withColumnRenamed("blend_log", "p_log"))
     shift = materialize(B.best_shift(B.shift_scores(blended, sp=sp), shrink))
     applied = shift.first()["applied_shift"]
@@ -57,7 +72,8 @@ def run_forecast(
     raw = B.apply_weights(trained.test, M.MODELS, best, sp)
     predictions = materialize(B.calibrated(raw, applied, sp).selectExpr(sp.row_id, "blend as demand"))
 
-    report = materialize(evaluation_report(calibrated, cold_keys(train, test, sp), sp, predictions))
+    importance = M.feature_importance(trained.final_models.models["oof_a"], trained.final_models.inputs["oof_a"], spark)
+    report = materialize(evaluation_report(calibrated, cold_keys(train, test, sp), sp, predictions, importance))
     metrics = materialize(_metrics(trained, validation, blended, calibrated, best, applied, sp))
     matrix = feature_matrix(built.where("not is_test"), sp).drop(sp.row_id, "is_test", "fold")
     record = materialize(_record(metrics, predictions, report, len(matrix.columns), leaderboard))
@@ -67,8 +83,9 @@ def run_forecast(
     sinks.write_json(metrics, f"{out_dir}/metrics")
     sinks.write_json(sinks.null_counts(matrix), f"{out_dir}/feature_stats")
     sinks.write_json(evaluation_document(report), f"{out_dir}/eval")
+    sinks.write_json(importance.orderBy(F.desc("score"), "name"), f"{out_dir}/importances")
+    report.write.mode("overwrite").parquet(f"{out_dir}/report")
     sinks.append_run_record(record, f"{out_dir}/runs")
-    return Outcome(predictions, oof, report, record)
 
 
 # The names under which metrics and run log report the four models.
@@ -106,7 +123,9 @@ def _record(
               "test_pred_mean": ("test_pred_dist", "mean"), "test_pred_std": ("test_pred_dist", "std")}
     compact = grouped(report, [], e="named_struct({})".format(", ".join(
         f"'{name}', max(case when section = '{s}' and item = '{i}' then value end)" for name, (s, i) in picked.items()
-    ) + ", 'cold_start', cast(max(case when section = 'cold_start' then value end) as bigint)")).scalar()
+    ) + ", 'bucket_r2', named_struct({}), 'worst_geo_mae', max(case when section = 'worst' then value end)".format(", ".join(
+        f"'{label.split(' ')[0]}', max(case when section = 'bucket_metrics' and item = '{label} r2' then value end)"
+        for label in S.BUCKET_LABELS)) + ", 'cold_start', cast(max(case when section = 'cold_start' then value end) as bigint)")).scalar()
     lb = "cast(null as double)" if leaderboard is None else f"{float(leaderboard)!r}D"
     return metrics.withColumn("s", spread).withColumn("eval", compact).selectExpr(
         "date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss\") as ts", f"{lb} as lb",

@@ -90,11 +90,15 @@ def prefix_maps(prof: DataFrame, length: int, sp: Spec = DEFAULT) -> DataFrame:
         f"px{length}_mean": "sum(t) / sum(c)", f"px{length}_slot": P.entries("t / c", sp.slot)})
 
 
-def neighbor_edges(keys: DataFrame, sp: Spec = DEFAULT) -> DataFrame:
-    """Edges to history keys: ``k_warm`` for warm keys, ``k_cold`` for cold ones, none for others."""
+def neighbor_edges(keys: DataFrame, sp: Spec = DEFAULT, warm: bool = True) -> DataFrame:
+    """Edges to history keys: ``k_warm`` for warm keys, ``k_cold`` for cold ones, none for others.
+
+    With ``warm`` false only cold keys ask; warm ones are there to be found.
+    """
     asking = keys.where(f"key_class <> '{TARGET_ONLY}'")
-    flagged = asking.selectExpr(sp.key, "true as asks", f"key_class = '{WARM}' as is_data")
-    edges = knn.key_neighbors(flagged, max(sp.k_warm, sp.k_cold), sp)
+    flagged = asking.selectExpr(
+        sp.key, "true as asks" if warm else f"key_class = '{COLD}' as asks", f"key_class = '{WARM}' as is_data")
+    edges = knn.key_neighbors(flagged, max(sp.k_warm, sp.k_cold) if warm else sp.k_cold, sp)
     wanted = f"rank <= case when key_class = '{WARM}' then {sp.k_warm} else {sp.k_cold} end"
     return edges.join(asking.select(sp.key, "key_class"), sp.key).where(wanted).drop("key_class")
 
@@ -172,13 +176,13 @@ def cell_features(sp: Spec = DEFAULT) -> dict[str, tuple[str, set[str]]]:
         "same_slot_genuine": (f"coalesce(element_at(look, {s}), {_HERE})", look),
         "same_slot_proxy": (_proxy(sp), {"profile", "stats"}),
         "profile_or_slot": (f"coalesce(element_at(prof, {s}), {_HERE})", {"profile"}),
-        "cold_fill": (neighbors, {"neighbors"}),
+        "cold_fill": (neighbors, {"neighbors", "spatial"}),
         "demand_d48_nearby_slots": (_nearby(sp), look),
         "demand_d48_slot_m60": (_lag(-60, sp), look | stats),
         "demand_d48_slot_m30": (_lag(-30, sp), look | stats),
         "demand_d48_slot_p30": (_lag(30, sp), look | stats),
         "demand_d48_slot_p60": (_lag(60, sp), look | stats),
-        "demand_d48_spatial_neighbor_slot": (neighbors, {"neighbors"}),
+        "demand_d48_spatial_neighbor_slot": (neighbors, {"neighbors", "spatial"}),
         "demand_d48_geohash_mean": (own_mean, stats),
         "hour_fallback": ("coalesce(mean, g.mean)", stats),
         "demand_d48_geohash_std": ("coalesce(std, 0D)", stats),
@@ -210,19 +214,14 @@ def cell_features(sp: Spec = DEFAULT) -> dict[str, tuple[str, set[str]]]:
 # --- cells ----------------------------------------------------------------------------
 
 def entities(
-    history: DataFrame, prof: DataFrame, keys: DataFrame, needs: set[str], sp: Spec = DEFAULT,
-    n_rows: int | None = None, **limits: int,
+    history: DataFrame, prof: DataFrame, keys: DataFrame, needs: set[str], sp: Spec = DEFAULT
 ) -> DataFrame:
-    """One wide row per key with the tables named in ``needs``.
-
-    ``n_rows``, an upper bound of the history rows, saves looking for keys with very many.
-    """
+    """One wide row per key with the tables named in ``needs``."""
     out = keys
     if needs & {"profile", "stats", "dynamics"}:
         out = out.join(P.key_table(prof, sp).drop("n"), sp.key, "left")
     if "quantiles" in needs:
-        sizes = P.grouped(prof, [sp.key], _n="sum(n)")
-        out = out.join(P.entity_quantiles(history, sp, counts=sizes, largest=n_rows, **limits), sp.key, "left")
+        out = out.join(P.entity_quantiles(history, sp), sp.key, "left")
     if "hours" in needs:
         out = out.join(hour_maps(prof, sp), sp.key, "left")
     for length in (5, 4):
@@ -231,7 +230,7 @@ def entities(
             out = out.selectExpr("*", f"substring({sp.key}, 1, {length}) as _px").join(px, "_px", "left").drop("_px")
     if "neighbors" in needs:
         # stored: the descent is a long plan that nothing later should carry along
-        nb = materialize(neighbor_maps(neighbor_edges(keys, sp), prof, sp))
+        nb = materialize(neighbor_maps(neighbor_edges(keys, sp, warm="spatial" in needs), prof, sp))
         out = out.join(nb, sp.key, "left")
         if "profile" in needs:
             out = out.selectExpr("*", f"case when key_class = '{COLD}' then nb else prof end as look")
@@ -258,14 +257,14 @@ def needs_of(features: Iterable[str], sp: Spec = DEFAULT) -> set[str]:
 
 
 def attach_cell_features(
-    train: DataFrame, test: DataFrame, features: list[str], sp: Spec = DEFAULT, **limits: int
+    train: DataFrame, test: DataFrame, features: list[str], sp: Spec = DEFAULT
 ) -> DataFrame:
     """Training and unlabelled rows, each with the named cell features and its key class."""
     rows = stack_rows(train, test)
     grid = materialize(observation_grid(rows, sp))
     history, prof = P.on_day(train, sp.history_day, sp), profile_of(grid, sp)
     needs = needs_of(features, sp)
-    wide = entities(history, prof, key_classes(grid, sp), needs, sp, **limits)
+    wide = entities(history, prof, key_classes(grid, sp), needs, sp)
     if len(needs) > 3:
         wide = materialize(wide, sp.key)
     return join_cells(rows, cells(wide, prof, features, sp, keep=["key_class"]), sp)
@@ -331,7 +330,7 @@ def cluster_features(
     )
 
 
-def history_features(train: DataFrame, test: DataFrame, sp: Spec = DEFAULT, **limits: int) -> DataFrame:
+def history_features(train: DataFrame, test: DataFrame, sp: Spec = DEFAULT) -> DataFrame:
     """All history-day columns for training and unlabelled rows in one frame."""
-    rows = attach_cell_features(train, test, HISTORY_COLUMNS + ROW_INPUTS, sp, **limits)
+    rows = attach_cell_features(train, test, HISTORY_COLUMNS + ROW_INPUTS, sp)
     return row_features(rows, sp)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from slotcast.functions import scalar as X
 from slotcast.operators import evaluate as E
+from slotcast.operators.models import top_features
 from slotcast.operators.profile import grouped
 from slotcast.spec import DEFAULT, Spec
 
@@ -28,14 +29,17 @@ def _distribution(df: DataFrame, value: str, section: str) -> DataFrame:
 
 
 def evaluation_report(
-    predictions: DataFrame, cold_keys: DataFrame, sp: Spec = DEFAULT, test_values: DataFrame | None = None
+    predictions: DataFrame, cold_keys: DataFrame, sp: Spec = DEFAULT, test_values: DataFrame | None = None,
+    importance: DataFrame | None = None,
 ) -> DataFrame:
     """All diagnostics of a stored prediction frame as (section, item, value) rows.
 
-    ``test_values`` adds the distribution of the final predictions in its column ``demand``.
+    ``test_values`` adds the distribution of the final predictions in its column ``demand``,
+    ``importance`` (name, score) the ten most important features.
     """
     scaled = E.on_value_scale(predictions, sp)
     matrix = E.confusion_matrix(predictions, sp)
+    by_hour = E.temporal_breakdown(predictions, sp)
     spatial = {"mae_mean": 4, "mae_std": 4, "mae_min": 4, "mae_max": 4, "n_keys": 0}
     residual = ("mean", "median", "std", "skew", "p5", "p25", "p75", "p95")
     cells = ", ".join(f"'{i}', p{i}" for i in range(4))
@@ -45,18 +49,24 @@ def evaluation_report(
         matrix.selectExpr("bucket", f"stack(4, {cells}) as (pred, n)").selectExpr(
             "'confusion' as section", "bucket || '-' || pred as item", "cast(n as double) as value"),
         _items(E.macro_accuracy(matrix), "confusion", {"macro_acc": 4}),
+        E.bucket_accuracy(matrix).selectExpr(
+            "'confusion' as section", "'acc-' || bucket as item", f"{X.rounded('acc', 4)} as value"),
         _distribution(scaled, "p", "val_pred_dist"),
         _distribution(scaled, "y", "val_true_dist"),
         _items(E.spatial_breakdown(predictions, sp), "spatial", spatial),
         E.worst_entities(predictions, sp=sp).selectExpr(
             "'worst' as section", f"{sp.key} as item", f"{X.rounded('mae', 4)} as value"),
-        E.temporal_breakdown(predictions, sp).selectExpr(
+        by_hour.selectExpr(
             "'temporal' as section", f"cast({sp.hour} as string) as item", f"{X.rounded('r2', 4)} as value"),
+        _items(E.temporal_summary(by_hour, sp), "temporal", {"r2_min": 4, "r2_max": 4, "worst_hour": 0}),
         cold_keys.agg(F.count("*").alias("n")).selectExpr(
             "'cold_start' as section", "'n_keys' as item", "cast(n as double) as value"),
     ]
     if test_values is not None:
         parts.append(_distribution(test_values, "demand", "test_pred_dist"))
+    if importance is not None:
+        parts.append(top_features(importance).selectExpr(
+            "'feature_importance' as section", "name as item", f"{X.rounded('score', 4)} as value"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -6,6 +6,7 @@ A name starting with ``~`` in ``out`` is rounded, like ``r`` does on the SQL sid
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from slotcast.operators import quality as Q
 from slotcast.plans import feature_matrix as FM
 from slotcast.plans import history as H
 from slotcast.plans import reports, target_day
-from slotcast.session import materialize, scratch_path, tune
+from slotcast.session import materialize, scratch_path, tuned
 from slotcast.sources import events_view as V
 from slotcast.sources import sinks, tables
 from slotcast.spec import DEFAULT as SP
@@ -37,7 +38,8 @@ ORACLES: dict[str, str] = {}
 def query(name: str, final: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(tune(spark), sf_dir)
+            with tuned(spark):
+                return fn(spark, sf_dir)
 
         QUERIES[name] = run
         if final is not None:
@@ -88,14 +90,14 @@ RAW = ["Index", "geohash", "day", "timestamp", "RoadType", "NumberofLanes", "Lar
 @query("scan_observations", f"SELECT {', '.join(RAW)}, demand FROM train")
 def _(spark, d):
     path = scratch_path(spark, "observations")
-    V.labelled(spark, d).select(*RAW, "demand").write.csv(path, header=True)
+    V.labelled(spark, d).selectExpr("demand", *RAW[::-1], "'x' as other").write.csv(path, header=True)
     return tables.read_observations(spark, path)
 
 
 @query("scan_targets", f"SELECT {', '.join(RAW)} FROM test")
 def _(spark, d):
     path = scratch_path(spark, "targets")
-    V.unlabelled(spark, d).select(*RAW).write.csv(path, header=True)
+    V.unlabelled(spark, d).select(*RAW[3:], *RAW[:3]).write.csv(path, header=True)
     return tables.read_observations(spark, path, labelled=False)
 
 
@@ -183,12 +185,12 @@ def run_log(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "runlog")
     events = spark.read.parquet(f"{d}/events.parquet")
     record = """to_json(named_struct(
-        'ts', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), 'lb', case when event_id % 5 <> 0 then value end,
+        'ts', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), 'lb', case when event_id % 5 <> 0 then value when event_id % 2 = 0 then 0D end,
         'blend_calib', value / 1000, 'blend_raw', value / 500, 'et', case when event_id % 4 <> 0 then value / 200 end,
         'w', case when event_id % 4 <> 0 then named_struct('lgbm', 0.25D, 'cat', 0D, 'et', 0.75D) end,
         'calib_ab', array(1D, 0D), 'n_feat', user_id, 'note', event_type))"""
     events.selectExpr(
-        f"case when event_id % 11 = 0 then '' when event_id % 13 = 0 then substring({record}, 1, 40) else {record} end as value"
+        f"case when event_id % 11 = 0 then '' when event_id % 13 = 0 then substring({record}, 1, 40) else regexp_replace({record}, '\"lb\":0.0,', '\"lb\":\"n/a\",') end as value"
     ).write.text(path)
     return tables.read_run_log(spark, path)
 
@@ -200,9 +202,10 @@ def _(spark, d):
     return out(run_log(spark, d), "ts", "~lb", "~blend_calib", "~blend_raw", "~et", "n_feat", "note", "~w.et as w_et")
 
 
-@query("run_log_missing", "SELECT ts, lb, note FROM runs WHERE false")
+@query("run_log_missing", f"SELECT ts, {r('lb')}, note FROM runs")
 def _(spark, d):
-    return tables.read_run_log(spark, scratch_path(spark, "absent")).select("ts", "lb", "note")
+    missing = tables.read_run_log(spark, scratch_path(spark, "absent"))
+    return out(missing.unionByName(run_log(spark, d)), "ts", "~lb", "note")
 
 
 OOF_SQL = f"SELECT Index, fold, {r('y_log')}, {', '.join(r(m) for m in STANDINS)} FROM oof"
@@ -816,10 +819,10 @@ def _(spark, d):
     return H.stack_rows(*split(spark, d)).select("Index", "day", "is_test")
 
 
-@query("distinct_entities", "SELECT DISTINCT geohash, NumberofLanes FROM base WHERE split IN ('train', 'test')")
+@query("distinct_entities", "SELECT geohash, arg_min(NumberofLanes, Index) AS NumberofLanes FROM base WHERE split IN ('train', 'test') GROUP BY geohash")
 def _(spark, d):
     train, test = split(spark, d)
-    return H.stack_rows(train, test).select("geohash", "NumberofLanes").dropDuplicates(["geohash"])
+    return P.grouped(H.stack_rows(train, test), ["geohash"], NumberofLanes="min_by(NumberofLanes, Index)")
 
 
 # --- zones, blending ------------------------------------------------------------------------
@@ -838,10 +841,10 @@ def _(spark, d):
     rows = V.observations(spark, d)
     points = geo.decode(rows)
     lanes = rows.select("geohash", "NumberofLanes").distinct()
-    # five centres: one per number of lanes
+    # one centre per number of lanes
     means = P.grouped(points.join(lanes, "geohash"), ["NumberofLanes"], lat="avg(lat)", lon="avg(lon)")
-    centres = [(c["lat"], c["lon"]) for c in means.orderBy("NumberofLanes").limit(5).collect()]
-    return clusters.assign_centroid(points, centres).select("geohash", "cluster")
+    centres = means.selectExpr("row_number() over (order by NumberofLanes) - 1 as cluster", "lat", "lon")
+    return clusters.assign_centroid_table(points, centres).select("geohash", "cluster")
 
 
 @query("blend_weights", "SELECT w_oof_a, w_oof_b, w_oof_forest, w_oof_c, " + rr("r2", "score") + " FROM best")
@@ -873,12 +876,18 @@ def _(spark, d):
 
 @query("reblend", f"""
     SELECT Index, {r('0.1 * oof_a + 0.2 * oof_b + 0.6 * oof_forest + 0.1 * oof_c', 'with_weights')},
-           {r('1.1 * (0.3 * oof_a + 0.7 * oof_b) - 0.2', 'two_models')} FROM oof WHERE fold = 0""")
+           {r('1.1 * (0.3 * oof_a + 0.7 * oof_b) - 0.2', 'two_models')},
+           {r('0.1 * oof_a + 0.2 * oof_b + 0.6 * oof_forest', 'without_c')}, {r('0.3 * oof_a + 0.7 * oof_b', 'without_forest')}
+    FROM oof WHERE fold = 0""")
 def _(spark, d):
     rows = oof(spark, d).where("fold = 0")
     both = B.reblend(rows, WEIGHTS, ("oof_a", "oof_b", 0.3)).withColumnRenamed("p_log", "with_weights")
-    both = B.reblend(both, None, ("oof_a", "oof_b", 0.3), calibration=(1.1, -0.2))
-    return out(both, "Index", "~with_weights", "~p_log as two_models")
+    both = B.reblend(both, None, ("oof_a", "oof_b", 0.3), calibration=(1.1, -0.2)).withColumnRenamed("p_log", "two_models")
+    both = both.withColumns({"kept_c": F.col("oof_c"), "oof_c": F.lit(None).cast("double")})
+    both = B.reblend(both, WEIGHTS, ("oof_a", "oof_b", 0.3)).withColumnRenamed("p_log", "without_c")
+    both = both.withColumn("oof_forest", F.lit(None).cast("double"))
+    both = B.reblend(both, WEIGHTS, ("oof_a", "oof_b", 0.3))
+    return out(both, "Index", "~with_weights", "~two_models", "~without_c", "~p_log as without_forest")
 
 
 # --- learned models (rows-only check) ---------------------------------------------------------
@@ -890,7 +899,8 @@ QUICK = M.ModelParams(boosting_rounds=5, min_final_rounds=5, step=0.1, forest_tr
 
 def trained(spark: SparkSession, d: str, refit: bool = False) -> M.Trained:
     train, test = stored(spark, d)
-    return M.train_ensemble(FM.build_features(train, test), QUICK, refit=refit)
+    zones = clusters.spatial_clusters(train, test, restarts=1)
+    return M.train_ensemble(FM.build_features(train, test, clusters=zones), QUICK, refit=refit)
 
 
 @query("train_ensemble")
@@ -912,9 +922,61 @@ def _(spark, d):
 
 @query("top_features")
 def _(spark, d):
-    result = trained(spark, d)
-    fold = result.fold_models
-    return M.top_features(M.feature_importance(fold.models["oof_a"], fold.inputs["oof_a"], spark))
+    final = trained(spark, d, refit=True).final_models
+    return M.top_features(M.feature_importance(final.models["oof_a"], final.inputs["oof_a"], spark))
+
+
+# What SQL can say about the learners' results: which rows they cover and in which bounds they lie.
+_FACTS = {
+    "rows_fit": "(SELECT count(*) FROM oof WHERE fold = -1)", "rows_validated": "(SELECT count(*) FROM oof WHERE fold = 0)",
+    **{f"{m}_predicted": "(SELECT count(*) FROM oof WHERE fold = 0)" for m in M.MODELS},
+    "predicted_in_fit": "0", "ids": "(SELECT count(DISTINCT Index) FROM oof)",
+    "test_rows": "(SELECT count(*) FROM test)", "test_ids": "(SELECT count(DISTINCT Index) FROM test)", "test_out_of_range": "0",
+    "weight_sum": "1", "negative_weights": "0", "importance_sum": "1", "importance_names": str(len(S.NUMERIC_FEATURES) + 3),
+    "negative_importances": "0",
+}
+
+
+@query("ensemble_facts", " UNION ALL ".join(f"SELECT '{k}' AS fact, CAST({v} AS DOUBLE) AS value FROM gm" for k, v in _FACTS.items()))
+def _(spark, d):
+    result = trained(spark, d, refit=True)
+    rows = materialize(result.oof)
+    best = B.best_weights(B.simplex_scores(rows.where("fold = 0"), M.MODELS, steps=4), M.MODELS)
+    final = materialize(B.apply_weights(result.test, M.MODELS, best))
+    models = result.final_models
+    importance = M.feature_importance(models.models["oof_a"], models.inputs["oof_a"], spark)
+    weights = [f"w_{m}" for m in M.MODELS]
+    facts = {
+        "rows_fit": (rows, "count_if(fold = -1)"), "rows_validated": (rows, "count_if(fold = 0)"),
+        **{f"{m}_predicted": (rows, f"count_if(fold = 0 and {m} is not null and not isnan({m}))") for m in M.MODELS},
+        "predicted_in_fit": (rows, f"count_if(fold = -1 and coalesce({', '.join(M.MODELS)}) is not null)"),
+        "ids": (rows, "count(distinct Index)"), "test_rows": (final, "count(*)"), "test_ids": (final, "count(distinct Index)"),
+        "test_out_of_range": (final, "count_if(blend is null or not blend > 0 or blend > 1)"),
+        "weight_sum": (best, f"round(sum({' + '.join(weights)}), 9)"), "negative_weights": (best, f"count_if(least({', '.join(weights)}) < 0)"),
+        "importance_sum": (importance, "round(sum(score), 9)"), "importance_names": (importance, "count(distinct name)"),
+        "negative_importances": (importance, "count_if(score < 0)"),
+    }
+    parts = [df.selectExpr(f"'{name}' as fact", f"cast({e} as double) as value") for name, (df, e) in facts.items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
+@query("zone_facts", f"""
+    SELECT 'keys' AS fact, CAST(count(DISTINCT geohash) AS DOUBLE) AS value FROM base WHERE split IN ('train', 'test')
+    UNION ALL SELECT 'keys_twice', 0.0 FROM gm UNION ALL SELECT 'not_at_nearest_centre', 0.0 FROM gm
+    UNION ALL SELECT 'zones', least({SP.n_clusters}, count(DISTINCT geohash)) * 1.0 FROM train""")
+def _(spark, d):
+    train, test = split(spark, d)
+    seen = materialize(geo.decode(train).where("valid"))
+    centres = clusters.centres(clusters.fit_zones(seen, SP.n_clusters, restarts=1))
+    every = geo.decode(train.select("geohash").unionByName(test.select("geohash")))
+    zones = materialize(clusters.assign_centroid(every, centres))
+    table = spark.createDataFrame([(i, *c) for i, c in enumerate(centres)], "cluster int, lat double, lon double")
+    nearest = clusters.assign_centroid_table(zones.withColumnRenamed("cluster", "given"), table)
+    counts = P.grouped(zones, ["geohash"], n="count(*)")
+    facts = {"keys": (counts, "count(*)"), "keys_twice": (counts, "count_if(n > 1)"),
+             "not_at_nearest_centre": (nearest, "count_if(given <> cluster)"), "zones": (table, "count(*)")}
+    parts = [df.selectExpr(f"'{name}' as fact", f"cast({e} as double) as value") for name, (df, e) in facts.items()]
+    return reduce(DataFrame.unionAll, parts)
 
 
 # --- composites ------------------------------------------------------------------------------
@@ -1019,19 +1081,24 @@ REPORT_PARTS = [
     f"SELECT 'spatial', 'n_keys', {r('count(*)', 'value', 0)} FROM err",
     f"SELECT 'worst', geohash, {r('mae', 'value', 4)} FROM (SELECT * FROM err ORDER BY mae DESC, geohash LIMIT 5)",
     f"SELECT 'temporal', CAST(hour AS VARCHAR), {r('r2', 'value', 4)} FROM byhour",
+    f"SELECT 'confusion', 'acc-' || CAST(bucket AS VARCHAR), {r('acc', 'value', 4)} FROM diag",
+    *[f"SELECT 'temporal', 'r2_{f}', {f}(value) FROM (SELECT {r('r2', 'value', 4)} FROM byhour WHERE r2 IS NOT NULL) x" for f in ("min", "max")],
+    f"SELECT 'temporal', 'worst_hour', (SELECT CAST(hour AS DOUBLE) FROM (SELECT hour, {r('r2', 'value', 4)} FROM byhour WHERE r2 IS NOT NULL) x ORDER BY value, hour LIMIT 1) FROM gm",
     "SELECT 'cold_start', 'n_keys', CAST((SELECT count(*) FROM keys WHERE key_class = 'cold') AS DOUBLE)",
 ]
-for _v, _name in (("p", "val_pred_dist"), ("y", "val_true_dist")):
-    REPORT_PARTS += [f"SELECT '{_name}', 'p{q}', {r(f'quantile_cont({_v}, {q / 100})', 'value', 5)} FROM val" for q in (10, 25, 50, 75, 90, 99)]
-    REPORT_PARTS += [f"SELECT '{_name}', 'mean', {r(f'avg({_v})', 'value', 5)} FROM val",
-                     f"SELECT '{_name}', 'std', {r(f'stddev_pop({_v})', 'value', 5)} FROM val"]
-    REPORT_PARTS += [f"SELECT '{_name}', 'frac{i}', {r(f'avg(CASE WHEN {O.bucket(_v)} = {i} THEN 1.0 ELSE 0.0 END)', 'value', 4)} FROM val" for i in range(4)]
+_TEST = f"(SELECT coalesce(sm.sm / (gm.gm + {O.EPS}), 1.0) * coalesce(gh.mean, gm.gm) AS p FROM test t CROSS JOIN gm LEFT JOIN sm ON sm.s = t.s LEFT JOIN gh ON gh.geohash = t.geohash) q"
+for _v, _name, _from in (("p", "val_pred_dist", "val"), ("y", "val_true_dist", "val"), ("p", "test_pred_dist", _TEST)):
+    REPORT_PARTS += [f"SELECT '{_name}', 'p{q}', {r(f'quantile_cont({_v}, {q / 100})', 'value', 5)} FROM {_from}" for q in (10, 25, 50, 75, 90, 99)]
+    REPORT_PARTS += [f"SELECT '{_name}', 'mean', {r(f'avg({_v})', 'value', 5)} FROM {_from}",
+                     f"SELECT '{_name}', 'std', {r(f'stddev_pop({_v})', 'value', 5)} FROM {_from}"]
+    REPORT_PARTS += [f"SELECT '{_name}', 'frac{i}', {r(f'avg(CASE WHEN {O.bucket(_v)} = {i} THEN 1.0 ELSE 0.0 END)', 'value', 4)} FROM {_from}" for i in range(4)]
 
 
 @query("evaluation_report", " UNION ALL ".join(REPORT_PARTS))
 def _(spark, d):
     train, test = split(spark, d)
-    return reports.evaluation_report(materialize(validation(spark, d)), H.cold_keys(train, test))
+    return reports.evaluation_report(
+        materialize(validation(spark, d)), H.cold_keys(train, test), test_values=naive_forecast(spark, d).select("demand"))
 
 
 def _check(name: str, value: str, source: str) -> str:
@@ -1095,7 +1162,7 @@ def _(spark, d):
     predictions = materialize(validation(spark, d))
     val_mean = E.on_value_scale(predictions).agg(F.avg("p"))
     rows = (
-        Q.feature_checks(built)
+        Q.feature_checks(built, matrix=FM.feature_matrix(built))
         .unionByName(Q.model_checks(predictions, "oof_a", "oof_b", train_r2))
         .unionByName(Q.output_checks(naive_forecast(spark, d), test, val_mean))
     )

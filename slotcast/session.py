@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,20 +32,32 @@ def build_session(app: str = "slotcast", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Sets the runtime options on a session somebody else built."""
-    for name, value in RUNTIME.items():
-        if spark.conf.get(name, None) != value:
-            spark.conf.set(name, value)
-    return spark
+@contextmanager
+def tuned(spark: SparkSession) -> Iterator[SparkSession]:
+    """The runtime options on a session somebody else built, for as long as plans are made and stored."""
+    before = {name: spark.conf.get(name, None) for name in RUNTIME}
+    try:
+        for name, value in RUNTIME.items():
+            if before[name] != value:
+                spark.conf.set(name, value)
+        yield spark
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            elif value != RUNTIME[name]:
+                spark.conf.set(name, value)
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: the session's checkpoint directory.
 
-    Only where the session names none (unit tests on one machine) a local one is set.
+    Only where the session names none and runs on this machine alone (unit tests) a local one
+    is set; a cluster without one is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and spark.sparkContext.getCheckpointDir() is None and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="slotcast-"))
     return configured or spark.sparkContext.getCheckpointDir()
@@ -54,6 +68,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_collecting: list[list[str]] = []
+
+
+@contextmanager
+def stored_tables_dropped(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at the end, the tables stored inside the block; nothing that reads them may be left."""
+    paths: list[str] = []
+    _collecting.append(paths)
+    try:
+        yield
+    finally:
+        _collecting.remove(paths)
+        conf, hadoop = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in paths:
+            hadoop(path).getFileSystem(conf).delete(hadoop(path), True)
+
+
 def materialize(df: DataFrame, *by: str) -> DataFrame:
     """Compute once, store as a table in the shared folder and continue from the stored rows.
 
@@ -64,6 +95,8 @@ def materialize(df: DataFrame, *by: str) -> DataFrame:
     nothing to recompute when an executor is lost.
     """
     path = scratch_path(df.sparkSession, "table")
+    for kept in _collecting:
+        kept.append(path)
     if by:
         df = df.repartition(*by)
     df.write.parquet(path)

@@ -30,12 +30,14 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg({"value": "avg", "event_type": "min", "kk": "min"})
     )
     key = ", ".join([
-        "'qp'", _char("floor(user_id / 1000) % 32"), _char("floor(user_id / 100) % 10"),
+        # q and p for the first 32,000 users, then the next characters; six hold 32 * 32 * 32,000 users
+        _char(f"(22 + floor(user_id / {32_000 * 32})) % 32"), _char("(21 + floor(user_id / 32000)) % 32"),
+        _char("floor(user_id / 1000) % 32"), _char("floor(user_id / 100) % 10"),
         _char("floor(user_id / 10) % 10"), _char("user_id % 10"),
     ])
     return cells.selectExpr(
         "cast((user_id * 2 + day - 48) * 1440 + slot as bigint) as Index",
-        f"concat({key}) as geohash",
+        f"case when user_id < {32_000 * 32 * 32} then concat({key}) else cast(raise_error('too many users for six characters') as string) end as geohash",
         "day",
         "concat(cast(floor(slot / 60) as string), ':', cast(slot % 60 as string)) as timestamp",
         """case when user_id % 7 = 0 then null when user_id % 7 in (1, 2) then 'Highway'

@@ -38,24 +38,53 @@ RUN_SCHEMA = (
 )
 
 
+# Texts that stand for a missing value in the input files.
+MISSING = ("", "NA", "N/A", "NaN", "nan", "null", "NULL", "None")
+
+
+def _typed(field: T.StructField) -> str:
+    """SQL for a column read as text: its typed value, NULL where missing, an error where it is no such value."""
+    name, kind = f"`{field.name}`", field.dataType.simpleString()
+    missing = f"{name} is null or trim({name}) in ({', '.join(map(repr, MISSING))})"
+    if field.dataType == T.StringType():
+        return f"case when {missing} then null else {name} end as {name}"
+    wrong = f"raise_error(concat('column {field.name}: not a {kind}: ', {name}))"
+    value = f"try_cast({name} as {kind})"
+    if field.dataType in (T.IntegerType(), T.LongType()):  # whole numbers may be written with a fraction of zero
+        value = f"coalesce({value}, case when try_cast({name} as double) % 1 = 0 then try_cast(try_cast({name} as double) as {kind}) end)"
+    return f"case when {missing} then null else coalesce({value}, cast({wrong} as {kind})) end as {name}"
+
+
 def read_observations(spark: SparkSession, path: str, labelled: bool = True, fmt: str = "csv") -> DataFrame:
-    """Observation rows; NaN values become NULL so that averages skip them."""
+    """Observation rows, columns by their names in the header; NaN values become NULL so that averages skip them.
+
+    Files may have the columns in any order and others besides; a missing column or a value
+    that is not of its column's type is an error.
+    """
     schema = LABELLED_SCHEMA if labelled else UNLABELLED_SCHEMA
-    reader = spark.read.schema(schema)
-    df = reader.csv(path, header=True) if fmt == "csv" else reader.format(fmt).load(path)
+    if fmt == "csv":
+        df = spark.read.csv(path, header=True, enforceSchema=False).selectExpr(*map(_typed, schema))
+    else:
+        df = spark.read.format(fmt).load(path).select(*[F.col(f.name).cast(f.dataType) for f in schema])
     return df.withColumns(
         {f.name: F.nanvl(f.name, F.lit(None).cast("double")) for f in schema if f.dataType == T.DoubleType()}
     )
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines of run records; blank and malformed lines are skipped, a missing path is empty."""
+    """JSON lines of run records; blank lines and lines that are not JSON are skipped, a missing path is empty.
+
+    A field of another type than expected is NULL, the rest of its record stays.
+    """
     try:
-        return spark.read.schema(RUN_SCHEMA).option("mode", "DROPMALFORMED").json(path)
+        lines = spark.read.text(path)
     except AnalysisException as err:
         if err.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], RUN_SCHEMA)
+    readable = F.from_json("value", "map<string, string>", {"mode": "PERMISSIVE"}).isNotNull()
+    whole = F.rtrim("value").endswith("}")
+    return lines.where(readable & whole).select(F.from_json("value", RUN_SCHEMA).alias("r")).select("r.*")
 
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:

@@ -34,7 +34,7 @@ def test_confusion_matrix_is_zero_filled(spark):
 def test_residuals_against_numpy(spark):
     rng = np.random.default_rng(4)
     y, p = np.exp(rng.normal(-3, 1, 200)), np.exp(rng.normal(-3, 1, 200))
-    got = E.residual_stats(predictions(spark, list(zip(y, p))), group_limit=20).first()
+    got = E.residual_stats(predictions(spark, list(zip(y, p)))).first()
     res = np.log(y) - np.log(p)
     centred = res - res.mean()
     want = {"mean": res.mean(), "median": np.median(res), "std": res.std(), "p5": np.quantile(res, 0.05),

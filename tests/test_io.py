@@ -21,6 +21,84 @@ def test_run_log_skips_blank_and_malformed_lines(spark, tmp_path):
     assert [(r["lb"], r["weights"], r["calibration"]) for r in history] == [("88.00", "-", "1.000,0.000"), ("-", "-", "1.000,0.000")]
 
 
+def test_run_log_keeps_valid_lines_with_a_mistyped_field(spark, tmp_path):
+    path = tmp_path / "runs.jsonl"
+    path.write_text('{"ts":"a","lb":"n/a","note":"x"}\n{"ts":"b","n_feat":50.0,"lb":1.5}\n{"ts":"c","lb":NaN}\nno json\n'
+                    '{"ts":"d","lb":2.5\n{"ts":"e","w":{"lgbm":"?","cat":0.5}}\n')
+    rows = {r["ts"]: r for r in tables.read_run_log(spark, str(path)).collect()}
+    assert set(rows) == {"a", "b", "c", "e"}
+    assert rows["a"]["lb"] is None and rows["a"]["note"] == "x" and rows["b"]["lb"] == 1.5 and rows["e"]["w"]["cat"] == 0.5
+
+
+def test_columns_go_by_name(spark, tmp_path):
+    names = ["geohash", "Index", "other", "day", "timestamp", "RoadType", "NumberofLanes", "LargeVehicles", "Landmarks", "Weather",
+             "Temperature"]
+    (tmp_path / "a.csv").write_text(",".join(names) + "\nqp0000,7,z,48,1:15,Street,2.0,Allowed,,Sunny,NaN\n")
+    row = tables.read_observations(spark, str(tmp_path / "a.csv"), labelled=False).first()
+    assert (row["Index"], row["geohash"], row["NumberofLanes"], row["Landmarks"], row["Temperature"]) == (7, "qp0000", 2, None, None)
+    with pytest.raises(Exception, match="demand"):
+        tables.read_observations(spark, str(tmp_path / "a.csv"))
+    (tmp_path / "b.csv").write_text(",".join(names) + "\nqp0000,x7,z,48,1:15,Street,2,Allowed,,Sunny,1\n")
+    with pytest.raises(Exception, match="column Index"):
+        tables.read_observations(spark, str(tmp_path / "b.csv"), labelled=False).collect()
+
+
+def test_long_geohashes_keep_all_characters(spark):
+    from slotcast.functions.geo import decode
+
+    keys = ["u4pruydqqvj", "u4pruydqqvj8n", "u4pruydqqvj8p", "u4pruydqqvj8nnnnnnnn", "bad!", None]
+    rows = {r["geohash"]: r for r in decode(spark.createDataFrame([(k,) for k in keys], "geohash string")).collect()}
+    assert rows["u4pruydqqvj"]["lat"] == pytest.approx(57.64911, abs=1e-5) and rows["u4pruydqqvj"]["lon"] == pytest.approx(10.40744, abs=1e-5)
+    assert rows["u4pruydqqvj8n"]["lon"] != rows["u4pruydqqvj8p"]["lon"] or rows["u4pruydqqvj8n"]["lat"] != rows["u4pruydqqvj8p"]["lat"]
+    assert rows["u4pruydqqvj8nnnnnnnn"]["valid"] and not rows["bad!"]["valid"]
+    with pytest.raises(Exception, match="more than 24"):
+        decode(spark.createDataFrame([("u" * 25,)], "geohash string")).collect()
+
+
+def test_view_keys_differ_beyond_32000_users(spark):
+    from slotcast.sources.events_view import observations
+
+    path = scratch_path(spark, "events")
+    users = [5, 31_999, 32_005, 64_005, 1_024_005, 9_000_005]
+    spark.createDataFrame([(u, 1.0, "click", "k1") for u in users], "user_id bigint, value double, event_type string, props string").selectExpr(
+        "user_id", "value", "event_type", "props", "timestamp'2024-01-20 10:00:00' as ts").write.parquet(f"{path}/events.parquet")
+    keys = [r["geohash"] for r in observations(spark, path).select("geohash").distinct().collect()]
+    assert len(keys) == len(users) and "qp0005" in keys
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from slotcast import session
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda name, default=None: None)
+
+        class sparkContext:
+            master = "yarn"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Cluster)
+
+
+def test_options_and_stored_tables_do_not_stay(spark):
+    import os
+
+    from slotcast import session
+
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with session.tuned(spark):
+            assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    with session.stored_tables_dropped(spark):
+        stored = session.materialize(spark.range(3)).inputFiles()[0].removeprefix("file:")
+        assert os.path.exists("/" + stored.lstrip("/"))
+    assert not os.path.exists("/" + stored.lstrip("/"))
+
+
 def test_missing_files_are_empty_tables(spark):
     assert tables.read_run_log(spark, scratch_path(spark, "nothing")).count() == 0
     assert tables.read_optional(spark, scratch_path(spark, "nothing"), "a bigint").count() == 0

@@ -6,6 +6,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from slotcast.operators import blend as B
 from slotcast.operators import categories, clusters
@@ -113,6 +114,71 @@ def test_whole_run_from_files(spark, planted):
     run = read_run_log(spark, f"{base}/out/runs").first()
     assert run["n_feat"] == 50 and run["n_val"] == 12 * 48 and run["eval"]["cold_start"] == 0
     assert abs(sum(run["w"]) - 1) < 1e-9 and run["blend_raw"] >= max(run["lgbm"], run["cat"], run["et"]) - 0.02
+    assert run["eval"]["worst_geo_mae"] >= run["eval"]["spatial_mae_mean"] and any(v is not None for v in run["eval"]["bucket_r2"])
     sections = {r["section"] for r in done.report.select("section").distinct().collect()}
-    assert {"residuals", "bucket_metrics", "confusion", "spatial", "temporal", "test_pred_dist", "worst"} <= sections
+    assert {"residuals", "bucket_metrics", "confusion", "spatial", "temporal", "test_pred_dist", "worst", "feature_importance"} <= sections
     assert spark.read.json(f"{base}/out/feature_stats").where("n_null > 0").count() == 0
+
+
+@pytest.mark.parametrize("losses,patience,kept", [([5, 4, 3, 3.5, 3.6, 1], 2, 3), ([5, 4, 3, 3.5, 3.6, 1], 9, 6), ([1.0], 5, 1), ([2, 2, 2], 1, 1)])
+def test_best_round(losses, patience, kept):
+    assert M.best_round(losses, patience) == kept
+
+
+def test_the_kept_round_is_the_best_one(built):
+    from pyspark.ml.regression import GBTRegressor
+
+    inputs = M.model_inputs(built.limit(1))["oof_a"]
+    columns = [c for c in inputs if not c.endswith("_code")]
+    rows = M._assemble(built.where("not is_test").fillna(0.0, columns), columns).select("fold", "features", "y_log")
+    model = GBTRegressor(featuresCol="features", labelCol="y_log", maxIter=12, stepSize=0.9, maxDepth=4, seed=1).fit(rows.where("fold = -1"))
+    losses = model.evaluateEachIteration(rows.where("fold = 0"), "squared")
+    kept = M.best_round(losses, 150)
+    cut = M.first_rounds(model, kept)
+    assert losses[kept - 1] == min(losses) and cut.getNumTrees == kept
+    assert cut.evaluateEachIteration(rows.where("fold = 0"), "squared") == pytest.approx(losses[:kept])
+    loss = cut.transform(rows.where("fold = 0")).selectExpr("avg((y_log - prediction) * (y_log - prediction)) as l").first()["l"]
+    assert loss == pytest.approx(min(losses)) and len(cut.featureImportances) == len(columns)
+
+
+def test_key_code_does_not_see_its_own_row(spark):
+    from slotcast.operators.encoding import inner_fold_te
+
+    def codes(change=None):
+        data = [(i, f"k{i % 3}", -1 if i < 30 else 0, float(i % 7) + (100.0 if i == change else 0.0)) for i in range(40)]
+        rows = spark.createDataFrame(data, "Index bigint, geohash string, fold int, y double")
+        rows = rows.unionByName(spark.createDataFrame([(99, "k0", None, None), (98, "new", None, None)], rows.schema))
+        coded = inner_fold_te(rows.where("y is not null"), rows, "geohash", "Index", "y", 5, 1.0, "code")
+        return {r["Index"]: r["code"] for r in coded.collect()}
+
+    before = codes()
+    for i in (0, 17, 29):
+        after = codes(i)
+        assert after[i] == before[i] and after[99 if i % 3 == 0 else 31] is not None
+    for i in (30, 39):
+        assert codes(i) == before
+    fit = [(i, float(i % 7)) for i in range(30) if i % 3 == 0]
+    prior = sum(float(i % 7) for i in range(30)) / 30
+    assert before[99] == pytest.approx((sum(v for _, v in fit) + prior) / (len(fit) + 1)) and before[98] == pytest.approx(prior)
+
+
+def test_many_categories_do_not_stop_the_learners(built):
+    wide = built.withColumn("Weather", F.expr("concat('w', Index % 70)"))
+    quick = M.ModelParams(boosting_rounds=2, min_final_rounds=2, step=0.2, forest_trees=2, depth_a=2, depth_b=2, depth_c=2,
+                          forest_depth=2, max_bins=32)
+    assert M.train_ensemble(materialize(wide), quick, refit=False).oof.where("fold = 0 and oof_a is null").count() == 0
+
+
+def test_an_absent_model_drops_out(spark):
+    rows = spark.createDataFrame([(math.log(v), math.log(v * 1.1), math.log(v * 0.7)) for v in (0.1, 0.2, 0.4, 0.3)], "y_log double, a double, b double")
+    rows = materialize(rows.selectExpr("*", "cast(null as double) as c"))
+    best = B.best_weights(B.simplex_scores(rows, ["a", "b", "c"], steps=5), ["a", "b", "c"]).first()
+    two = B.best_weights(B.simplex_scores(rows, ["a", "b"], steps=5), ["a", "b"]).first()
+    assert (best["w_a"], best["w_b"], best["w_c"], best["score"]) == (two["w_a"], two["w_b"], 0.0, pytest.approx(two["score"]))
+    fine = B.refine_weights(rows, ["a", "b", "c"], {m: best[f"w_{m}"] for m in "abc"}, 0.2)
+    assert fine["c"] == 0 and sum(fine.values()) == pytest.approx(1)
+    table = spark.createDataFrame([tuple(fine[m] for m in "abc")], "w_a double, w_b double, w_c double")
+    assert table.count() == 1
+    mixed = B.reblend(rows, {"a": 0.5, "b": 0.2, "c": 0.3}, ("a", "b", 0.25), required=("c",)).selectExpr("p_log", "0.25D * a + 0.75D * b as w").collect()
+    dropped = B.reblend(rows, {"a": 0.5, "b": 0.2, "c": 0.3}, ("a", "b", 0.25)).selectExpr("p_log", "0.5D * a + 0.2D * b as w").collect()
+    assert all(r["p_log"] == pytest.approx(r["w"]) for r in [*mixed, *dropped])

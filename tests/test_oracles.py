@@ -6,14 +6,16 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from slotcast.queries import ORACLES, QUERIES
 
-WITH_SQL = sorted(entry.oracle_sql())
+WITH_SQL = sorted(ORACLES)
 # fitted on a few hundred rows in test_models.py
 LEARNED = ["train_ensemble", "oof_predictions", "final_predictions", "top_features", "spatial_clusters"]
 
 
 def test_registry_is_complete():
-    assert set(entry.queries()) - set(WITH_SQL) == set(LEARNED)
+    assert set(QUERIES) - set(WITH_SQL) == set(LEARNED)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", WITH_SQL)

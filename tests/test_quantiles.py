@@ -1,4 +1,4 @@
-"""The refinement for large groups against numpy."""
+"""Ranks of groups of any size against numpy."""
 
 from __future__ import annotations
 
@@ -28,14 +28,14 @@ def test_large_and_small_groups(spark):
         "constant": np.full(1500, 0.25), "negative": -np.exp(rng.normal(0, 3, 1200)),
         "few": rng.random(7), "one": np.array([0.5]),
     }
-    check(exact_quantiles(frame(spark, groups), ["g"], "v", PROBS, group_limit=40, bins=16).collect(), groups)
+    check(exact_quantiles(frame(spark, groups), ["g"], "v", PROBS).collect(), groups)
 
 
 def test_without_groups(spark):
     rng = np.random.default_rng(1)
     values = np.concatenate([rng.random(2000), rng.normal(100, 1e-6, 1000)])
     df = frame(spark, {"all": values})
-    row = exact_quantiles(df, [], "v", PROBS, group_limit=25, bins=8).first()
+    row = exact_quantiles(df, [], "v", PROBS).first()
     for name, p in PROBS.items():
         assert row[name] == pytest.approx(np.quantile(values, p), rel=1e-12)
 
@@ -45,8 +45,41 @@ def test_nulls_are_left_out(spark):
     assert [tuple(r) for r in exact_quantiles(df, ["g"], "v", {"m": 0.5}).collect()] == [("a", 2.0)]
 
 
-def test_known_counts_give_the_same(spark):
-    groups = {"a": np.arange(500.0), "b": np.arange(20.0)}
-    df = frame(spark, groups)
-    counts = spark.createDataFrame([("a", 500), ("b", 20)], "g string, _n bigint")
-    check(exact_quantiles(df, ["g"], "v", PROBS, group_limit=50, bins=4, counts=counts).collect(), groups)
+def test_weights_count_rows(spark):
+    groups = {"a": np.repeat(np.arange(50.0), 10), "b": np.arange(20.0)}
+    rows = spark.createDataFrame([("a", float(v), 10) for v in range(50)] + [("b", float(v), 1) for v in range(20)]
+                                 + [("b", 99.0, 0)], "g string, v double, n int")
+    check(exact_quantiles(rows, ["g"], "v", PROBS, weight="n").collect(), groups)
+
+
+def test_infinity_and_nan(spark):
+    inf = float("inf")
+    groups = {"inf": [float(i) for i in range(99)] + [inf], "both": [-inf] + [0.0] * 50 + [inf] * 30, "huge": [-1.7e308, 1.7e308] * 40}
+    got = {r["g"]: r for r in exact_quantiles(frame(spark, groups), ["g"], "v", {"m": 0.5, "top": 1.0, "low": 0.0}).collect()}
+    assert (got["inf"]["m"], got["inf"]["top"]) == (49.5, inf) and (got["both"]["m"], got["both"]["low"]) == (0.0, -inf)
+    assert (got["huge"]["low"], got["huge"]["top"]) == (-1.7e308, 1.7e308)
+    nan = exact_quantiles(frame(spark, {"n": [1.0, 2.0, 3.0, float("nan"), float("nan")]}), ["g"], "v", {"m": 0.5, "top": 1.0}).first()
+    assert nan["m"] == 3.0 and np.isnan(nan["top"])
+
+
+def test_a_group_over_many_partitions(spark):
+    rng = np.random.default_rng(3)
+    values = rng.normal(0, 1, 20_000)
+    df = frame(spark, {"big": values, "null group": [1.0, 2.0]}).selectExpr("nullif(g, 'null group') as g", "v")
+    kept = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "23")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", PROBS).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept[1])
+    assert got[None]["p50"] == 1.5 and set(got) == {"big", None}
+    for name, p in PROBS.items():
+        assert got["big"][name] == pytest.approx(np.quantile(values, p), rel=1e-12)
+
+
+def test_no_rows(spark):
+    df = spark.createDataFrame([], "g string, v double")
+    assert exact_quantiles(df, ["g"], "v", PROBS).collect() == []
+    assert [tuple(r) for r in exact_quantiles(df, [], "v", {"m": 0.5}).collect()] == [(None,)]
