@@ -14,12 +14,12 @@ def fit(x, y, weight=None, steps: int = 300, l2: float = 1e-5):
 
     The step is the inverse of a bound on the curvature, so the loss goes down whatever the
     scale of the features; frequent features learn first, which is what keeps few rows from
-    being learned by heart.
+    being learned by heart. Rows of weight 0 teach nothing.
     """
     x = np.asarray(x, np.float32)
     y = np.asarray(y, np.float32)
     share = np.full((len(x), 1), 1.0 / len(x), np.float32) if weight is None else np.asarray(weight, np.float32)
-    rate = 1.0 / (0.25 * float((share[:, 0] * ((x * x).sum(1) + 1)).sum()) + l2)
+    rate = 1.0 / (0.25 * float((share[:, 0] * (np.einsum("ij,ij->i", x, x) + 1)).sum()) + l2)
     w, b = np.zeros((x.shape[1], y.shape[1]), np.float32), np.zeros(y.shape[1], np.float32)
     ahead_w, ahead_b = w, b
     for t in range(1, steps + 1):

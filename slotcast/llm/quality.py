@@ -137,20 +137,20 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             return
         y = table.column("y").to_numpy()
         held = (table.column("h").to_numpy().astype(np.int64) % 5) == 0
-        blocks = []
-        for _, _, data, offsets in T.slices(table.column("text")):
+        x = np.empty((len(y), 2 * BUCKETS), np.float32)  # the one large array: train_rows * 64 KB
+        for first, past, data, offsets in T.slices(table.column("text"), rows=64):
             _, hashes, rows = measure(data, offsets)
             word, word_rows, triple, triple_rows = _features(data, offsets, hashes, rows)
-            n = len(offsets) - 1
-            blocks.append(np.hstack([_shares(word, word_rows, n), _shares(triple, triple_rows, n)]))
-        x = SCALE * np.vstack(blocks)
+            n = past - first
+            x[first:past, :BUCKETS] = SCALE * _shares(word, word_rows, n)
+            x[first:past, BUCKETS:] = SCALE * _shares(triple, triple_rows, n)
         fitted = ~held
         if len(set(y[fitted])) < 2:
             fitted = np.ones(len(y), bool)
         if len(set(y[fitted])) < 2:
             return
         share = np.where(y == 1, 0.5 / max(1, (y[fitted] == 1).sum()), 0.5 / max(1, (y[fitted] == 0).sum()))
-        w, b = linear.fit(x[fitted], y[fitted, None], share[fitted, None])
+        w, b = linear.fit(x, y[:, None], np.where(fitted, share, 0.0)[:, None])
         margin = x @ w[:, 0] + b[0]
         judged = held if len(set(y[held])) == 2 else np.ones(len(y), bool)
         slope, shift = linear.platt(margin[judged], y[judged])
@@ -168,9 +168,12 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 def rate(docs: DataFrame, model: dict | None, doc_id: str = "doc_id", text: str = "text", keep: bool = False,
          threshold: float = THRESHOLD, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> DataFrame:
     """Per input row: id (or with ``keep`` the row as struct ``row``), base counts, verdicts and probability."""
+    at = docs.columns.index(text) if keep else 1
+
     def score(batches):
         for batch in batches:
-            for first, past, data, offsets in T.slices(batch.column(1)):
+            body = batch.column(0).field(at) if keep else batch.column(1)
+            for first, past, data, offsets in T.slices(body):
                 counts, hashes, rows = measure(data, offsets)
                 words, repeated = counts[0], counts[4]
                 failed = (words < min_words) | (100 * repeated > max_repeat_percent * words)
@@ -184,7 +187,7 @@ def rate(docs: DataFrame, model: dict | None, doc_id: str = "doc_id", text: str
                            "kept", "p_good"])
 
     key = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if keep else F.col(doc_id)
-    given = docs.select(key.alias("key"), F.col(text).alias("body"))
+    given = docs.select(key.alias("key"), *([] if keep else [F.col(text).alias("body")]))
     kind = given.schema["key"].dataType.simpleString()
     rated = given.mapInArrow(score, f"key {kind}, {BASE_SCHEMA}, base_failed boolean, kept boolean, p_good double")
     return rated.withColumnRenamed("key", "row" if keep else doc_id)

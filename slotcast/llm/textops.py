@@ -10,8 +10,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
-SLICE_ROWS = 2048
+SLICE_BYTES = 1 << 20
+SLICE_ROWS = 1024
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 U64 = np.uint64
