@@ -50,8 +50,8 @@ PATTERNS = {
     "person": rf"(?<![\p{{L}}\p{{N}}]){TITLE}{NAME}(?: {NAME})?",
 }
 MENTION = "|".join(f"(?:{p})" for p in PATTERNS.values())
-# What every mention holds at least one of; spares most texts the full pattern.
-HINT = r"[0-9@]|" + TITLE + "|AKIA|gh[pousr]_|sk-"
+# What every mention holds at least one of, a digit or @ or one of these; plain searches spare most texts the full pattern.
+HINTS = (*TITLES["m"], *TITLES["f"], "AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-")
 
 SYLLABLES = {"l": "ba be bo da de do fa fe fi ga ge go la le lo ma me mo na ne no ra re ro sa se so ta te to va ve".split(),
              "c": "ба бе бо да де до фа фе фи га ге го ла ле ло ма ме мо на не но ра ре ро са се со та те то ва ве".split()}
@@ -194,7 +194,8 @@ def replacements(mentions: DataFrame, key: str = KEY) -> DataFrame:
 
 def replaced(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     """Per input row: ``row`` (the row as it was), ``clean`` (its new text) and ``n_mentions``."""
-    has = f"coalesce(`{text}` RLIKE {_quoted(HINT)} AND `{text}` RLIKE {_quoted(MENTION)}, false)"
+    hint = " OR ".join([f"`{text}` RLIKE '[0-9@]'", *[f"contains(`{text}`, {_quoted(w)})" for w in HINTS]])
+    has = f"coalesce(({hint}) AND `{text}` RLIKE {_quoted(MENTION)}, false)"
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.expr(has).alias("has"))
     touched = docs.where(has).select(F.xxhash64(text).alias("h"), F.col(text).alias("body"))
     found = materialize(touched.select("h", F.explode(F.expr(mentions_of("body"))).alias("mention")).distinct())
