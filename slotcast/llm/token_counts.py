@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from slotcast.llm import tokens
+from slotcast.session import materialize
 
 LEDGER = "doc_id string, source string, lang string, version string, n_tokens bigint, sign int"
 ROLLUP = "source string, lang string, version string, n_docs bigint, n_tokens bigint"
@@ -76,7 +77,8 @@ def apply_batch(spark: SparkSession, path: str, batch: str, changes: DataFrame)
     if batch in committed(spark, path):
         return False
     folder = quote(batch, safe="")
-    rows = changes.select(*[F.col(c).cast({"n_tokens": "bigint", "seq": "bigint"}.get(c, "string")).alias(c) for c in CHANGE])
+    # stored: the counts behind the changes are dear, and three parts of the plan read them
+    rows = materialize(changes.select(*[F.col(c).cast({"n_tokens": "bigint", "seq": "bigint"}.get(c, "string")).alias(c) for c in CHANGE]))
     named = rows.where("doc_id IS NOT NULL")
     last = named.groupBy("doc_id", "version").agg(F.max(F.struct("seq", "op", "source", "lang", "n_tokens")).alias("c"))
     last = last.selectExpr("doc_id", "version", "c.op", "c.source", "c.lang", "coalesce(c.n_tokens, 0) AS n_tokens")
