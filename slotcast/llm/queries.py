@@ -119,7 +119,8 @@ def op8_training_order(spark, sf_dir):
     """Every sequence's place in the shards, with the checksum of what is read back from there."""
     made = token_shards.write(table(spark, sf_dir, "documents"), scratch_path(spark, "shards"), key=20240601)
     back = token_shards.read(spark, made).selectExpr("slot", "crc32(ids) AS ids_crc32")
-    return token_shards.index(spark, made).drop("crc32").join(back, "slot")
+    # the planner sees a few shards, not the sequences read from them, and would broadcast that side
+    return token_shards.index(spark, made).drop("crc32").join(back.hint("merge"), "slot")
 
 
 @query

@@ -199,145 +199,6 @@ def _write(spark: SparkSession, given: DataFrame, out: str, key: int, path: str,
     return {"path": out, "sequences": total, "stride": stride, "per_shard": per_shard, "dtype": kind, "key": key, "end": end}
 
 
-def index(self, slot):
-        return self._walk(slot, self.keys[::-1], True)
-
-
-def _sequences(batches, encoder, stride: int, end: int):
-    """(ids, true length, ids of the documents in it, checksum so far) of every sequence of a partition."""
-    rest, owners, crc = np.zeros(0, np.uint32), [], 0
-    for batch in batches:
-        for first, past, ids, bounds in encoder.encode(batch.column(1)):
-            ids, bounds = tokens.with_end(ids, bounds, end)
-            crc = zlib.crc32(ids.tobytes(), crc)
-            names = batch.column(0).slice(first, past - first).to_pylist()
-            owners += [(len(rest) + int(b), n) for b, n in zip(bounds[1:], names)]
-            rest = np.concatenate([rest, ids])
-            whole, at = len(rest) // stride * stride, 0
-            for start in range(0, whole, stride):
-                inside = []
-                while at < len(owners):
-                    inside.append(owners[at][1])
-                    if owners[at][0] > start + stride:
-                        break
-                    at += 1
-                    if owners[at - 1][0] == start + stride:
-                        break
-                yield rest[start:start + stride], stride, inside, crc
-            rest, owners = rest[whole:], [(b - whole, n) for b, n in owners[at:]]
-    if len(rest):
-        yield np.concatenate([rest, np.full(stride - len(rest), end, np.uint32)]), len(rest), [n for _, n in owners], crc
-
-
-def _given(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.col(doc_id).alias("id"), F.col(text).alias("body"))
-
-
-def _width(path: str) -> str:
-    from tokenizers import Tokenizer
-
-    return "<u2" if Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-
-
-def write(docs: DataFrame, out: str, key: int, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None,
-          stride: int = STRIDE, per_shard: int = PER_SHARD, end: int = END) -> dict:
-    """Writes shards and index of all documents below ``out``; returns what a reader needs to know."""
-    spark, path = docs.sparkSession, tokenizer or tokens.default_path()
-    out, kind, given = files.qualified(spark, out), _width(path), _given(docs, doc_id, text)
-    for attempt in range(TRIES):
-        try:
-            return _write(spark, given, f"{out}/try-{attempt}", key, path, kind, stride, per_shard, end)
-        except Exception as error:
-            if "partitions have changed" not in str(error) or attempt + 1 == TRIES:
-                raise
-    raise AssertionError
-
-
-def _write(spark: SparkSession, given: DataFrame, out: str, key: int, path: str, kind: str, stride: int, per_shard: int,
-           end: int) -> dict:
-    def count(batches):
-        n = crc = 0
-        for _, _, _, crc in _sequences(batches, tokens.encoder(path), stride, end):
-            n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n]), pa.array([crc])],
-                                         names=["part", "n", "crc"])
-
-    # One row per input partition: the only thing that passes the driver.
-    parts = {r["part"]: (r["n"], r["crc"]) for r in given.mapInArrow(count, "part int, n bigint, crc bigint").collect()}
-    size = max(parts, default=-1) + 1
-    counts = np.array([parts.get(p, (0, 0))[0] for p in range(size)], np.int64)
-    checks = np.array([parts.get(p, (0, 0))[1] for p in range(size)], np.int64)
-    base, total = np.cumsum(counts) - counts, int(counts.sum())
-    shards = -(-total // per_shard)
-    order = Permutation(total, key)
-    name = given.schema["id"].dataType.simpleString()
-
-    def place(batches):
-        part = TaskContext.get().partitionId()
-        if part >= size:
-            if any(batch.num_rows for batch in batches):
-                raise RuntimeError("partitions have changed")
-            return
-        n, crc, held = 0, 0, []
-
-        def flush():
-            index = base[part] + np.arange(n - len(held), n)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(order.slot(index)), pa.array(index), pa.array([h[1] for h in held], pa.int32()),
-                 pa.array([h[2] for h in held], pa.list_(id_type)),
-                 pa.array([h[0] for h in held], pa.binary())], names=["slot", "index", "n_tokens", "doc_ids", "ids"])
-
-        first = next(batches, None)
-        id_type = pa.null() if first is None else first.schema.field(0).type
-        given_batches = itertools.chain(() if first is None else (first,), batches)
-        for ids, length, owners, crc in _sequences(given_batches, tokens.encoder(path), stride, end):
-            n += 1
-            if n > counts[part]:
-                raise RuntimeError("partitions have changed")
-            held.append((pa.compress(ids.astype(kind).tobytes(), codec="zstd", asbytes=True), length, owners))
-            if len(held) == 256:
-                yield flush()
-                held = []
-        if held:
-            yield flush()
-        if n != counts[part] or crc != checks[part]:
-            raise RuntimeError("partitions have changed")
-
-    raw = stride * np.dtype(kind).itemsize
-
-    def store(batches):
-        output = shard = None
-        for batch in batches:
-            slots = batch.column("slot").to_numpy()
-            offsets, crcs = [], []
-            for slot, packed in zip(slots.tolist(), batch.column("ids")):
-                if slot // per_shard != shard:
-                    if output is not None:
-                        output.publish()
-                    shard = slot // per_shard
-                    output = files.Output(f"{out}/shards", f"shard-{shard:06d}.bin")
-                data = pa.decompress(packed.as_buffer(), decompressed_size=raw, codec="zstd", asbytes=True)
-                offsets.append(output.write(data))
-                crcs.append(zlib.crc32(data))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("slot"), pa.array(slots // per_shard), pa.array(offsets, pa.int64()), batch.column("index"),
-                 batch.column("n_tokens"), pa.array(crcs, pa.int64()), batch.column("doc_ids")],
-                names=["slot", "shard", "offset", "index", "n_tokens", "crc32", "doc_ids"])
-        if output is not None:
-            output.publish()
-
-    placed = given.mapInArrow(place, f"slot bigint, index bigint, n_tokens int, doc_ids array<{name}>, ids binary")
-    dealt = placed.repartition(max(1, shards), F.expr(f"slot DIV {per_shard}")).sortWithinPartitions("slot")
-    schema = f"slot bigint, shard bigint, offset bigint, index bigint, n_tokens int, crc32 bigint, doc_ids array<{name}>"
-    dealt.mapInArrow(store, schema).write.parquet(f"{out}/index")
-    return {"path": out, "sequences": total, "stride": stride, "per_shard": per_shard, "dtype": kind, "key": key, "end": end}
-
-
-def _chain(first, rest):
-    yield first
-    yield from rest
-
-
 def index(spark: SparkSession, made: dict) -> DataFrame:
     """``slot, shard, offset, index, n_tokens, crc32, doc_ids`` of every sequence."""
     return spark.read.parquet(f"{made['path']}/index")
