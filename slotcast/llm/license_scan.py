@@ -96,7 +96,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=
         f"'n', {len(t['b'])}, 'b', array({', '.join(map(_quoted, t['b']))}))" for t in known)
     source = f"`{text}`"
     paragraphs = PARAGRAPHS.replace("\\", "\\\\")
-    line_words = word_array("l").replace("w ->", "v ->").replace("w !=", "v !=")
+    line_words = word_array("l")
     # A newline separates words, so the text's words are its lines' words in a row.
     rows = docs.select(F.col(doc_id), F.explode(F.expr(
         f"array(transform(split(coalesce({source}, ''), '\\n', -1), l -> {line_words}))")).alias("lines"), F.expr(

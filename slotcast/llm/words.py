@@ -9,7 +9,8 @@ from __future__ import annotations
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same words before A-Z are lower-cased
+RAW_SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same before A-Z are lower-cased
+RAW_WORD = RAW_SEPARATOR.replace("[", "[^", 1)
 
 
 def lowered(text: str) -> str:
@@ -18,5 +19,12 @@ def lowered(text: str) -> str:
 
 def word_array(text: str) -> str:
     """SQL for the array of words of the SQL expression ``text``; null for null."""
-    pattern = SEPARATOR.replace("\\", "\\\\")
-    return f"filter(split({lowered(text)}, '{pattern}', -1), w -> w != '')"
+    # ASCII words have a fast lower(); of the others only those with A-Z need the slower translate().
+    low = f"IF(octet_length(w) = length(w), lower(w), IF(w RLIKE '[A-Z]', {lowered('w')}, w))"
+    return f"transform({raw_words(text)}, w -> {low})"
+
+
+def raw_words(text: str) -> str:
+    """SQL for the same words as they are written."""
+    pattern = RAW_SEPARATOR.replace("\\", "\\\\")
+    return f"filter(split({text}, '{pattern}', -1), w -> w != '')"
