@@ -3,8 +3,9 @@
 Test items become windows of ``window`` consecutive words; an item with fewer words, but at
 least one, is a single window. The windows' 64-bit hashes form a hash set that is broadcast
 when its measured size is within ``broadcast_bytes`` (beyond that the same join shuffles on
-the hash). Each document's windows are hashed in the scan, probed, and every probe hit is
-verified by comparing the words themselves. Only hits leave the scan.
+the hash). Each document's windows are hashed in the scan; a table of marks of fixed size tells
+most of them apart at once, the others are probed, and every probe hit is verified by comparing
+the words themselves. Only hits leave the scan.
 
 Defined results: a null or empty text has no words and no hits. Repeated rows each get the
 result of their text. Rows are matched by (id, hash of the text), so a repeated or null id
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from slotcast.llm.words import RAW_WORD, word_array
+from slotcast.llm.words import RAW_WORD, raw_words, word_array
 from slotcast.session import materialize
 
 WINDOW = 10
@@ -32,7 +33,29 @@ def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text",
             .selectExpr("item", f"explode(transform(sequence(1, size(words) - {length} + 1), "
                                 f"i -> slice(words, i, {length}))) AS b_words")
             .distinct()
-            .selectExpr("item", "size(b_words) AS b_len", "xxhash64(b_words) AS b_hash", "b_words"))
+            .selectExpr("item", "size(b_words) AS b_len", "transform(b_words, w -> xxhash64(w)) AS h", "b_words")
+            .selectExpr("item", "b_len", f"CASE b_len {' '.join(f'WHEN {n} THEN {_window_hash(n)}' for n in range(1, window + 1))} "
+                        "END AS b_hash", "b_words"))
+
+
+def _window_hash(length: int, start: str = "0") -> str:
+    """SQL for the hash of ``length`` word hashes of the array h, from a place on."""
+    return f"xxhash64({', '.join(f'h[{start} + {k}]' for k in range(length))})"
+
+
+MARK_BITS, MARK = 18, b"\x01"
+
+
+def _marks(grams: DataFrame) -> bytearray:
+    """One byte per value of the hashes' first bits, set where an item's window has that value.
+
+    Its size is fixed; the more windows the items have, the more windows of documents pass on
+    to the hash set itself.
+    """
+    marks = bytearray(1 << MARK_BITS)
+    for r in grams.select(F.shiftrightunsigned("b_hash", 64 - MARK_BITS).alias("at")).distinct().toLocalIterator():
+        marks[r["at"]] = MARK[0]
+    return marks
 
 
 def window_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -48,14 +71,25 @@ def window_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
                      F.sort_array(F.collect_set("b_len")).alias("lengths")).first()  # at most `window` lengths
     lengths = size["lengths"] or [window]
     probe = F.broadcast(grams) if (size["bytes"] or 0) <= broadcast_bytes else grams
-    # Each generator keeps the optimizer from evaluating the word split once per window.
+    marks = F.lit(_marks(grams))
+
+    def marked(n: int):
+        """Places of the windows of n words whose hash has a mark."""
+        return F.filter(F.sequence(F.lit(0), F.size("h") - n), lambda i: F.substring(
+            marks, F.shiftrightunsigned(F.xxhash64(*[F.get("h", i + k) for k in range(n)]), 64 - MARK_BITS).cast("int") + 1, F.lit(1)) == F.lit(MARK))
+
+    places = F.coalesce(*[F.when(F.col("len") == n, marked(n)) for n in lengths])
+    hashes = " ".join(f"WHEN {n} THEN {_window_hash(n, 'pos')}" for n in lengths)
+    # Each generator keeps the optimizer from evaluating the word split once per window. The words
+    # go along with marked windows only: those of items, and few others.
     scan = (docs
             .select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("th"),
                     F.explode(F.expr(f"array({word_array(f'`{text}`')})")).alias("words"))
             .where(f"size(words) >= {min(lengths)}")
+            .selectExpr("*", "explode(array(transform(words, w -> xxhash64(w)))) AS h")
             .selectExpr("*", f"explode(filter(array({', '.join(map(str, lengths))}), l -> l <= size(words))) AS len")
-            .selectExpr("*", "posexplode(transform(sequence(1, size(words) - len + 1), "
-                             "i -> xxhash64(slice(words, i, len)))) AS (pos, hash)"))
+            .select("*", F.explode(places).alias("pos"))
+            .selectExpr("id", "th", "words", "len", "pos", f"CASE len {hashes} END AS hash"))
     hits = scan.join(probe, F.expr("hash = b_hash AND len = b_len AND slice(words, pos + 1, len) = b_words"))
     return (hits.selectExpr("id", "th", "struct(pos AS first, pos + len AS past) AS span", "item")
             .groupBy("id", "th")
@@ -72,7 +106,7 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     hits = window_hits(docs, items, doc_id, text, item_id, item_text, window)
     hits = hits.selectExpr("id AS h_id", "th AS h_th", f"{COVERED} AS covered", "items AS found")
     rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("th"),
-                       F.expr(f"coalesce(size({word_array(f'`{text}`')}), 0)").alias("words"))
+                       F.expr(f"coalesce(size({raw_words(f'`{text}`')}), 0)").alias("words"))
     joined = rows.join(hits, F.expr("id <=> h_id AND th = h_th"), "left")
     return joined.select(
         F.col("id").alias(doc_id), F.expr("CAST(greatest(words, 0) AS BIGINT)").alias("n_words"),
