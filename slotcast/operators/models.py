@@ -29,7 +29,11 @@ CATEGORIES = ["RoadType", "Weather", "geohash_cluster"]
 
 @dataclass(frozen=True)
 class ModelParams:
-    """Sizes of the learners; the defaults are meant for a cluster."""
+    """Sizes of the learners; the defaults are meant for a cluster.
+
+    Fixed values: the rounds, step, depths and trees here, and the shares and leaf sizes in
+    ``_estimators``, are those of the forecast that is to be matched.
+    """
 
     boosting_rounds: int = 500
     patience: int = 150
