@@ -3,13 +3,14 @@
 Byte-level BPE merges inside pre-tokens only, and texts repeat their pre-tokens. A slice of
 texts is cut at the pre-token limits with array operations, each distinct pre-token is given
 to the tokenizer once, and the ids are gathered from a table that a worker process keeps
-between tasks. Texts with characters whose class is not the same in all Unicode versions go
-to the tokenizer as a whole. Pre-tokens are told apart by 64-bit hashes.
+between tasks. Texts with characters whose class is not the same in all Unicode versions, and texts that hold
+one of the tokenizer's added tokens literally, go to the tokenizer as a whole. Pre-tokens are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import sys
 import types
 import unicodedata
@@ -55,7 +56,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # a look ahead, so that occurrences may overlap
+        self.added = re.compile("(?=" + "|".join(map(re.escape, added)) + ")") if added else None
         self.classes = _classes()
         self.values = T.numbers(0x110000, 11)
         self._forget()
@@ -111,7 +114,9 @@ class Encoder:
             starts, kind = self._limits(points, offsets)
             ends = np.append(starts[1:], len(points))
             rows = T.rows_of(starts, offsets)
-            unsure = np.unique(T.rows_of(np.flatnonzero(kind == UNSURE), offsets))
+            # A literal across the limit of two texts only sends the first of them whole, too.
+            literal = np.array([m.start() for m in self.added.finditer(text)] if self.added else [], np.int64)
+            unsure = np.unique(T.rows_of(np.concatenate([np.flatnonzero(kind == UNSURE), literal]), offsets))
             hashes = T.Prefix(points, self.values).hashes(starts, ends)
             distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
             slots = self._slots(distinct, starts[where], ends[where], text)[back]

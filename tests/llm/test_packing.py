@@ -44,6 +44,17 @@ def test_ids_equal_tokenizer_on_any_text(encoder, texts):
     assert encoded(encoder, texts) == plain(encoder, texts)
 
 
+def test_ids_equal_the_file_as_given(encoder):
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [f"ab {end} cd", end, end * 3, f"{end}\n", "ab <|endoftext| > cd", "a <|endof", "text|> b", None, f"é{end}日本", "plain", f"don't{end}'s"]
+    fresh = Tokenizer.from_file(tokens.default_path())
+    want = [fresh.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert want[0] == [397, 220, 50256, 22927]
+    assert encoded(encoder, texts) == want and [encoded(encoder, [t])[0] for t in texts] == want
+
+
 def test_best_pattern_is_the_knapsack_optimum():
     rng = np.random.default_rng(0)
     for _ in range(20):
