@@ -6,6 +6,15 @@ template of b only if b * t / (2 - t) <= a <= b * (2 - t) / t; templates outside
 are skipped before any bigram is compared. Everything is one projection per row, without a
 shuffle.
 
+Notices inside longer segments are found as windows: runs of words of the text, of at most as
+many bigrams as a template's upper bound, that reach t with it. Windows that overlap a segment
+of Dice 1 are left out. Of the others the best is taken (higher Dice, template listed first,
+fewer words, further left), those that overlap it are dropped, and so on. A window taken is a
+hit unless it overlaps a matching segment of the same licence or of no lower Dice. As the best
+windows begin and end with a bigram of their template, only those are scored, and only in texts
+that hold enough bigrams of it. Taking windows compares each with those taken: a text of k
+notices without a line of their own costs k * k steps.
+
 Defined results: null, empty and one-word texts match nothing (``license`` null, ``dice`` 0,
 ``n_hits`` 0). Repeated segments count once. Equal coefficients go to the template listed
 first. Repeated rows and repeated ids each give a row; extra columns are not read.
@@ -78,12 +87,44 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _with_windows(rows: DataFrame, doc_id: str, threshold: float) -> DataFrame:
+    """``doc_id, hits``: the matching segments and, where ``n_near`` names templates, the windows beside them."""
+    def step(df: DataFrame, name: str, value: str, drop: tuple = ()) -> DataFrame:
+        return df.select(*[c for c in df.columns if c not in drop], F.explode(F.expr(f"array({value})")).alias(name))
+
+    def starts(parts: str) -> str:
+        return f"aggregate({parts}, array(0), (s, x) -> concat(s, array(element_at(s, -1) + size(x))))"
+
+    # Word spans of the matching segments; a newline separates words, so both cuts share the text's word numbers.
+    rows = step(rows, "cuts", "IF(size(matched) = 0, NULL, concat(n_lines, n_paragraphs, array(n_words)))")
+    rows = step(rows, "at", f"IF(cuts IS NULL, NULL, concat(slice({starts('n_lines')}, 1, size(n_lines)), "
+                f"slice({starts('n_paragraphs')}, 1, size(n_paragraphs)), array(0)))")
+    rows = step(rows, "spans", """coalesce(flatten(transform(sequence(0, size(cuts) - 1), i -> transform(
+        filter(matched, h -> h.segment = array_join(cuts[i], ' ')),
+        h -> named_struct('a', at[i], 'z', at[i] + size(cuts[i]), 'dice', h.dice, 'license', h.license)))),
+        CAST(array() AS array<struct<a:int,z:int,dice:double,license:string>>))""", ("cuts", "at", "n_lines", "n_paragraphs"))
+    rows = step(rows, "open", "array_except(n_marks, flatten(transform(filter(spans, s -> s.dice >= 1D), s -> sequence(s.a - 1, s.z - 1))))")
+    rows = step(rows, "grams", "IF(size(open) = 0, NULL, transform(sequence(0, size(n_words) - 2), i -> concat(n_words[i], ' ', n_words[i + 1])))")
+    score = "2.0D * size(array_intersect(slice(grams, i + 1, e), t.b)) / (size(array_distinct(slice(grams, i + 1, e))) + t.n)"
+    rows = step(rows, "windows", f"""IF(grams IS NULL, NULL, filter(flatten(transform(n_near, t -> flatten(transform(
+        filter(open, i -> array_contains(t.b, grams[i]) AND size(array_intersect(slice(grams, i + 1, t.hi), t.b)) >= t.lo),
+        i -> transform(
+            filter(sequence(1, least(t.hi, size(grams) - i)), e -> array_contains(t.b, grams[i + e - 1]) AND {score} >= {threshold!r}D),
+            e -> named_struct('behind', -({score}), 'ord', t.ord, 'n', e + 1, 'a', i, 'z', i + e + 1, 'license', t.name)))))),
+        x -> NOT exists(spans, s -> s.dice >= 1D AND s.a < x.z AND x.a < s.z)))""", ("open", "grams", "n_marks", "n_near"))
+    rows = step(rows, "taken", """aggregate(sort_array(windows), filter(windows, x -> false),
+        (s, x) -> IF(exists(s, y -> y.a < x.z AND x.a < y.z), s, concat(s, array(x))))""", ("windows",))
+    return rows.select(doc_id, F.expr("""IF(coalesce(size(taken), 0) <= 0, matched, array_distinct(concat(matched, transform(
+        filter(taken, x -> NOT exists(spans, s -> s.a < x.z AND x.a < s.z AND (s.license = x.license OR s.dice >= -x.behind))),
+        x -> named_struct('dice', -x.behind, 'ord', x.ord, 'license', x.license, 'segment', array_join(slice(n_words, x.a + 1, x.n), ' '))))))""").alias("hits"))
+
+
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=TEMPLATES,
          threshold: float = THRESHOLD) -> DataFrame:
     """Per input row: id, ``license, dice, n_hits, hits``.
 
-    ``hits`` lists (dice, ord, license, segment) of every distinct matching segment with its
-    best template; ``license`` and ``dice`` are those of the best hit.
+    ``hits`` lists (dice, ord, license, segment) of every distinct matching segment or window with
+    its best template; ``license`` and ``dice`` are those of the best hit.
     """
     known = _templates(docs, templates, threshold)
     if not known:
@@ -94,6 +135,11 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=
     literal = ", ".join(
         f"named_struct('ord', {t['ord']}, 'name', {_quoted(t['name'])}, 'lo', {t['lo']}, 'hi', {t['hi']}, "
         f"'n', {len(t['b'])}, 'b', array({', '.join(map(_quoted, t['b']))}))" for t in known)
+    def among(words) -> str:
+        return "IN (" + ", ".join(map(_quoted, sorted(words))) + ")"
+
+    pairs = {b for t in known for b in t["b"]}
+    first, second = ({b.split(" ")[k] for b in pairs} for k in (0, 1))
     source = f"`{text}`"
     paragraphs = PARAGRAPHS.replace("\\", "\\\\")
     line_words = word_array("l")
@@ -102,19 +148,31 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=
         f"array(transform(split(coalesce({source}, ''), '\\n', -1), l -> {line_words}))")).alias("lines"), F.expr(
         f"CASE WHEN {source} RLIKE '{paragraphs}' THEN transform(split({source}, '{paragraphs}', -1), l -> {line_words}) "
         "ELSE array() END").alias("paragraphs"))
+    rows = rows.select("*", F.explode(F.expr("array(flatten(lines))")).alias("words"))
+    # Where a bigram of a template begins, and the templates that have enough of theirs in the text.
+    rows = rows.select("*", F.explode(F.expr(
+        f"array(IF(size(words) < 2, CAST(array() AS array<int>), filter(sequence(0, size(words) - 2), i -> words[i] {among(first)} "
+        f"AND words[i + 1] {among(second)} AND concat(words[i], ' ', words[i + 1]) {among(pairs)})))")).alias("marks"))
+    held = "array_distinct(transform(marks, i -> concat(words[i], ' ', words[i + 1])))"
+    rows = rows.select("*", F.explode(F.expr(
+        f"array(IF(size(marks) < {lo}, array(), {held}))")).alias("held"))
+    rows = rows.select("*", F.explode(F.expr(
+        f"array(filter(array({literal}), t -> size(array_intersect(held, t.b)) >= t.lo))")).alias("near"))
+    kept = [F.expr(f"IF(size(near) = 0, NULL, {c})").alias(f"n_{c}") for c in ("lines", "paragraphs", "words", "marks", "near")]
     # Distinct bigrams are at most words - 1, so too few words cannot reach the lower bound.
-    segments = rows.select(doc_id, F.explode(F.expr(
-        f"array(transform(filter(concat(lines, paragraphs, array(flatten(lines))), s -> size(s) > {lo}), "
+    segments = rows.select(doc_id, *kept, F.explode(F.expr(
+        f"array(transform(filter(concat(lines, paragraphs, array(words)), s -> size(s) > {lo}), "
         f"s -> named_struct('s', s, 'b', {BIGRAMS.format(w='s')})))")).alias("segments"))
-    scored = segments.select(doc_id, F.explode(F.expr(f"""array(filter(transform(
+    carried = [doc_id, "n_lines", "n_paragraphs", "n_words", "n_marks", "n_near"]
+    scored = segments.select(*carried, F.explode(F.expr(f"""array(filter(transform(
         filter(segments, g -> size(g.b) BETWEEN {lo} AND {hi}),
         g -> named_struct('segment', array_join(g.s, ' '), 'best', array_max(transform(
             filter(array({literal}), t -> size(g.b) BETWEEN t.lo AND t.hi),
             t -> named_struct('dice', 2.0D * size(array_intersect(g.b, t.b)) / (size(g.b) + t.n), 'rank', -t.ord, 'license', t.name))))),
         h -> h.best.dice >= {threshold!r}D))""")).alias("h"))
-    hits = scored.select(doc_id, F.expr(
-        "array_distinct(transform(h, x -> named_struct('dice', x.best.dice, 'ord', -x.best.rank, 'license', x.best.license, "
-        "'segment', x.segment)))").alias("hits"))
+    hits = _with_windows(scored.select(*carried, F.explode(F.expr(
+        "array(array_distinct(transform(h, x -> named_struct('dice', x.best.dice, 'ord', -x.best.rank, 'license', x.best.license, "
+        "'segment', x.segment))))")).alias("matched")), doc_id, threshold)
     best = "array_max(transform(hits, x -> named_struct('dice', x.dice, 'rank', -x.ord, 'license', x.license)))"
     return hits.selectExpr(f"`{doc_id}`", f"{best}.license AS license", f"coalesce({best}.dice, 0D) AS dice",
                            "CAST(size(hits) AS BIGINT) AS n_hits", "hits")

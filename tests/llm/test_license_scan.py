@@ -52,3 +52,64 @@ def test_own_templates_and_empty_tables(spark):
     assert ls.scan(docs, templates=[("x", "one"), ("y", "")]).where("n_hits > 0").count() == 0
     assert [r["license"] for r in ls.scan(docs, templates=[("it's \\ odd", "line line")], threshold=1.0).where("n_hits > 0").collect()] == ["it's \\ odd"] * 2
     assert ls.scan(docs.where("false")).count() == 0
+
+
+GPL = """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+FILL = "and so we went down to the old river where under the trees nobody had seen the boat of last year"
+INSIDE = [FILL + " Licensed under the Apache License, Version 2.0. " + FILL, "/*\n" + GPL + " */\nint main;\n",
+          FILL + " Released under the MIT License. Licensed under CC BY 4.0! " + FILL + " licensed under the apache licence, version 2.0, " + FILL,
+          "Licensed under the MIT License.\n" + FILL + " Licensed under the MIT License. " + FILL, "Licensed under the MIT License. Now.",
+          (FILL + " Licensed under CC BY-SA 4.0. ") * 3, "Released under the MIT License. " * 7, FILL, "This is\nfree and unencumbered\nsoftware released into\nthe public domain. " + FILL,
+          FILL + " use of this source code is is is governed by a BSD-style license that can be found in the in the LICENSE file " + FILL]
+
+
+def plain_with_windows(text):
+    """Every run of words against every template, then the best disjoint ones beside the segments' hits."""
+    w, best, spans = words(text), {}, []
+    segments = [text.split("\n"), re.split(ls.PARAGRAPHS, text) if re.search(ls.PARAGRAPHS, text) else [], [text]]
+    known = [(order, name, set(zip(t, t[1:]))) for order, (name, body) in enumerate(ls.TEMPLATES) for t in [words(body)]]
+
+    def dice(run, b):
+        a = set(zip(run, run[1:]))
+        return 2 * len(a & b) / (len(a) + len(b))
+
+    for cut in segments:
+        at = 0
+        for s in map(words, cut):
+            top = max(((dice(s, b), -order, name) for order, name, b in known))
+            if top[0] >= ls.THRESHOLD:
+                best[tuple(s)] = top
+                spans.append((at, at + len(s), top[0], top[2]))
+            at += len(s)
+    windows = []
+    for order, name, b in known:
+        most = int(len(b) * (2 - ls.THRESHOLD) / ls.THRESHOLD + 1e-9)
+        for i in range(len(w)):
+            for z in range(i + 2, min(i + most + 1, len(w)) + 1):
+                d = dice(w[i:z], b)
+                if d >= ls.THRESHOLD and not any(s[2] == 1 and s[0] < z and i < s[1] for s in spans):
+                    windows.append((-d, order, z - i, i, z, name))
+    taken = []
+    for x in sorted(windows):
+        if not any(y[3] < x[4] and x[3] < y[4] for y in taken):
+            taken.append(x)
+    for d, order, _, i, z, name in taken:
+        if not any(s[0] < z and i < s[1] and (s[3] == name or s[2] >= -d) for s in spans):
+            best[tuple(w[i:z])] = (-d, -order, name)
+    top = max(best.values(), default=(0.0, 0, None))
+    return top[2], top[0], len(best)
+
+
+def test_notices_inside_segments_equal_all_windows(spark):
+    docs = spark.createDataFrame(list(enumerate(INSIDE)), "doc_id int, text string")
+    got = {r["doc_id"]: (r["license"], r["dice"], r["n_hits"]) for r in ls.scan(docs).collect()}
+    assert got == {i: plain_with_windows(t) for i, t in enumerate(INSIDE)}
+    assert got[0] == ("Apache-2.0", 1.0, 1) and got[1] == ("GPL-3.0", 1.0, 1) and got[2][2] == 2 and got[7] == (None, 0.0, 0)
