@@ -1,8 +1,11 @@
 """Personal data: mentions are found and replaced by keyed surrogates of the same kind and form.
 
-Kinds: e-mail addresses, phone numbers, IPv4 addresses, card and account numbers, social
+Kinds: e-mail addresses, phone numbers, IPv4 addresses, card and account numbers (IBAN), social
 security numbers, secrets (long hexadecimal runs, well-known key prefixes) and persons named
-after a title, which gives the gender. Names without a title are not recognised.
+after a title, which gives the gender (Dr and Prof alone count as masculine). Each name found so
+is a mention wherever it stands in the same text as a whole word, as written or in capitals; one
+that is both given name and surname there takes the surname's surrogate. Names that no title
+introduces in their text are not recognised.
 
 1. One regular expression finds the mentions; only distinct (text hash, mention) pairs leave
    the scan. Mentions become parts, parts become entities: (kind, canonical form).
@@ -15,7 +18,8 @@ after a title, which gives the gender. Names without a title are not recognised.
    and the texts that hold any are rebuilt around them. All of it is Spark SQL; texts without
    mentions are neither shuffled nor changed.
 
-Card numbers keep their first digit and whether their check digit is right. Names keep gender
+Card numbers keep their first digit and whether their check digit is right, IBANs their country,
+where letters stand, and whether their check digits are right. Names keep gender
 (by title), script (Latin or Cyrillic) and capitals; given names and surnames are replaced
 each by themselves, so "Mr Roe" and "Mr Jan Roe" stay the same man.
 
@@ -35,18 +39,26 @@ KEY = "replace-this-key"
 
 LOCAL = r"[\p{L}\p{N}._%+\-]"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-TITLES = {"m": ("Mr", "Herr", "Señor", "Monsieur", "Господин"),
-          "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "Госпожа")}
-NAME = r"\p{Lu}[\p{L}'’\-]{1,40}"
-TITLE = "(?:" + "|".join(sorted(TITLES["m"] + TITLES["f"], key=len, reverse=True)) + r")\.? "
+TITLES = {"m": ("Mr", "Herr", "Señor", "Sr", "Monsieur", "M.", "Господин", "Dr", "Prof"),
+          "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Mlle", "Госпожа")}
+
+
+def _any_title(titles) -> str:
+    return "(?:" + "|".join(t.replace(".", r"\.") for t in sorted(titles, key=len, reverse=True)) + r")\.? "
+
+
+# A possessive ending is not part of a name.
+NAME = r"\p{Lu}(?:\p{L}|['’\-](?=\p{L})(?![sS](?!\p{L}))){1,40}"
+TITLE = f"(?:{_any_title(TITLES['m'] + TITLES['f'])}){{1,3}}"
 # Every pattern starts with a look behind and has bounded runs, so a very long word costs no more than its length.
 PATTERNS = {
     "email": rf"(?<!{LOCAL}){LOCAL}{{1,64}}+@(?:[\p{{L}}\p{{N}}\-]{{1,63}}\.){{1,8}}\p{{L}}{{2,24}}",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,64})(?![0-9A-Za-z])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)",
+    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "card": r"(?<![\d.])(?:\d{13,19}|[3-6]\d{3}([ \-])\d{4}\1\d{4}\1\d{4})(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
-    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[\-. ]\d{4}|\d{3}[\-.]\d{3}[\-.]\d{4})(?!\d)",
+    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[\-. ]\d{4}|\d{3}[\-. ]\d{3}[\-. ]\d{4}|0\d{1,4}[ /]\d{3,4}(?: ?\d{2,4}){1,2})(?!\d)",
     "person": rf"(?<![\p{{L}}\p{{N}}]){TITLE}{NAME}(?: {NAME})?",
 }
 MENTION = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -74,6 +86,13 @@ def _luhn(digits: str) -> str:
             "IF(INT(c) > 4, INT(c) * 2 - 9, INT(c) * 2))), 0, (a, v) -> a + v) % 10)")
 
 
+def _mod97(iban: str) -> str:
+    """Remainder of an account number by ISO 7064; 1 where its check digits are right."""
+    value = "IF(x RLIKE '[0-9]', INT(x), ascii(x) - 55)"
+    return (f"aggregate({_chars(f'concat(substr({iban}, 5), substr({iban}, 1, 4))')}, 0, "
+            f"(a, x) -> (a * IF(x RLIKE '[0-9]', 10, 100) + {value}) % 97)")
+
+
 def _digits(text: str) -> str:
     return f"regexp_replace({text}, '[^0-9]', '')"
 
@@ -90,7 +109,7 @@ def _kind(mention: str) -> str:
 
 def _parts(mentions: DataFrame) -> DataFrame:
     """``mention, at, k, c, p``: the pieces p of a mention with kind and canonical form; literal ones have neither."""
-    female = "^(?:" + "|".join(TITLES["f"]) + ")"
+    female = f"(?:^| ){_any_title(TITLES['f'])}"
     last_ten = f"substr({_digits('mention')}, greatest(length({_digits('mention')}) - 9, 1))"
     one = "array(struct({k} AS k, {c} AS c, mention AS p))"
     return (mentions
@@ -101,6 +120,7 @@ def _parts(mentions: DataFrame) -> DataFrame:
             .withColumn("parts", F.expr(f"""CASE
                 WHEN kind = 'email' THEN {one.format(k="kind", c="lower(mention)")}
                 WHEN kind IN ('secret', 'ip') THEN {one.format(k="kind", c="mention")}
+                WHEN kind = 'iban' THEN {one.format(k="kind", c="replace(mention, ' ', '')")}
                 WHEN kind = 'phone' THEN {one.format(k="kind", c=last_ten)}
                 WHEN kind = 'person' THEN concat(
                     array(struct(CAST(NULL AS STRING) AS k, CAST(NULL AS STRING) AS c, title AS p)),
@@ -125,6 +145,11 @@ def _candidate(key: str) -> str:
     card = f"concat(substr(c, 1, 1), substr({digits}, 1, length(c) - 2))"
     check = f"(10 - {_luhn(f'concat({card}, 0)')}) % 10"
     wrong = f"({check} + 1 + INT(substr({digits}, 40, 1)) % 9) % 10"
+    body = (f"concat(array_join(transform({_chars('substr(c, 5)')}, (x, i) -> IF(x RLIKE '[0-9]', substr({digits}, i + 1, 1), "
+            f"upper(substr({letters}, i + 1, 1)))), ''), {more.format(digits)})")
+    zero = f"concat(substr(c, 1, 2), '00', {body})"
+    # One beside the right check digits is wrong.
+    account = f"concat(substr(c, 1, 2), lpad(STRING(98 - {_mod97(zero)} - IF({_mod97('c')} = 1, 0, IF({_mod97(zero)} > 90, -1, 1))), 2, '0'), {body})"
     local = (f"array_join(transform({_chars('split(c, chr(64))[0]')}, (x, i) -> CASE WHEN x RLIKE '[0-9]' THEN substr({digits}, i % 60 + 1, 1) "
              f"WHEN x RLIKE {_quoted(chr(92) + 'p{IsCyrillic}')} THEN substr({cyrillic}, i % 60 + 1, 1) "
              f"WHEN x RLIKE {_quoted(chr(92) + 'p{L}')} THEN substr({letters}, i % 60 + 1, 1) ELSE x END), '')")
@@ -147,6 +172,7 @@ def _candidate(key: str) -> str:
         WHEN 'email' THEN concat({local}, {more.format(letters)}, '@', {domain})
         WHEN 'ip' THEN concat_ws('.', 11 + INT(conv(substr({hashed(0)}, 1, 2), 16, 10)) % 100, {octets}, nullif({more.format(digits)}, ''))
         WHEN 'card' THEN concat({card}, IF({_luhn('c')} = 0, {check}, {wrong}), {more.format(digits)})
+        WHEN 'iban' THEN {account}
         WHEN 'secret' THEN concat(CASE
             WHEN c RLIKE '^[0-9a-f]+$' THEN substr({hexes}, 1, length(c))
             WHEN c RLIKE '^[0-9A-F]+$' THEN upper(substr({hexes}, 1, length(c)))
@@ -174,7 +200,7 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def replacements(mentions: DataFrame, key: str = KEY) -> DataFrame:
-    """``mention, replacement`` for a table of distinct mentions."""
+    """``mention, replacement, names`` for a table of distinct mentions; names are those in it with their surrogates."""
     parts = materialize(_parts(mentions))
     given = surrogates(parts.where("k IS NOT NULL"), key).selectExpr("k AS s_k", "c AS s_c", "s")
     joined = parts.join(given, F.expr("k = s_k AND c = s_c"), "left")
@@ -182,14 +208,18 @@ def replacements(mentions: DataFrame, key: str = KEY) -> DataFrame:
     place = f"length({_digits('substr(p, 1, i + 1)')}) - length({_digits('p')}) + length(c)"
     laid_out = (f"concat(array_join(transform({_chars('p')}, (x, i) -> IF(x RLIKE '[0-9]' AND {place} >= 1, substr(s, {place}, 1), x)), ''), "
                 "substr(s, length(c) + 1))")
+    spaced = ("concat(array_join(transform({0}, (x, i) -> IF(x = ' ', ' ', substr(s, length(replace(substr(p, 1, i + 1), ' ', '')), 1))), ''), "
+              "substr(s, length(c) + 1))").format(_chars("p"))
     cased = "IF(length(trim(p)) > 1 AND p = upper(p), upper(s), concat(upper(substr(s, 1, 1)), substr(s, 2)))"
     built = joined.withColumn("r", F.expr(f"""CASE WHEN k IS NULL THEN p
         WHEN k IN ('phone', 'card', 'ssn') THEN {laid_out}
+        WHEN k = 'iban' THEN {spaced}
         WHEN k = 'email' THEN IF(p = upper(p), upper(s), s)
         WHEN k IN ('secret', 'ip') THEN s
         ELSE concat(IF(p LIKE ' %', ' ', ''), {cased}) END"""))
     return built.groupBy("mention").agg(F.expr(
-        "array_join(transform(sort_array(collect_list(struct(at, r))), x -> x.r), '') AS replacement"))  # four parts at most
+        "array_join(transform(sort_array(collect_list(struct(at, r))), x -> x.r), '') AS replacement"), F.expr(  # four parts at most
+        "collect_list(IF(k IN ('lsurname', 'lm', 'lf', 'csurname', 'cm', 'cf'), struct(trim(p) AS p, INT(k NOT LIKE '%surname') AS rank, trim(r) AS r), NULL)) AS names"))
 
 
 def replaced(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
@@ -201,12 +231,26 @@ def replaced(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     found = materialize(touched.select("h", F.explode(F.expr(mentions_of("body"))).alias("mention")).distinct())
     swap = replacements(found.select("mention").distinct(), key)
     swaps = found.join(swap, "mention").groupBy("h").agg(
-        F.map_from_entries(F.collect_set(F.struct("mention", "replacement"))).alias("swaps"))
+        F.map_from_entries(F.collect_set(F.struct("mention", "replacement"))).alias("swaps"),
+        F.flatten(F.collect_set("names")).alias("names"))
+    # A name as it is written and in capitals, once each; their pattern looks for whole words, longer names first.
+    swaps = swaps.withColumn("names", F.expr(
+        "sort_array(concat(names, transform(names, x -> struct(upper(x.p) AS p, x.rank + 2 AS rank, upper(x.r) AS r))))"))
+    swaps = swaps.withColumn("names", F.expr("map_from_entries(transform(filter(names, (x, i) -> i = 0 OR x.p <> names[i - 1].p), x -> struct(x.p, x.r)))"))
+    swaps = swaps.withColumn("known", F.expr(
+        rf"""IF(size(names) = 0, NULL, concat('(?<![\\p{{L}}\\p{{N}}])(?:', array_join(transform(
+        sort_array(transform(map_keys(names), n -> struct(-length(n) AS l, n))), x -> x.n), '|'), ')(?![\\p{{L}}\\p{{N}}])'))"""))
     dirty = rows.where("has").withColumn("t_h", F.xxhash64(f"row.`{text}`")).join(swaps, F.col("t_h") == F.col("h"))
     body = f"row.`{text}`"
-    rebuilt = (f"array_join(zip_with(split({body}, {_quoted(MENTION)}, -1), {mentions_of(body)}, "
-               "(gap, m) -> concat(gap, coalesce(try_element_at(swaps, m), m, ''))), '')")
-    dirty = dirty.select("row", F.expr(rebuilt).alias("clean"), F.expr(f"CAST(size({mentions_of(body)}) AS BIGINT) AS n_mentions"))
+    dirty = dirty.select("row", "swaps", "names", "known", F.expr(f"split({body}, {_quoted(MENTION)}, -1)").alias("gaps"),
+                         F.expr(mentions_of(body)).alias("found"))
+    repeats = "regexp_extract_all(g, known, 0)"
+    dirty = dirty.select("row", "swaps", "found", F.expr(
+        f"IF(known IS NULL, gaps, transform(gaps, g -> array_join(zip_with(split(g, known, -1), {repeats}, "
+        "(o, w) -> concat(o, coalesce(try_element_at(names, w), w, ''))), '')))").alias("gaps"), F.expr(
+        f"IF(known IS NULL, 0, aggregate(gaps, 0, (n, g) -> n + size({repeats})))").alias("n_repeats"))
+    rebuilt = "array_join(zip_with(gaps, found, (gap, m) -> concat(gap, coalesce(try_element_at(swaps, m), m, ''))), '')"
+    dirty = dirty.select("row", F.expr(rebuilt).alias("clean"), F.expr("CAST(size(found) + n_repeats AS BIGINT) AS n_mentions"))
     untouched = rows.where("NOT has").select("row", F.col(f"row.`{text}`").alias("clean"), F.lit(0).cast("bigint").alias("n_mentions"))
     return dirty.unionAll(untouched)
 

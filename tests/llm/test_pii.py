@@ -88,3 +88,20 @@ def test_empty_and_repeated(spark):
 @pytest.mark.parametrize("text", ["9" * 100_000, "1 " * 100_000, "a." * 100_000, "+1 " * 50_000, "Mr " * 50_000, "a@" * 50_000])
 def test_long_runs_take_linear_time(spark, text):
     assert len(run(spark, [text])) == 1
+
+
+def mod97(account):
+    return int("".join(str(int(c, 36)) for c in account[4:] + account[:4])) % 97
+
+
+def test_repeated_names_titles_accounts_and_spaced_phones(spark):
+    out = run(spark, ["Mr Jan Roe came. Roe said so; Jan Roe's car, ROE, Roe-led, Roebuck.", "Dr. Roe, Prof. Dr. Vogel, M. Dupont, Mme Curie, Sr. Gomez, Sra. Lopez. Vogel left.",
+                      "DE89 3704 0044 0532 0130 00 or DE89370400440532013000, GB82WEST12345698765432, DE00370400440532013000", "call 678 555 5272 or 030 1234567", "Roe only"])
+    m = re.fullmatch(r"Mr (\w+) (\w+) came\. (\w+) said so; (\w+) (\w+)'s car, ([A-Z]+), (\w+)-led, Roebuck\.", out[0])
+    assert m[2] == m[3] == m[5] == m[7] != "Roe" and m[1] == m[4] != "Jan" and m[6] == m[2].upper()
+    m = re.fullmatch(r"Dr\. (\w+), Prof\. Dr\. (\w+), M\. (\w+), Mme (\w+), Sr\. (\w+), Sra\. (\w+)\. (\w+) left\.", out[1])
+    assert not {"Roe", "Vogel", "Dupont", "Curie", "Gomez", "Lopez"} & set(m.groups()) and m[2] == m[7]
+    m = re.fullmatch(r"(DE\d\d(?: \d{4}){4} \d\d) or (DE\d{20}), (GB\d\d[A-Z]{4}\d{14}), (DE\d{20})", out[2])
+    assert m[1].replace(" ", "") == m[2] != "DE89370400440532013000" and mod97(m[2]) == mod97(m[3]) == 1 != mod97(m[4]) and "WEST" not in m[3]
+    assert shape(out[3]) == "call 999 999 9999 or 999 9999999" and "5272" not in out[3] and "1234567" not in out[3]
+    assert out[4] == "Roe only"
