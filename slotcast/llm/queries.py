@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from slotcast.llm import (
-    decontaminate, language_id, license_scan, ngram_join, packing, pii, quality, token_counts, token_shards, warc,
+    cross_polytope, decontaminate, language_id, license_scan, ngram_join, packing, pii, prefix_trie, quality, token_counts, token_shards,
+    warc, whitening,
 )
 from slotcast.llm.words import SEPARATOR, UPPER
 from slotcast.session import scratch_path
@@ -155,3 +156,50 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN owner IS DISTINCT FROM page_id AND owner IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN owner IS DISTINCT FROM page_id THEN owner END AS refers_to
 FROM p LEFT JOIN o USING (payload_digest, payload_bytes)"""
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    """Whitened coordinates of every vector along the 32 strongest directions of all vectors."""
+    rows = whitening.usable(table(spark, sf_dir, "embeddings"))
+    model = whitening.fit(rows, components=32, scale=64, shift=1_000_000)
+    error = None if model is None else whitening.identity_error(rows, model)
+    return whitening.long_form(rows, model).withColumn("identity_error", F.lit(error).cast("double"))
+
+
+@query
+def op12_nearest(spark, sf_dir):
+    """The five nearest vectors by cosine of every fiftieth vector, among all others."""
+    return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), "id % 50 = 0", neighbours=5)
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    """Nodes of the prefix trie of the rebuilt conversations, with totals over their subtrees."""
+    turns = prefix_trie.number_turns(table(spark, sf_dir, "conversations"))
+    grafted = prefix_trie.regraft(turns, base="conv - conv % 20", keep="crc32(CAST(conv AS STRING)) % 4")
+    return prefix_trie.trie(grafted)
+
+
+# CRC-32 of the decimal id, bit by bit; its last two bits are inverted at the end.
+SQL_CRC = """list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))"""
+
+ORACLES["op13_prefix_trie"] = f"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+      PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT c, c - c % 20 AS b, 3 - {SQL_CRC} % 4 AS h FROM (SELECT DISTINCT c FROM t)),
+r AS (SELECT k.c, 0 AS own, n, role, text FROM k JOIN t ON t.c = k.b AND n <= h
+      UNION ALL SELECT k.c, 1 AS own, n, role, text FROM k JOIN t ON t.c = k.c AND n > h),
+s AS (SELECT k.c, coalesce(list({{'role': role, 'text': text}} ORDER BY own, n) FILTER (WHERE n IS NOT NULL), []) AS turns
+      FROM k LEFT JOIN r USING (c) GROUP BY k.c),
+p AS (SELECT c, d, turns[1:d] AS node, d = len(turns) AS last FROM (SELECT c, turns, unnest(range(len(turns) + 1)) AS d FROM s)),
+m AS (SELECT node, d, min(c) AS m, count(*) AS n, coalesce(string_agg(c, ',' ORDER BY c) FILTER (WHERE last), '') AS ends,
+      (count(*) - 1) * len(regexp_extract_all(any_value(node)[-1].text, '[^\x20\x09-\x0D]+')) AS saved FROM p GROUP BY node, d),
+x AS (SELECT p.c, p.d, m.m, m.n, m.saved FROM p JOIN m USING (node, d)),
+e AS (SELECT a.m, a.d, b.m AS m2, b.d AS d2, any_value(b.saved) AS saved FROM x a JOIN x b ON a.c = b.c AND b.d >= a.d GROUP BY ALL),
+f AS (SELECT m, d, sum(CAST(d2 = d + 1 AS BIGINT)) AS children, sum(coalesce(saved, 0)) AS saved FROM e GROUP BY m, d),
+l AS (SELECT e.m, e.d, count(*) AS leaves FROM e JOIN f ON f.m = e.m2 AND f.d = e.d2 WHERE f.children = 0 GROUP BY e.m, e.d)
+SELECT m.m AS conv_id, m.d AS depth, (SELECT any_value(x.m) FROM x WHERE x.c = m.m AND x.d = m.d - 1) AS parent_conv_id, m.n AS n_convs,
+       CAST(f.children AS BIGINT) AS n_children, l.leaves AS n_leaves, CAST(f.saved AS BIGINT) AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN f ON f.m = m.m AND f.d = m.d JOIN l ON l.m = m.m AND l.d = m.d"""
