@@ -1,25 +1,102 @@
-"""Spatial zones: k-means over the distinct key coordinates."""
+"""Spatial zones: k-means over the distinct key coordinates, all restarts at once."""
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
+import random
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from slotcast.functions.geo import decode
+from slotcast.operators.profile import grouped
 from slotcast.session import materialize
 from slotcast.spec import DEFAULT, Spec
 
+SEED_ROUNDS = 5
+MAX_ROUNDS = 100
+
+Point = tuple[float, float]
+
+
+@dataclass(frozen=True)
+class Zones:
+    """Centres of the best restart, its cost (sum of squared distances) and the costs of all restarts."""
+
+    centres: list[Point]
+    cost: float
+    costs: list[float]
+
+
+def fit_zones(coordinates: DataFrame, k: int, restarts: int = 10, seed: int = 42) -> Zones:
+    """The best of ``restarts`` k-means fits by cost; input has lat and lon.
+
+    Seeding passes gather some 2 * k * SEED_ROUNDS candidates with the number of points nearest
+    to each; every restart picks its first centres from them. After that one aggregate per
+    iteration moves the centres of all restarts that still change: the points are read once
+    per iteration however many restarts there are, and k sums per restart come back. A
+    centre without points stays. With fewer distinct points than k there are fewer centres.
+    """
+    points = coordinates.select("lat", "lon").where("lat is not null and lon is not null")
+    candidates = _candidates(points, k, seed)
+    if not candidates:
+        return Zones([], 0.0, [])
+    weights = {r["cluster"]: r["n"] for r in grouped(assign_centroid(points, candidates), ["cluster"], n="count(*)").collect()}
+    runs = [_spread(candidates, weights, k, random.Random(seed + i)) for i in range(restarts)]
+    costs, moving = [0.0] * restarts, list(range(restarts))
+    for _ in range(MAX_ROUNDS):
+        sums = _sums(points, {i: runs[i] for i in moving})
+        still = []
+        for i in moving:
+            before = runs[i]
+            runs[i] = [sums[i, c][:2] if (i, c) in sums else centre for c, centre in enumerate(before)]
+            costs[i] = sum(v[2] for (run, _), v in sums.items() if run == i)
+            if runs[i] != before:
+                still.append(i)
+        moving = still
+        if not moving:
+            break
+    best = min(range(restarts), key=lambda i: (costs[i], i))
+    return Zones(runs[best], costs[best], costs)
+
+
+def _sums(points: DataFrame, runs: dict[int, list[Point]]) -> dict[tuple[int, int], tuple[float, float, float]]:
+    """(run, centre) -> mean lat, mean lon and squared distances to the centre, of the points nearest to it."""
+    nearest = ", ".join(f"named_struct('run', {i}, 'near', {_nearest(centres)})" for i, centres in runs.items())
+    rows = points.selectExpr("lat", "lon", f"explode(array({nearest})) as r").selectExpr("r.run", "r.near.c", "r.near.d", "lat", "lon")
+    # Whole multiples of a tiny unit add up to the same sum in any order, so a settled run is seen to be settled.
+    unit = 1e-9
+    found = grouped(rows, ["run", "c"], n="count(*)", d="sum(d)", lat=f"sum(cast(round(lat / {unit}) as decimal(38, 0)))",
+                    lon=f"sum(cast(round(lon / {unit}) as decimal(38, 0)))")
+    return {(r["run"], r["c"]): (float(r["lat"]) * unit / r["n"], float(r["lon"]) * unit / r["n"], r["d"]) for r in found.collect()}
+
+
+def _candidates(points: DataFrame, k: int, seed: int) -> list[Point]:
+    """Points far from each other: every round takes each point with a chance proportional to its squared distance from those so far."""
+    first = points.orderBy(F.xxhash64(F.lit(seed), "lat", "lon"), "lat", "lon").limit(1).collect()
+    chosen = [(r["lat"], r["lon"]) for r in first]
+    for i in range(4 * SEED_ROUNDS) if chosen else ():
+        far = points.selectExpr("lat", "lon", f"{_nearest(chosen)}.d as d")
+        total = grouped(far, [], t="sum(d)").first()["t"]
+        if not total or (i >= SEED_ROUNDS and len(chosen) >= k):
+            break
+        chance = f"(xxhash64({seed}, {i}, lat, lon) & 9007199254740991) / 9007199254740992D"
+        taken = far.where(f"{chance} < {2 * k / total!r}D * d").select("lat", "lon").distinct()
+        chosen += sorted((r["lat"], r["lon"]) for r in taken.collect())
+    return chosen
+
 
-def fit_zones(coordinates: DataFrame, k: int, restarts: int = 10, seed: int = 42) -> KMeansModel:
-    """The best of ``restarts`` k-means fits by training cost; input has lat and lon."""
-    points = VectorAssembler(inputCols=["lat", "lon"], outputCol="features").transform(coordinates).select("features")
-    points = points.persist()
-    try:
-        fits = [KMeans(k=k, seed=seed + i).fit(points) for i in range(restarts)]
-    finally:
-        points.unpersist()
-    return min(fits, key=lambda m: m.summary.trainingCost)
+def _spread(candidates: list[Point], weights: dict[int, int], k: int, rng: random.Random) -> list[Point]:
+    """First centres of one restart: candidates drawn by weight times squared distance from those drawn before."""
+    mass = [weights.get(i, 0) for i in range(len(candidates))]
+    distance, centres = [1.0] * len(candidates), []
+    while len(centres) < k and any(m * d > 0 for m, d in zip(mass, distance)):
+        new = candidates[rng.choices(range(len(candidates)), [m * d for m, d in zip(mass, distance)])[0]]
+        squares = [(a - new[0]) ** 2 + (b - new[1]) ** 2 for a, b in candidates]
+        distance = squares if not centres else list(map(min, distance, squares))
+        centres.append(new)
+    return centres
 
 
 def spatial_clusters(
@@ -27,26 +104,23 @@ def spatial_clusters(
 ) -> DataFrame:
     """key -> geohash_cluster (string): zones fitted on training keys, other keys go to the nearest centre."""
     seen = materialize(decode(train, sp).where("valid"))
-    model = fit_zones(seen, k or sp.n_clusters, restarts, seed)
+    zones = fit_zones(seen, k or sp.n_clusters, restarts, seed)
     every = decode(train.select(sp.key).unionByName(test.select(sp.key)), sp).where("valid")
-    return assign_centroid(every, centres(model)).selectExpr(
+    return assign_centroid(every, zones.centres).selectExpr(
         sp.key, "lat", "lon", "cast(cluster as string) as geohash_cluster"
     )
 
 
-def centres(model: KMeansModel) -> list[tuple[float, float]]:
-    """Model metadata: k pairs of numbers."""
-    return [(float(c[0]), float(c[1])) for c in model.clusterCenters()]
+def _nearest(centres: Sequence[Point]) -> str:
+    """SQL for the struct of squared distance and index of the nearest centre (the smaller index on ties)."""
+    each = [f"named_struct('d', (lat - ({lat!r}D)) * (lat - ({lat!r}D)) + (lon - ({lon!r}D)) * (lon - ({lon!r}D)), 'c', {i})"
+            for i, (lat, lon) in enumerate(centres)]
+    return f"least({', '.join(each)})" if len(each) > 1 else each[0]
 
 
-def assign_centroid(coordinates: DataFrame, centroids: list[tuple[float, float]]) -> DataFrame:
+def assign_centroid(coordinates: DataFrame, centroids: Sequence[Point]) -> DataFrame:
     """Adds ``cluster``, the index of the nearest centroid (the smaller one on ties)."""
-    candidates = [
-        f"named_struct('d', (lat - ({lat!r}D)) * (lat - ({lat!r}D)) + (lon - ({lon!r}D)) * (lon - ({lon!r}D)), 'c', {i})"
-        for i, (lat, lon) in enumerate(centroids)
-    ]
-    nearest = f"least({', '.join(candidates)}).c" if len(candidates) > 1 else "0"
-    return coordinates.selectExpr("*", f"{nearest} as cluster")
+    return coordinates.selectExpr("*", f"{_nearest(centroids)}.c as cluster" if centroids else "cast(null as int) as cluster")
 
 
 def assign_centroid_table(coordinates: DataFrame, centroids: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from slotcast import spec as S
 from slotcast.functions import scalar as X
 from slotcast.functions.quantiles import exact_quantiles
 from slotcast.operators.profile import grouped
-from slotcast.session import materialize
 from slotcast.spec import DEFAULT, Spec
 
 
@@ -54,14 +53,10 @@ def model_r2(df: DataFrame, models: list[str], sp: Spec = DEFAULT) -> DataFrame:
 
 def residual_stats(df: DataFrame) -> DataFrame:
     """Mean, median, population deviation, population skewness and percentiles of y_log - p_log."""
-    res = materialize(df.where("p_log is not null").selectExpr("y_log - p_log as residual"))
     probs = {"p5": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}
-    q = exact_quantiles(res, [], "residual", probs)
-    moments = grouped(res, [], n="count(*)", mean="avg(residual)", std="stddev_pop(residual)",
-                      skew="skewness(residual)")
-    return moments.withColumn("q", q.selectExpr(f"struct({', '.join(probs)}) as q").scalar()).select(
-        "n", "mean", "std", "skew", "q.*"
-    )
+    return exact_quantiles(
+        df.selectExpr("y_log - p_log as residual"), [], "residual", probs, n="count(*)", mean="avg(_v)", std="stddev_pop(_v)",
+        skew="skewness(_v)").select("n", "mean", "std", "skew", *probs)
 
 
 def all_buckets(df: DataFrame) -> DataFrame:
@@ -107,14 +102,10 @@ def macro_accuracy(matrix: DataFrame) -> DataFrame:
 def value_distribution(df: DataFrame, value: str) -> DataFrame:
     """Percentiles, mean, population deviation and bucket shares of a value column."""
     probs = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9, "p99": 0.99}
-    rows = materialize(df.where(f"{value} is not null").selectExpr(f"{value} as v"))
-    q = exact_quantiles(rows, [], "v", probs)
     last = len(S.BUCKET_EDGES)
-    shares = {f"frac{i}": f"avg(case when {X.bucket('v')} = {i} then 1D else 0D end)" for i in range(last + 1)}
-    out = grouped(rows, [], n="count(*)", mean="avg(v)", std="stddev_pop(v)", **shares)
-    return out.withColumn("q", q.selectExpr(f"struct({', '.join(probs)}) as q").scalar()).select(
-        "q.*", "n", "mean", "std", *shares
-    )
+    shares = {f"frac{i}": f"avg(case when {X.bucket('_v')} = {i} then 1D else 0D end)" for i in range(last + 1)}
+    return exact_quantiles(df, [], value, probs, n="count(*)", mean="avg(_v)", std="stddev_pop(_v)", **shares).select(
+        *probs, "n", "mean", "std", *shares)
 
 
 def entity_errors(df: DataFrame, sp: Spec = DEFAULT) -> DataFrame:
@@ -149,19 +140,17 @@ def temporal_summary(by_hour: DataFrame, sp: Spec = DEFAULT, digits: int = 4) ->
 
 def prediction_summary(df: DataFrame, value: str, sp: Spec = DEFAULT) -> DataFrame:
     """Range, mean, median, deviation and share of clipped predictions."""
-    rows = materialize(df.where(f"{value} is not null").selectExpr(f"{value} as v"))
-    q = exact_quantiles(rows, [], "v", {"median": 0.5})
-    clipped = f"v <= {sp.clip_lo + 1e-12!r}D or v >= {sp.clip_hi - 1e-12!r}D"
-    out = grouped(rows, [], n="count(*)", min="min(v)", max="max(v)", mean="avg(v)", std="stddev_pop(v)",
-                  pct_clipped=f"100 * avg(case when {clipped} then 1D else 0D end)")
-    return out.withColumn("median", q.scalar())
+    clipped = f"_v <= {sp.clip_lo + 1e-12!r}D or _v >= {sp.clip_hi - 1e-12!r}D"
+    return exact_quantiles(
+        df, [], value, {"median": 0.5}, n="count(*)", min="min(_v)", max="max(_v)", mean="avg(_v)", std="stddev_pop(_v)",
+        pct_clipped=f"100 * avg(case when {clipped} then 1D else 0D end)",
+    ).select("n", "min", "max", "mean", "std", "pct_clipped", "median")
 
 
 def fold_summary(df: DataFrame, value: str, fold: str = "fold") -> DataFrame:
     """Rows, mean and exact median of a value per fold."""
-    rows = materialize(df.select(fold, value))
-    q = exact_quantiles(rows, [fold], value, {"median": 0.5})
-    return grouped(rows, [fold], n="count(*)", mean=f"avg({value})").join(q, fold, "left")
+    q = exact_quantiles(df, [fold], value, {"median": 0.5})
+    return grouped(df, [fold], n="count(*)", mean=f"avg({value})").join(q, fold, "left")
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -174,9 +163,8 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def describe(df: DataFrame, value: str, key: str, day: str) -> DataFrame:
     """Row and key counts, the days, and count/mean/deviation/quartiles of a value."""
-    rows = materialize(df.select(key, day, value))
-    q = exact_quantiles(rows, [], value, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    out = grouped(rows, [], n_rows="count(*)", n_keys=f"count(distinct {key})",
+    q = exact_quantiles(df, [], value, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    out = grouped(df, [], n_rows="count(*)", n_keys=f"count(distinct {key})",
                   days=f"array_join(array_sort(collect_set({day})), ',')",
                   n_values=f"count({value})", mean=f"avg({value})", std=f"stddev_samp({value})",
                   min=f"min({value})", max=f"max({value})")

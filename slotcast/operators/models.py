@@ -7,15 +7,17 @@ The forest and learner C see the ordinal view.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import SparkContext
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from slotcast import spec as S
 from slotcast.functions.scalar import to_number
+from slotcast.operators.boosting import Boosting, TreeParams, best_round, boost, first_rounds  # noqa: F401
 from slotcast.operators.categories import fit_codes
 from slotcast.operators.encoding import inner_fold_te
 from slotcast.operators.evaluate import model_r2, on_value_scale, r2
@@ -32,7 +34,8 @@ class ModelParams:
     """Sizes of the learners; the defaults are meant for a cluster.
 
     Fixed values: the rounds, step, depths and trees here, and the shares and leaf sizes in
-    ``_estimators``, are those of the forecast that is to be matched.
+    ``_learners``, are those of the forecast that is to be matched. ``chunk`` rounds of a boosted
+    learner are fitted between two looks at its losses; ``pool`` learners are fitted at a time.
     """
 
     boosting_rounds: int = 500
@@ -45,6 +48,8 @@ class ModelParams:
     depth_c: int = 7
     forest_depth: int = 12
     max_bins: int = 64
+    chunk: int = 25
+    pool: int = 4
     key_smoothing: float = 1.0
     key_folds: int = 5
     seed: int = 42
@@ -69,18 +74,16 @@ def model_inputs(df: DataFrame) -> dict[str, list[str]]:
     return {"oof_a": view, "oof_b": [*view, "key_code"], "oof_forest": view, "oof_c": view}
 
 
-def _estimators(p: ModelParams, rounds: dict[str, int], max_bins: int) -> dict[str, object]:
-    common = {"featuresCol": "features", "labelCol": "y_log", "maxBins": max(p.max_bins, max_bins), "seed": p.seed,
-              "maxMemoryInMB": 512, "cacheNodeIds": True}
-    boosted = {**common, "stepSize": p.step}
+def _learners(p: ModelParams, max_bins: int) -> dict[str, TreeParams | RandomForestRegressor]:
+    bins = max(p.max_bins, max_bins)
+    common = {"step": p.step, "max_bins": bins, "seed": p.seed}
     return {
-        "oof_a": GBTRegressor(maxDepth=p.depth_a, maxIter=rounds["oof_a"], subsamplingRate=0.8,
-                              featureSubsetStrategy="0.7", minInstancesPerNode=100, **boosted),
-        "oof_b": GBTRegressor(maxDepth=p.depth_b, maxIter=rounds["oof_b"], minInstancesPerNode=20, **boosted),
-        "oof_forest": RandomForestRegressor(numTrees=p.forest_trees, maxDepth=p.forest_depth, bootstrap=False,
-                                            featureSubsetStrategy="0.6", minInstancesPerNode=20, **common),
-        "oof_c": GBTRegressor(maxDepth=p.depth_c, maxIter=rounds["oof_c"], subsamplingRate=0.8,
-                              featureSubsetStrategy="0.8", **boosted),
+        "oof_a": TreeParams(depth=p.depth_a, row_share=0.8, feature_share=0.7, min_leaf=100, **common),
+        "oof_b": TreeParams(depth=p.depth_b, min_leaf=20, **common),
+        "oof_forest": RandomForestRegressor(
+            featuresCol="features", labelCol="y_log", maxBins=bins, seed=p.seed, maxMemoryInMB=512, cacheNodeIds=True,
+            numTrees=p.forest_trees, maxDepth=p.forest_depth, bootstrap=False, featureSubsetStrategy="0.6", minInstancesPerNode=20),
+        "oof_c": TreeParams(depth=p.depth_c, row_share=0.8, feature_share=0.8, **common),
     }
 
 
@@ -108,59 +111,38 @@ def _predict(df: DataFrame, ensemble: Ensemble, sp: Spec) -> DataFrame:
     return out
 
 
-def fit_fold(train: DataFrame, codes: StringIndexerModel, p: ModelParams) -> Ensemble:
+def _fit_all(train: DataFrame, codes: StringIndexerModel, p: ModelParams, sp: Spec, rounds: dict[str, int], patience: int | None) -> Ensemble:
+    """All learners on the rows of fold -1, ``pool`` of them at a time."""
+    inputs = model_inputs(train)
+
+    def fit(item: tuple[str, object]) -> tuple[object, int]:
+        name, learner = item
+        rows = _assemble(train, inputs[name]).select(sp.row_id, "fold", "features", "y_log")
+        if not isinstance(learner, TreeParams):
+            return learner.fit(rows.where("fold = -1")), p.forest_trees
+        boosting = Boosting(rows, learner, sp.row_id)
+        kept = boost(boosting, rounds[name], patience, p.chunk)
+        return boosting.model(kept), kept
+
+    learners = _learners(p, _widest(codes))
+    with ThreadPoolExecutor(p.pool) as workers:
+        fitted = dict(zip(learners, workers.map(fit, learners.items())))
+    used = {name: kept for name, (_, kept) in fitted.items() if name != "oof_forest"}
+    return Ensemble({name: model for name, (model, _) in fitted.items()}, inputs, codes, used)
+
+
+def fit_fold(train: DataFrame, codes: StringIndexerModel, p: ModelParams, sp: Spec = DEFAULT) -> Ensemble:
     """Fits on fold -1; the boosted learners keep the rounds up to the best one on fold 0.
 
-    The loss of every round is looked at; ``patience`` rounds without a better one end the search.
+    They stop once ``patience`` rounds brought no smaller loss.
     """
-    inputs = model_inputs(train)
-    rounds = {m: p.boosting_rounds for m in MODELS}
-    fitted, used = {}, {}
-    for name, est in _estimators(p, rounds, _widest(codes)).items():
-        rows = _assemble(train, inputs[name]).select("fold", "features", "y_log")
-        model = est.fit(rows.where("fold = -1"))
-        if isinstance(est, GBTRegressor):
-            losses = model.evaluateEachIteration(rows.where("fold = 0"), "squared")
-            used[name] = best_round(losses, p.patience)
-            model = first_rounds(model, used[name])
-        fitted[name] = model
-    return Ensemble(fitted, inputs, codes, used)
-
-
-def best_round(losses: list[float], patience: int) -> int:
-    """Number of rounds up to the smallest loss, seen by one who stops after ``patience`` rounds without a better one."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
-    """The boosted model with its first trees only."""
-    java, sc = model._java_obj, SparkContext._active_spark_context
-    trees = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
-    weights = sc._gateway.new_array(sc._jvm.double, rounds)
-    for i in range(rounds):
-        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
-    cut = GBTRegressionModel(sc._jvm.org.apache.spark.ml.regression.GBTRegressionModel(
-        java.uid(), trees, weights, java.numFeatures()))
-    model._copyValues(cut)
-    cut._transfer_params_to_java()
-    return cut
-
-
-def fit_final(train: DataFrame, codes: StringIndexerModel, rounds: dict[str, int], p: ModelParams) -> Ensemble:
+    return _fit_all(train, codes, p, sp, {m: p.boosting_rounds for m in MODELS}, p.patience)
+
+
+def fit_final(train: DataFrame, codes: StringIndexerModel, rounds: dict[str, int], p: ModelParams, sp: Spec = DEFAULT) -> Ensemble:
     """Refit on all labelled rows with at least ``min_final_rounds`` boosting rounds."""
-    inputs = model_inputs(train)
     wanted = {m: max(rounds.get(m, 0), p.min_final_rounds) for m in MODELS}
-    fitted = {
-        name: est.fit(_assemble(train, inputs[name]).select("features", "y_log"))
-        for name, est in _estimators(p, wanted, _widest(codes)).items()
-    }
-    return Ensemble(fitted, inputs, codes, wanted)
+    return _fit_all(train.withColumn("fold", F.lit(-1)), codes, p, sp, wanted, None)
 
 
 @dataclass
@@ -182,11 +164,11 @@ def train_ensemble(
     codes = fit_codes(labelled, _categories(built))
     prepared = materialize(_prepare(built, labelled, codes, p, sp))
     train = prepared.where("not is_test")
-    fold = fit_fold(train, codes, p)
+    fold = fit_fold(train, codes, p, sp)
     predicted = _predict(train, fold, sp)
     keep = [sp.row_id, sp.key, sp.hour, "fold", "y_log"]
     oof = predicted.selectExpr(*keep, *[f"case when fold = 0 then {m} end as {m}" for m in MODELS])
-    final = fit_final(train, codes, fold.rounds, p) if refit else None
+    final = fit_final(train, codes, fold.rounds, p, sp) if refit else None
     test = _predict(prepared.where("is_test"), final or fold, sp).select(sp.row_id, sp.key, sp.hour, *MODELS)
     return Trained(oof, test, fold, final, prepared)
 

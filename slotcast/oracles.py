@@ -44,6 +44,37 @@ def r2(y: str, p: str) -> str:
             f" WHEN sum(({y} - {p}) * ({y} - {p})) = 0 THEN 1.0 WHEN count(*) > 0 THEN 0.0 END")
 
 
+def mode(column: str, by: list[str]) -> str:
+    """Most frequent value per group of the training rows, the smaller one on ties."""
+    keys = ", ".join(by)
+    ranked = f"row_number() OVER ({f'PARTITION BY {keys} ' if by else ''}ORDER BY count(*) DESC, {column})"
+    return (f"(SELECT {keys + ', ' if by else ''}{column} AS v FROM (SELECT {keys + ', ' if by else ''}{column}, {ranked} AS k FROM train "
+            f"WHERE {column} IS NOT NULL GROUP BY {keys + ', ' if by else ''}{column}) WHERE k = 1)")
+
+
+STACKED = ["oof_a", "oof_b", "oof_forest", "oof_c", "geohash_te", "minute_of_day"]
+
+
+def ridge(source: str, keys: str) -> str:
+    """WITH clauses up to ``solved``: keys, w_<feature> and intercept by elimination on covariances."""
+    k = len(STACKED)
+    cells = [f"covar_pop({a}, {b}) * count(*) {'+ alpha' if i == j else ''} AS a{i}{j}"
+             for i, a in enumerate(STACKED) for j, b in enumerate(STACKED)]
+    cells += [f"covar_pop({a}, y_log) * count(*) AS b{i}" for i, a in enumerate(STACKED)]
+    means = [f"avg({a}) AS m{i}" for i, a in enumerate([*STACKED, "y_log"])]
+    group = f"{keys}" if "alpha" in keys else f"{keys}, alpha"
+    parts = [f"source AS ({source})", f"e0 AS (SELECT {group}, {', '.join([*cells, *means])} FROM source GROUP BY {group})"]
+    kept = ", ".join([group, *[f"m{i}" for i in range(k + 1)]])
+    for s in range(k):  # row s leaves every other row without column s
+        new = [f"a{i}{j}" + (f" - a{i}{s} / a{s}{s} * a{s}{j}" if i != s else "") + f" AS a{i}{j}" for i in range(k) for j in range(k)]
+        new += [f"b{i}" + (f" - a{i}{s} / a{s}{s} * b{s}" if i != s else "") + f" AS b{i}" for i in range(k)]
+        parts.append(f"e{s + 1} AS (SELECT {kept}, {', '.join(new)} FROM e{s})")
+    weights = ", ".join(f"b{i} / a{i}{i} AS w_{f}" for i, f in enumerate(STACKED))
+    intercept = f"m{k} - " + " - ".join(f"b{i} / a{i}{i} * m{i}" for i in range(k))
+    parts.append(f"solved AS (SELECT {group}, {weights}, {intercept} AS intercept FROM e{k})")
+    return "WITH " + ",\n".join(parts)
+
+
 CTE: dict[str, str] = {
     "obs": f"""
         WITH e AS (
@@ -297,6 +328,19 @@ CTE: dict[str, str] = {
     "best": """
         SELECT i / 20.0 AS w_oof_a, j / 20.0 AS w_oof_b, l / 20.0 AS w_oof_forest, m / 20.0 AS w_oof_c, r2, r2 - 0.01 * sq AS score
         FROM cand ORDER BY score DESC, i, j, l, m LIMIT 1""",
+    "gfold": """
+        SELECT geohash, n, CAST(fold AS INT) AS fold FROM (
+          WITH RECURSIVE o AS (SELECT geohash, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, geohash) AS i FROM train GROUP BY geohash),
+          p(i, geohash, n, fold, loads) AS (
+            SELECT CAST(0 AS BIGINT), CAST(NULL AS VARCHAR), CAST(0 AS BIGINT), CAST(-1 AS BIGINT), CAST([0, 0, 0, 0, 0] AS BIGINT[])
+            UNION ALL
+            SELECT o.i, o.geohash, o.n, CAST(list_position(p.loads, list_min(p.loads)) - 1 AS BIGINT),
+                   list_transform(p.loads, lambda x, k: x + CASE WHEN k = list_position(p.loads, list_min(p.loads)) THEN o.n ELSE 0 END)
+            FROM p JOIN o ON o.i = p.i + 1)
+          SELECT * FROM p WHERE i > 0) packed""",
+    "stackrows": """
+        SELECT o.Index, g.fold AS fold, o.y_log, o.oof_a, o.oof_b, o.oof_forest, o.oof_c, k.te AS geohash_te, o.s AS minute_of_day
+        FROM oof o JOIN te_k k ON k.Index = o.Index JOIN gfold g ON g.geohash = o.geohash WHERE o.fold = 0""",
     "shifts": f"""
         SELECT i * 0.7 / 70 AS log_shift, {r2('y', 'p')} AS r2
         FROM (SELECT s.i, v.y, {_from_log('v.p_log + s.i * 0.7 / 70')} AS p FROM val v CROSS JOIN range(71) s(i)) GROUP BY i""",
@@ -329,4 +373,6 @@ def _needed(text: str) -> list[str]:
 
 def sql(final: str) -> str:
     parts = [f"{name} AS ({CTE[name]})" for name in _needed(final)]
+    if parts and final.lstrip().startswith("WITH "):  # the text has expressions of its own
+        return "WITH " + ",\n".join(parts) + ",\n" + final.lstrip().removeprefix("WITH ")
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + final

@@ -17,7 +17,7 @@ from slotcast.functions import geo
 from slotcast.functions import scalar as X
 from slotcast.oracles import r, rr, sql
 from slotcast.operators import blend as B
-from slotcast.operators import categories, clusters, encoding, impute, knn
+from slotcast.operators import categories, clusters, encoding, folds, impute, knn, stacking
 from slotcast.operators import evaluate as E
 from slotcast.operators import models as M
 from slotcast.operators import profile as P
@@ -90,14 +90,18 @@ RAW = ["Index", "geohash", "day", "timestamp", "RoadType", "NumberofLanes", "Lar
 @query("scan_observations", f"SELECT {', '.join(RAW)}, demand FROM train")
 def _(spark, d):
     path = scratch_path(spark, "observations")
-    V.labelled(spark, d).selectExpr("demand", *RAW[::-1], "'x' as other").write.csv(path, header=True)
+    absent = {"RoadType": "n/a", "Temperature": "<NA>", "Weather": "#N/A"}
+    texts = [f"coalesce(cast({c} as string), '{absent[c]}') as {c}" if c in absent else c for c in RAW[::-1]]
+    V.labelled(spark, d).selectExpr("demand", *texts, "'x' as other").write.csv(path, header=True)
     return tables.read_observations(spark, path)
 
 
 @query("scan_targets", f"SELECT {', '.join(RAW)} FROM test")
 def _(spark, d):
     path = scratch_path(spark, "targets")
-    V.unlabelled(spark, d).select(*RAW[3:], *RAW[:3]).write.csv(path, header=True)
+    absent = {"RoadType": "#NA", "Temperature": "-nan", "Weather": "1.#QNAN"}
+    texts = [f"coalesce(cast({c} as string), '{absent[c]}') as {c}" if c in absent else c for c in [*RAW[3:], *RAW[:3]]]
+    V.unlabelled(spark, d).selectExpr(*texts).write.csv(path, header=True)
     return tables.read_observations(spark, path, labelled=False)
 
 
@@ -505,6 +509,70 @@ def _(spark, d):
     return out(impute.impute_median(train, H.stack_rows(train, test), "Temperature"), "Index", "~Temperature")
 
 
+@query("impute_mode", f"""
+    SELECT b.Index, coalesce(b.RoadType, r.v, (SELECT v FROM {O.mode('RoadType', [])})) AS RoadType,
+           coalesce(b.Weather, w1.v, w2.v, (SELECT v FROM {O.mode('Weather', [])})) AS Weather,
+           coalesce(b.Weather, w3.v, w2.v, (SELECT v FROM {O.mode('Weather', [])})) AS hourly
+    FROM (SELECT Index, geohash, day, hour, RoadType, Weather FROM train UNION ALL SELECT Index, geohash, day, hour, RoadType, Weather FROM test) b
+    LEFT JOIN {O.mode('RoadType', ['geohash'])} r ON r.geohash = b.geohash
+    LEFT JOIN {O.mode('Weather', ['geohash', 'day'])} w1 ON w1.geohash = b.geohash AND w1.day = b.day
+    LEFT JOIN {O.mode('Weather', ['geohash'])} w2 ON w2.geohash = b.geohash
+    LEFT JOIN {O.mode('Weather', ['geohash', 'hour'])} w3 ON w3.geohash = b.geohash AND w3.hour = b.hour""")
+def _(spark, d):
+    train, test = stored(spark, d)
+    rows = H.stack_rows(train, test).withColumn("hourly", F.col("Weather"))
+    train = train.withColumn("hourly", F.col("Weather"))
+    rows = impute.impute_mode(train, rows, "RoadType", [["geohash"], []])
+    rows = impute.impute_mode(train, rows, "Weather", [["geohash", "day"], ["geohash"], []])
+    rows = impute.impute_mode(train, rows, "hourly", [["geohash", "hour"], ["geohash"], []])
+    return rows.select("Index", "RoadType", "Weather", "hourly")
+
+
+@query("group_folds", "SELECT geohash, n, fold FROM gfold")
+def _(spark, d):
+    return folds.balanced_folds(V.labelled(spark, d), "geohash", 5)
+
+
+@query("group_fold_te", f"""
+    WITH gy AS (SELECT t.Index, substr(t.geohash, 1, 4) AS px, ln(t.demand) AS y, g.fold FROM train t JOIN gfold g ON g.geohash = t.geohash),
+         gp AS (SELECT avg(y) AS prior FROM gy),
+         gs AS (SELECT px, fold, sum(y) AS s, count(*) AS c FROM gy GROUP BY px, fold),
+         gt AS (SELECT a.px, a.fold, sum(b.s) AS s, sum(b.c) AS c FROM gs a LEFT JOIN gs b ON b.px = a.px AND b.fold <> a.fold GROUP BY a.px, a.fold)
+    SELECT gy.Index, gy.fold, {r('(coalesce(gt.s, 0) + 30 * gp.prior) / (coalesce(gt.c, 0) + 30)', 'te')}
+    FROM gy CROSS JOIN gp JOIN gt ON gt.px = gy.px AND gt.fold = gy.fold""")
+def _(spark, d):
+    train = V.stored(spark, d)[0].selectExpr("Index", "geohash", "substring(geohash, 1, 4) as px", "ln(demand) as y_log")
+    rows = folds.with_folds(train, folds.balanced_folds(train, "geohash", 5), "geohash")
+    return out(encoding.foldsafe_te(rows, rows, ["px"], "y_log", 5, SP.te_smoothing), "Index", "fold", "~te")
+
+
+# The second-level features: four first-level predictions, the fold-safe key encoding and the time of day.
+STACKED = [*STANDINS, "geohash_te", "minute_of_day"]
+
+
+def stacked_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows = materialize(oof(spark, d))
+    return encoding.foldsafe_te(rows, rows, ["geohash"], "y_log", 1, SP.te_smoothing, "geohash_te").where("fold = 0")
+
+
+@query("ridge_stack", O.ridge("SELECT 1.0 AS alpha, * FROM stackrows", "alpha") + " SELECT alpha, "
+       + rr(*[f"w_{f}" for f in STACKED], "intercept") + " FROM solved")
+def _(spark, d):
+    return out(stacking.fit(stacked_rows(spark, d), STACKED), "alpha", *[f"~w_{f}" for f in STACKED], "~intercept")
+
+
+@query("ridge_stack_cv", O.ridge(
+    "SELECT f.fold AS fold, a.alpha AS alpha, r.* EXCLUDE (fold) FROM stackrows r JOIN (SELECT DISTINCT fold FROM gfold) f ON f.fold <> r.fold"
+    " CROSS JOIN (VALUES (0.1), (1.0), (10.0), (100.0)) a(alpha)", "fold, alpha") + f"""
+    SELECT alpha, count(*) AS n, {r(O.r2('y', 'p'), 'r2')} FROM (
+        SELECT s.alpha, {O._from_log('r.y_log')} AS y, {O._from_log('s.intercept + ' + ' + '.join(f's.w_{f} * r.{f}' for f in STACKED))} AS p
+        FROM stackrows r JOIN solved s ON s.fold = r.fold) GROUP BY alpha""")
+def _(spark, d):
+    rows = materialize(stacked_rows(spark, d).drop("fold"))
+    rows = folds.with_folds(rows, folds.balanced_folds(V.labelled(spark, d), "geohash", 5), "geohash")
+    return out(stacking.cross_validate(rows, STACKED, "fold", [0.1, 1.0, 10.0, 100.0]), "alpha", "n", "~r2")
+
+
 @query("key_reconcile", "SELECT (SELECT count(*) FROM test WHERE geohash NOT IN (SELECT geohash FROM keys WHERE key_class = 'warm')) AS missing, CAST(0 AS BIGINT) AS extra, (SELECT count(*) FROM test WHERE geohash IN (SELECT geohash FROM keys WHERE key_class = 'warm')) AS matched")
 def _(spark, d):
     warm = history_rows(spark, d).select("geohash").distinct()
@@ -899,7 +967,7 @@ QUICK = M.ModelParams(boosting_rounds=5, min_final_rounds=5, step=0.1, forest_tr
 
 def trained(spark: SparkSession, d: str, refit: bool = False) -> M.Trained:
     train, test = stored(spark, d)
-    zones = clusters.spatial_clusters(train, test, restarts=1)
+    zones = clusters.spatial_clusters(train, test)
     return M.train_ensemble(FM.build_features(train, test, clusters=zones), QUICK, refit=refit)
 
 
@@ -941,7 +1009,7 @@ _FACTS = {
 def _(spark, d):
     result = trained(spark, d, refit=True)
     rows = materialize(result.oof)
-    best = B.best_weights(B.simplex_scores(rows.where("fold = 0"), M.MODELS, steps=4), M.MODELS)
+    best = B.best_weights(B.simplex_scores(rows.where("fold = 0"), M.MODELS), M.MODELS)
     final = materialize(B.apply_weights(result.test, M.MODELS, best))
     models = result.final_models
     importance = M.feature_importance(models.models["oof_a"], models.inputs["oof_a"], spark)
@@ -967,7 +1035,8 @@ def _(spark, d):
 def _(spark, d):
     train, test = split(spark, d)
     seen = materialize(geo.decode(train).where("valid"))
-    centres = clusters.centres(clusters.fit_zones(seen, SP.n_clusters, restarts=1))
+    fitted = clusters.fit_zones(seen, SP.n_clusters)  # ten restarts
+    centres = fitted.centres
     every = geo.decode(train.select("geohash").unionByName(test.select("geohash")))
     zones = materialize(clusters.assign_centroid(every, centres))
     table = spark.createDataFrame([(i, *c) for i, c in enumerate(centres)], "cluster int, lat double, lon double")

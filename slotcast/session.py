@@ -80,9 +80,22 @@ def stored_tables_dropped(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _collecting.remove(paths)
-        conf, hadoop = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         for path in paths:
-            hadoop(path).getFileSystem(conf).delete(hadoop(path), True)
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def replaced(df: DataFrame) -> Iterator[None]:
+    """Deletes the files of a frame that ``materialize`` returned, once the block has stored what takes its place."""
+    yield
+    path = getattr(df, "_stored_at", None)
+    if path is not None:
+        _delete(df.sparkSession, path)
 
 
 def materialize(df: DataFrame, *by: str) -> DataFrame:
@@ -100,4 +113,6 @@ def materialize(df: DataFrame, *by: str) -> DataFrame:
     if by:
         df = df.repartition(*by)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored

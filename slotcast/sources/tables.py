@@ -39,7 +39,10 @@ RUN_SCHEMA = (
 
 
 # Texts that stand for a missing value in the input files.
-MISSING = ("", "NA", "N/A", "NaN", "nan", "null", "NULL", "None")
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
+    "NaN", "None", "n/a", "nan", "null",
+)
 
 
 def _typed(field: T.StructField) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from slotcast.functions import quantiles
 from slotcast.functions.quantiles import exact_quantiles
 
 PROBS = {"p0": 0.0, "p05": 0.05, "p10": 0.1, "p50": 0.5, "p90": 0.9, "p999": 0.999, "p100": 1.0}
@@ -83,3 +84,41 @@ def test_no_rows(spark):
     df = spark.createDataFrame([], "g string, v double")
     assert exact_quantiles(df, ["g"], "v", PROBS).collect() == []
     assert [tuple(r) for r in exact_quantiles(df, [], "v", {"m": 0.5}).collect()] == [(None,)]
+
+
+def test_brackets_of_large_groups(spark, monkeypatch):
+    """Groups beyond WHOLE rows: only the rows around a rank are sorted, and the result stays exact."""
+    monkeypatch.setattr(quantiles, "WHOLE", 400)
+    monkeypatch.setattr(quantiles, "EDGE", 0.02)
+    rng = np.random.default_rng(4)
+    groups = {
+        "uniform": rng.random(6000), "skewed": np.exp(rng.normal(0, 8, 5000)), "ties": rng.integers(0, 4, 3000),
+        "constant": np.full(2000, 0.25), "two": np.repeat([1.0, 2.0], [2999, 3001]), "small": rng.random(399),
+        "narrow": 1 + rng.random(4000) * 1e-12, "border": rng.random(401),
+    }
+    df = frame(spark, groups)
+    check(exact_quantiles(df, ["g"], "v", PROBS).collect(), groups)
+    every = np.concatenate([np.asarray(v, float) for v in groups.values()])
+    row = exact_quantiles(df, [], "v", PROBS, n="count(*)", top="max(_v)").first()
+    assert row["n"] == len(every) and row["top"] == every.max()
+    for name, p in PROBS.items():
+        assert row[name] == pytest.approx(np.quantile(every, p), rel=1e-12)
+
+
+def test_infinity_in_brackets(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "WHOLE", 400)
+    monkeypatch.setattr(quantiles, "EDGE", 0.02)
+    inf, nan = float("inf"), float("nan")
+    values = [-inf] * 300 + [float(i) for i in range(1000)] + [inf] * 200 + [nan] * 100
+    row = exact_quantiles(frame(spark, {"a": values}), [], "v", {"a": 0.1, "b": 0.5, "c": 0.85, "d": 0.99, "e": 1.0}).first()
+    assert (row["a"], row["c"]) == (-inf, inf) and row["b"] == np.quantile(np.array(values[:1500] + [inf] * 100), 0.5)
+    assert np.isnan(row["d"]) and np.isnan(row["e"])
+
+
+def test_nothing_runs_before_the_first_action(spark):
+    df = frame(spark, {"a": range(100)}).repartition(3)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("quantiles", "plan only")
+    exact_quantiles(df, ["g"], "v", PROBS, mean="avg(_v)")
+    assert list(tracker.getJobIdsForGroup("quantiles")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
