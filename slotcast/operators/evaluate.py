@@ -7,11 +7,13 @@ results are plain aggregates, combined before the shuffle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from slotcast import spec as S
 from slotcast.functions import scalar as X
 from slotcast.functions.quantiles import exact_quantiles
 from slotcast.operators.profile import grouped
+from slotcast.session import materialize
 from slotcast.spec import DEFAULT, Spec
 
 
@@ -66,23 +68,46 @@ def all_buckets(df: DataFrame) -> DataFrame:
     return buckets.selectExpr("bucket", f"{X.bucket_label('bucket')} as label")
 
 
-def bucket_metrics(df: DataFrame, sp: Spec = DEFAULT) -> DataFrame:
+# What a group of predictions is reported by; ``pred`` and ``actual`` are the buckets of p and y.
+_SUMS = {
+    "n": "count(*)", "r2": r2("y", "p"), "mae": "avg(abs(y - p))", "acc": "avg(case when pred = actual then 1D else 0D end)",
+    "log_mae": "avg(abs(y_log - p_log))", **{f"p{i}": f"count_if(pred = {i})" for i in range(len(S.BUCKET_EDGES) + 1)},
+}
+
+
+def level_sums(df: DataFrame, sp: Spec = DEFAULT) -> dict[str, DataFrame]:
+    """The reported sums per true bucket, per hour and per key, all from one pass over the predictions.
+
+    Stored, since every part of a report reads them; the functions below take them as ``found``.
+    """
+    by = ["bucket", sp.hour, sp.key]
+    rows = _bucketed(df, sp).withColumn("bucket", F.col("actual"))
+    sums = [F.expr(f"{e} as {name}") for name, e in _SUMS.items()]
+    found = materialize(rows.groupingSets([[c] for c in by], *by).agg(F.grouping_id().alias("_level"), *sums))
+    alone = [(1 << len(by)) - 1 - (1 << (len(by) - 1 - i)) for i in range(len(by))]  # all other columns are summed over
+    return {name: found.where(f"_level = {level}") for name, level in zip(("bucket", "hour", "key"), alone)}
+
+
+def _bucketed(df: DataFrame, sp: Spec) -> DataFrame:
+    return on_value_scale(df, sp).selectExpr("*", f"{X.bucket('y')} as actual", f"{X.bucket('p')} as pred")
+
+
+def bucket_metrics(df: DataFrame, sp: Spec = DEFAULT, found: DataFrame | None = None) -> DataFrame:
     """Per true bucket: rows, R2, mean absolute error and share predicted into it; NULL below 2 rows."""
-    rows = on_value_scale(df, sp).selectExpr("y", "p", f"{X.bucket('y')} as bucket", f"{X.bucket('p')} as pred")
-    found = grouped(rows, ["bucket"], n="count(*)", r2=r2("y", "p"), mae="avg(abs(y - p))",
-                    acc="avg(case when pred = bucket then 1D else 0D end)")
+    if found is None:
+        found = grouped(_bucketed(df, sp), ["actual as bucket"], **{c: _SUMS[c] for c in ("n", "r2", "mae", "acc")})
     metric = "case when n >= 2 then {0} end as {0}"
-    return all_buckets(df).join(found, "bucket", "left").selectExpr(
+    return all_buckets(df).join(found.select("bucket", "n", "r2", "mae", "acc"), "bucket", "left").selectExpr(
         "bucket", "label", "coalesce(n, 0) as n", *[metric.format(m) for m in ("r2", "mae", "acc")]
     )
 
 
-def confusion_matrix(df: DataFrame, sp: Spec = DEFAULT) -> DataFrame:
+def confusion_matrix(df: DataFrame, sp: Spec = DEFAULT, found: DataFrame | None = None) -> DataFrame:
     """Per true bucket the number of rows predicted into each bucket (p0, p1, ...)."""
     last = len(S.BUCKET_EDGES)
-    rows = on_value_scale(df, sp).selectExpr(f"{X.bucket('y')} as bucket", f"{X.bucket('p')} as pred")
-    counts = grouped(rows, ["bucket"], **{f"p{i}": f"count_if(pred = {i})" for i in range(last + 1)})
-    return all_buckets(df).join(counts, "bucket", "left").selectExpr(
+    if found is None:
+        found = grouped(_bucketed(df, sp), ["actual as bucket"], **{f"p{i}": _SUMS[f"p{i}"] for i in range(last + 1)})
+    return all_buckets(df).join(found, "bucket", "left").selectExpr(
         "bucket", *[f"coalesce(p{i}, 0) as p{i}" for i in range(last + 1)]
     )
 
@@ -108,24 +133,36 @@ def value_distribution(df: DataFrame, value: str) -> DataFrame:
         *probs, "n", "mean", "std", *shares)
 
 
-def entity_errors(df: DataFrame, sp: Spec = DEFAULT) -> DataFrame:
+def distributions(values: DataFrame) -> DataFrame:
+    """Of every ``section`` of a frame (section, v): percentiles, moments and bucket shares, in one plan; stored."""
+    percentiles = {f"p{q}": q / 100 for q in (5, 10, 25, 50, 75, 90, 95, 99)}
+    shares = {f"frac{i}": f"avg(case when {X.bucket('_v')} = {i} then 1D else 0D end)" for i in range(len(S.BUCKET_EDGES) + 1)}
+    return materialize(exact_quantiles(
+        values, ["section"], "v", percentiles, n="count(*)", mean="avg(_v)", std="stddev_pop(_v)", skew="skewness(_v)", **shares))
+
+
+def entity_errors(df: DataFrame, sp: Spec = DEFAULT, found: DataFrame | None = None) -> DataFrame:
     """Mean absolute error per key on the log scale."""
+    if found is not None:
+        return found.selectExpr(sp.key, "log_mae as mae", "n")
     return grouped(df.where("p_log is not null"), [sp.key], mae="avg(abs(y_log - p_log))", n="count(*)")
 
 
-def spatial_breakdown(df: DataFrame, sp: Spec = DEFAULT) -> DataFrame:
-    return grouped(entity_errors(df, sp), [], mae_mean="avg(mae)", mae_std="stddev_pop(mae)",
+def spatial_breakdown(df: DataFrame, sp: Spec = DEFAULT, found: DataFrame | None = None) -> DataFrame:
+    return grouped(entity_errors(df, sp, found), [], mae_mean="avg(mae)", mae_std="stddev_pop(mae)",
                    mae_min="min(mae)", mae_max="max(mae)", n_keys="count(*)")
 
 
-def worst_entities(df: DataFrame, n: int = 5, sp: Spec = DEFAULT) -> DataFrame:
+def worst_entities(df: DataFrame, n: int = 5, sp: Spec = DEFAULT, found: DataFrame | None = None) -> DataFrame:
     """The n keys with the largest error, equal errors by key."""
-    return entity_errors(df, sp).select(sp.key, "mae").orderBy(["mae", sp.key], ascending=[False, True]).limit(n)
+    return entity_errors(df, sp, found).select(sp.key, "mae").orderBy(["mae", sp.key], ascending=[False, True]).limit(n)
 
 
-def temporal_breakdown(df: DataFrame, sp: Spec = DEFAULT) -> DataFrame:
+def temporal_breakdown(df: DataFrame, sp: Spec = DEFAULT, found: DataFrame | None = None) -> DataFrame:
     """R2 for each of the 24 hours; NULL below 2 rows."""
-    found = grouped(on_value_scale(df, sp), [sp.hour], n="count(*)", r2=r2("y", "p"))
+    if found is None:
+        found = grouped(on_value_scale(df, sp), [sp.hour], n="count(*)", r2=r2("y", "p"))
+    found = found.select(sp.hour, "n", "r2")
     hours = df.sparkSession.range(1).selectExpr(f"explode(sequence(0, 23)) as {sp.hour}")
     return hours.join(found, sp.hour, "left").selectExpr(
         sp.hour, "coalesce(n, 0) as n", "case when n >= 2 then r2 end as r2"

@@ -23,9 +23,15 @@ def _items(df: DataFrame, section: str, digits: dict[str, int], item: str | None
     )
 
 
-def _distribution(df: DataFrame, value: str, section: str) -> DataFrame:
-    dist = E.value_distribution(df, value)
-    return _items(dist, section, {c: 4 if c.startswith("frac") else 5 for c in dist.columns if c != "n"})
+DISTRIBUTION = {**{f"p{q}": 5 for q in (10, 25, 50, 75, 90, 99)}, "mean": 5, "std": 5, **{f"frac{i}": 4 for i in range(4)}}
+RESIDUALS = {"mean": 4, "p50 as median": 4, "std": 4, "skew": 4, "p5": 4, "p25": 4, "p75": 4, "p95": 4}
+
+
+def _section(stats: DataFrame, section: str, digits: dict[str, int]) -> DataFrame:
+    """The items of one section of ``E.distributions``; their values are NULL where the section has no rows."""
+    columns = {c.split(" as ")[-1]: n for c, n in digits.items()}
+    one = stats.where(f"section = '{section}'").selectExpr(*[f"max({c.split(' as ')[0]}) as {c.split(' as ')[-1]}" for c in digits])
+    return _items(one, section, columns)
 
 
 def evaluation_report(
@@ -37,24 +43,27 @@ def evaluation_report(
     ``test_values`` adds the distribution of the final predictions in its column ``demand``,
     ``importance`` (name, score) the ten most important features.
     """
-    scaled = E.on_value_scale(predictions, sp)
-    matrix = E.confusion_matrix(predictions, sp)
-    by_hour = E.temporal_breakdown(predictions, sp)
+    sums = E.level_sums(predictions, sp)
+    scaled = E.on_value_scale(predictions, sp).selectExpr("stack(3, 'residuals', y_log - p_log, 'val_pred_dist', p, 'val_true_dist', y) as (section, v)")
+    if test_values is not None:
+        scaled = scaled.unionByName(test_values.selectExpr("'test_pred_dist' as section", "demand as v"))
+    stats = E.distributions(scaled)
+    matrix = E.confusion_matrix(predictions, sp, sums["bucket"])
+    by_hour = E.temporal_breakdown(predictions, sp, sums["hour"])
     spatial = {"mae_mean": 4, "mae_std": 4, "mae_min": 4, "mae_max": 4, "n_keys": 0}
-    residual = ("mean", "median", "std", "skew", "p5", "p25", "p75", "p95")
     cells = ", ".join(f"'{i}', p{i}" for i in range(4))
     parts = [
-        _items(E.residual_stats(predictions), "residuals", {c: 4 for c in residual}),
-        _items(E.bucket_metrics(predictions, sp), "bucket_metrics", {"n": 0, "r2": 4, "mae": 5, "acc": 4}, "label"),
+        _section(stats, "residuals", RESIDUALS),
+        _items(E.bucket_metrics(predictions, sp, sums["bucket"]), "bucket_metrics", {"n": 0, "r2": 4, "mae": 5, "acc": 4}, "label"),
         matrix.selectExpr("bucket", f"stack(4, {cells}) as (pred, n)").selectExpr(
             "'confusion' as section", "bucket || '-' || pred as item", "cast(n as double) as value"),
         _items(E.macro_accuracy(matrix), "confusion", {"macro_acc": 4}),
         E.bucket_accuracy(matrix).selectExpr(
             "'confusion' as section", "'acc-' || bucket as item", f"{X.rounded('acc', 4)} as value"),
-        _distribution(scaled, "p", "val_pred_dist"),
-        _distribution(scaled, "y", "val_true_dist"),
-        _items(E.spatial_breakdown(predictions, sp), "spatial", spatial),
-        E.worst_entities(predictions, sp=sp).selectExpr(
+        _section(stats, "val_pred_dist", DISTRIBUTION),
+        _section(stats, "val_true_dist", DISTRIBUTION),
+        _items(E.spatial_breakdown(predictions, sp, sums["key"]), "spatial", spatial),
+        E.worst_entities(predictions, sp=sp, found=sums["key"]).selectExpr(
             "'worst' as section", f"{sp.key} as item", f"{X.rounded('mae', 4)} as value"),
         by_hour.selectExpr(
             "'temporal' as section", f"cast({sp.hour} as string) as item", f"{X.rounded('r2', 4)} as value"),
@@ -63,7 +72,7 @@ def evaluation_report(
             "'cold_start' as section", "'n_keys' as item", "cast(n as double) as value"),
     ]
     if test_values is not None:
-        parts.append(_distribution(test_values, "demand", "test_pred_dist"))
+        parts.append(_section(stats, "test_pred_dist", DISTRIBUTION))
     if importance is not None:
         parts.append(top_features(importance).selectExpr(
             "'feature_importance' as section", "name as item", f"{X.rounded('score', 4)} as value"))

@@ -17,6 +17,7 @@ from slotcast.functions import geo
 from slotcast.functions import scalar as X
 from slotcast.oracles import r, rr, sql
 from slotcast.operators import blend as B
+from slotcast.operators import boosting, search
 from slotcast.operators import categories, clusters, encoding, folds, impute, knn, stacking
 from slotcast.operators import evaluate as E
 from slotcast.operators import models as M
@@ -27,7 +28,7 @@ from slotcast.plans import history as H
 from slotcast.plans import reports, target_day
 from slotcast.session import materialize, scratch_path, tuned
 from slotcast.sources import events_view as V
-from slotcast.sources import sinks, tables
+from slotcast.sources import sinks, stored as ST, tables
 from slotcast.spec import DEFAULT as SP
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -528,6 +529,19 @@ def _(spark, d):
     return rows.select("Index", "RoadType", "Weather", "hourly")
 
 
+@query("stored_day_ratio", f"""
+    SELECT a.geohash, {r('a.m', 'history_mean')}, {r('b.m', 'target_mean')}, {r(f'b.m / (a.m + {O.EPS})', 'ratio')}
+    FROM (SELECT geohash, avg(demand) AS m FROM train WHERE day = 48 GROUP BY geohash) a
+    JOIN (SELECT geohash, avg(demand) AS m FROM train WHERE day = 49 GROUP BY geohash) b ON b.geohash = a.geohash""")
+def _(spark, d):
+    path = scratch_path(spark, "grid")
+    name = path.rpartition("/")[-1].replace("-", "_")
+    grid = ST.store_grid(H.stack_rows(*split(spark, d)), name, path, 8)
+    result = materialize(ST.day_ratio(grid))
+    ST.drop_grid(spark, name)
+    return out(result, "geohash", "~history_mean", "~target_mean", "~ratio")
+
+
 @query("group_folds", "SELECT geohash, n, fold FROM gfold")
 def _(spark, d):
     return folds.balanced_folds(V.labelled(spark, d), "geohash", 5)
@@ -1028,6 +1042,64 @@ def _(spark, d):
     return reduce(DataFrame.unionAll, parts)
 
 
+def binned_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """The labelled rows' numeric features as bin numbers; what searches and single fits read."""
+    built = FM.build_features(*stored(spark, d)).where("not is_test")
+    return search.binned(built, S.NUMERIC_FEATURES, ["Index", "fold", "y_log"])
+
+
+def fact_rows(facts: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    parts = [df.selectExpr(f"'{name}' as fact", f"cast({e} as double) as value") for name, (df, e) in facts.items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def loss_gap(matrix: DataFrame, fit: boosting.Boosting, rounds: int) -> tuple[DataFrame, str]:
+    """How far the reported loss is from the loss of the model's own predictions."""
+    scored = fit.model(rounds).transform(matrix.where("fold = 0"))
+    return scored, f"round(abs(avg((y_log - prediction) * (y_log - prediction)) - {fit.losses[rounds - 1]!r}D), 9)"
+
+
+TRAIN_COUNTS = """SELECT 'rows_fit' AS fact, count(*) FILTER (day = 48) * 1.0 AS value FROM train
+    UNION ALL SELECT 'rows_validated', count(*) FILTER (day = 49) * 1.0 FROM train"""
+
+# Trials by rung: a third of those before goes on, one at least.
+SEARCH_TRIALS, SEARCH_RUNGS = 6, (2, 5)
+
+
+@query("search_facts", f"""
+    {TRAIN_COUNTS} UNION ALL SELECT 'trials_' || rung, floor({SEARCH_TRIALS} / pow(3, rung)) FROM range({len(SEARCH_RUNGS)}) r(rung)
+    UNION ALL SELECT fact, 0.0 FROM (VALUES ('better_trial_stopped'), ('best_not_the_best'), ('loss_gap')) f(fact)""")
+def _(spark, d):
+    matrix = binned_matrix(spark, d)
+    found = search.successive_halving(matrix, search.random_trials(SEARCH_TRIALS), SEARCH_RUNGS)
+    log = found.table(spark)
+    worst = P.grouped(log.where("goes_on"), ["rung"], worst="max(loss)")
+    stopped = log.where("not goes_on").join(worst, "rung")
+    last = log.where(f"rung = {len(SEARCH_RUNGS) - 1}")
+    best = found.fits[found.best]
+    counts = {f"trials_{r}": (log, f"count_if(rung = {r})") for r in range(len(SEARCH_RUNGS))}
+    return fact_rows({
+        "rows_fit": (matrix, "count_if(fold = -1)"), "rows_validated": (matrix, "count_if(fold = 0)"), **counts,
+        "better_trial_stopped": (stopped, "count_if(loss < worst)"),
+        "best_not_the_best": (last, f"if(min_by(trial, struct(loss, trial)) = {found.best}, 0, 1)"),
+        "loss_gap": loss_gap(matrix, best, best.losses.index(min(best.losses)) + 1)})
+
+
+@query("boosting_facts", f"""
+    {TRAIN_COUNTS} UNION ALL SELECT fact, 0.0 FROM (VALUES ('smaller_loss_seen'), ('rounds_beyond_patience'), ('loss_gap')) f(fact)""")
+def _(spark, d):
+    matrix, patience, chunk = binned_matrix(spark, d), 4, 3
+    fit = boosting.Boosting(matrix, boosting.TreeParams(depth=4, step=0.5, row_share=0.8, feature_share=0.7, min_leaf=20))
+    kept = boosting.boost(fit, 40, patience, chunk)
+    losses = spark.createDataFrame(list(enumerate(fit.losses, 1)), "round int, loss double")
+    until = f"round < {kept + patience} and loss < {fit.losses[kept - 1]!r}D"
+    return fact_rows({
+        "rows_fit": (matrix, "count_if(fold = -1)"), "rows_validated": (matrix, "count_if(fold = 0)"),
+        "smaller_loss_seen": (losses, f"count_if({until})"),
+        "rounds_beyond_patience": (losses, f"greatest(0, count(*) - {kept + patience + chunk - 1})"),
+        "loss_gap": loss_gap(matrix, fit, kept)})
+
+
 @query("zone_facts", f"""
     SELECT 'keys' AS fact, CAST(count(DISTINCT geohash) AS DOUBLE) AS value FROM base WHERE split IN ('train', 'test')
     UNION ALL SELECT 'keys_twice', 0.0 FROM gm UNION ALL SELECT 'not_at_nearest_centre', 0.0 FROM gm

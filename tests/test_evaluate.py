@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from slotcast.operators import blend as B
 from slotcast.operators import evaluate as E
@@ -102,3 +103,33 @@ def test_reconcile_counts_both_sides(spark):
 def test_check_rows_report_missing_values_as_failed(spark):
     rows = Q.check_rows(spark.sql("select cast(null as double) as val_r2, 0.5D as macro_acc"))
     assert {r["check"]: r["ok"] for r in rows.collect()} == {"val_r2": False, "macro_acc": True}
+
+
+def test_a_report_reads_the_predictions_in_one_pass(spark):
+    """Every part taken from the shared sums equals the same part taken from the rows."""
+    rng = np.random.default_rng(8)
+    y, p = np.exp(rng.normal(-3, 1, 300)), np.exp(rng.normal(-3, 1, 300))
+    df = predictions(spark, list(zip(y, p))).withColumn("p_log", F.expr("if(hour = 5, null, p_log)"))
+    sums = E.level_sums(df)
+    same = [
+        (E.bucket_metrics(df), E.bucket_metrics(df, found=sums["bucket"])),
+        (E.confusion_matrix(df), E.confusion_matrix(df, found=sums["bucket"])),
+        (E.temporal_breakdown(df), E.temporal_breakdown(df, found=sums["hour"])),
+        (E.spatial_breakdown(df), E.spatial_breakdown(df, found=sums["key"])),
+        (E.worst_entities(df), E.worst_entities(df, found=sums["key"])),
+    ]
+    for plain, shared in same:
+        assert plain.columns == shared.columns
+        a, b = (sorted(map(tuple, x.collect()), key=repr) for x in (plain, shared))
+        assert len(a) == len(b) and all(u == pytest.approx(v) for x, z in zip(a, b) for u, v in zip(x, z))
+    stats = {r["section"]: r for r in E.distributions(df.selectExpr("'a' as section", "y_log as v")).collect()}
+    assert stats["a"]["n"] == 300 and stats["a"]["p25"] == pytest.approx(np.quantile(np.log(y), 0.25))
+
+
+def test_a_report_without_predictions(spark):
+    from slotcast.plans.reports import evaluation_report
+
+    none = predictions(spark, [(0.1, 0.1)]).where("false")
+    rows = {(r["section"], r["item"]): r["value"] for r in evaluation_report(none, none.select("geohash")).collect()}
+    assert rows["residuals", "median"] is None and rows["val_true_dist", "p99"] is None
+    assert rows["spatial", "n_keys"] == 0 and rows["cold_start", "n_keys"] == 0 and rows["confusion", "0-0"] == 0
