@@ -1,18 +1,21 @@
 """Sequence packing as a cutting-stock problem solved by column generation.
 
 1. Tokens of each document, with the end id, are cut at multiples of ``capacity``; what is
-   left over is one piece. Pieces are counted by length class: the only thing the driver sees
-   is this histogram of at most ``capacity / width`` rows.
+   left over is one piece. Short pieces of one length are bundled, and a bundle is packed like
+   one piece. Pieces and bundles are counted by length class (``width`` tokens); a bundle has
+   so many pieces, up to ``bundle`` tokens, that rounding up to a class costs least. The driver
+   sees counts only: one per short length and per class.
 2. A linear program over patterns (how many pieces of each class share a sequence) minimises
    the sequences. New patterns come from an unbounded knapsack on the duals, by dynamic
    programming over the capacity.
 3. Patterns are rounded down; the few pieces per class beyond them are packed best-first into
    extra patterns, so every piece has a place.
-4. Pieces are ranked within their class (salted, so that no task holds a class) and take the
-   places the patterns give to that rank.
+4. Pieces are ranked within their class (in parts, so that no task holds a large class) and
+   take the places the patterns give to that rank.
 
-Defined results: a null or empty text is its end id alone. Repeated rows are packed one by
-one. Without rows there are no sequences. Extra columns are not read.
+Defined results: a null or empty text is its end id alone. Texts of any length are read
+whole. Repeated rows are packed one by one. Without rows there are no sequences. Extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -28,8 +31,9 @@ from slotcast.session import materialize
 
 CAPACITY = 2048
 WIDTH = 8
+BUNDLE = 512  # pieces of up to half of it are bundled
 END = 1
-RANK_ROWS = 100_000
+PART_ROWS, MOST_PARTS = 2048, 4096  # pieces of a class that are ranked together, and parts of a class
 
 
 def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, end: int = END,
@@ -159,19 +163,48 @@ def places(patterns) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, width: int = WIDTH) -> DataFrame:
+def bundles(counts: dict[int, int], bundle: int, width: int):
+    """For pieces of each short length: (length, pieces per bundle, whole bundles, class, class of the last one).
+
+    ``counts`` says how many pieces of each length there are; the last bundle may hold fewer.
+    """
+    out = []
+    for length, n in sorted(counts.items()):
+        per = min(range(1, bundle // length + 1), key=lambda p: (-(length * p) % width / (length * p), p))
+        whole, rest = divmod(n, per)
+        out.append((length, per, whole, -(-length * per // width), -(-length * rest // width)))
+    return out
+
+
+def pack(cut: DataFrame, capacity: int = CAPACITY, width: int = WIDTH, bundle: int = BUNDLE) -> DataFrame:
     """The stored pieces with ``sequence_id`` and ``offset``; ``length`` is at most ``capacity``."""
-    classed = cut.withColumn("class", F.expr(f"CAST(ceil(length / {width}) AS INT)"))
+    bundle = min(bundle, capacity)
+    # Short pieces are ranked by their length, written as a negative class, the others by their class.
+    classed = cut.withColumn("class", F.expr(f"CAST(IF(length <= {bundle // 2}, -length, ceil(length / {width})) AS INT)"))
     counted = {r["class"]: r["n"] for r in classed.groupBy("class").agg(F.count("*").alias("n")).collect()}
-    demand = np.zeros(capacity // width, np.int64)
+    demand = np.zeros(-(-capacity // width), np.int64)
+    lists = []  # class of a piece, ranks to a bundle, whole bundles, class and first rank of those, the same of the last one
     for k, n in counted.items():
-        demand[k - 1] = n
-    rows = places(whole_patterns(demand))
+        if k > 0:
+            demand[k - 1] = n
+            lists.append((k, 1, n, k, 0, k, 0))
+    for length, per, whole, k, last in bundles({-k: n for k, n in counted.items() if k < 0}, bundle, width):
+        first = int(demand[k - 1])
+        demand[k - 1] += whole
+        lists.append((-length, per, whole, k, first, last, int(demand[last - 1]) if last else 0))
+        if last:
+            demand[last - 1] += 1
+    parts = [min(MOST_PARTS, -(-counted[row[0]] // PART_ROWS)) for row in lists]
     spark = cut.sparkSession
-    slots = spark.createDataFrame(rows, "p_class int, first bigint, past bigint, per_sequence bigint, first_sequence bigint")
-
-    salts = max(1, -(-int(demand.sum()) // RANK_ROWS))
-    salted = classed.withColumn("salt", F.expr(f"pmod(xxhash64(id, start, ids_crc32), {salts})"))
+    known = spark.createDataFrame(
+        [(*row, n) for row, n in zip(lists, parts)],
+        "k_class int, per bigint, whole bigint, item_class int, item_first bigint, last_class int, last_first bigint, parts int")
+    slots = spark.createDataFrame(places(whole_patterns(demand)),
+                                  "p_class int, first bigint, past bigint, per_sequence bigint, first_sequence bigint")
+
+    # Both tables follow the number of classes and of patterns, not the data.
+    salted = classed.join(F.broadcast(known), F.expr("class = k_class")).withColumn(
+        "salt", F.expr("pmod(xxhash64(id, start, ids_crc32), parts)"))
     group, order = ["class", "salt"], ["id", "start", "ids_crc32"]
     ranked = salted.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1)
     sizes = salted.groupBy(*group).agg(F.count("*").alias("n"))
@@ -179,16 +212,18 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, width: int = WIDTH) -> DataFr
         Window.unboundedPreceding, -1)), F.lit(0))
     sizes = sizes.select(F.col("class").alias("s_class"), F.col("salt").alias("s_salt"), before.alias("before"))
     ranked = ranked.join(sizes, F.expr("class = s_class AND salt = s_salt")).withColumn("rank", F.expr("place + before"))
-    # The places follow the patterns' number, which is bounded by the classes, not by the data.
-    placed = ranked.join(F.broadcast(slots), F.expr("class = p_class AND rank >= first AND rank < past")).withColumn(
-        "sequence_id", F.expr("first_sequence + (rank - first) DIV per_sequence"))
-    inside = Window.partitionBy("sequence_id").orderBy(F.desc("class"), "rank").rowsBetween(Window.unboundedPreceding, -1)
+    items = ranked.withColumn("b", F.expr("rank DIV per")).withColumns({
+        "item_class": F.expr("IF(b < whole, item_class, last_class)"),
+        "item": F.expr("IF(b < whole, item_first + b, last_first)")})
+    placed = items.join(F.broadcast(slots), F.expr("item_class = p_class AND item >= first AND item < past")).withColumn(
+        "sequence_id", F.expr("first_sequence + (item - first) DIV per_sequence"))
+    inside = Window.partitionBy("sequence_id").orderBy(F.desc("item_class"), "item", "rank").rowsBetween(Window.unboundedPreceding, -1)
     return placed.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("bigint")).select(
         *cut.columns, "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None,
-                   end: int = END, capacity: int = CAPACITY, width: int = WIDTH) -> DataFrame:
+                   end: int = END, capacity: int = CAPACITY, width: int = WIDTH, bundle: int = BUNDLE) -> DataFrame:
     """Per piece: id, ``start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
     cut = materialize(pieces(docs, doc_id, text, tokenizer, end, capacity))
-    return pack(cut, capacity, width).withColumnRenamed("id", doc_id)
+    return pack(cut, capacity, width, bundle).withColumnRenamed("id", doc_id)

@@ -115,3 +115,25 @@ def test_awkward_rows(spark, encoder):
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in data], SCHEMA)
     check(packing.pack_documents(docs).collect(), data, encoder)
     assert packing.pack_documents(docs.where("false")).count() == 0
+
+
+def test_short_pieces_are_not_padded(spark, encoder):
+    null = spark.createDataFrame([(i, None, "x", 1) for i in range(3000)], SCHEMA)
+    rows = packing.pack_documents(null).collect()
+    assert check(rows, [(i, None) for i in range(3000)], encoder) > 0.7 and len({r["sequence_id"] for r in rows}) == 2
+    rng = np.random.default_rng(1)
+    texts = [(i, " ".join(["word"] * int(n))) for i, n in enumerate(rng.integers(0, 40, 4000))]
+    mixed = spark.createDataFrame([(*t, "x", 1) for t in texts], SCHEMA)
+    assert check(packing.pack_documents(mixed).collect(), texts, encoder) > 0.97
+
+
+def test_bundles():
+    assert packing.bundles({3: 10, 129: 4}, 512, 8) == [(3, 8, 1, 3, 1), (129, 3, 1, 49, 17)]
+    assert packing.bundles({1: 1000, 200: 5, 256: 1}, 512, 8) == [(1, 8, 125, 1, 0), (200, 1, 5, 25, 0), (256, 1, 1, 32, 0)]
+
+
+def test_a_class_is_ranked_in_parts(spark, encoder, monkeypatch):
+    monkeypatch.setattr(packing, "PART_ROWS", 7)
+    texts = [(i, ["same text", "some other text of nine words, more or less", None][i % 3]) for i in range(400)]
+    docs = spark.createDataFrame([(*t, "x", 1) for t in texts], SCHEMA)
+    assert check(packing.pack_documents(docs, bundle=64).collect(), texts, encoder) > 0.7
