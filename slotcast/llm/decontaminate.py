@@ -2,12 +2,14 @@
 
 Test items become windows of ``window`` consecutive words; an item with fewer words, but at
 least one, is a single window. The windows' 64-bit hashes form a hash set that is broadcast
-when its measured size is within ``broadcast_bytes`` (beyond that the same join shuffles on
-the hash). Each document's windows are hashed in the scan; a table of marks of fixed size tells
-most of them apart at once, the others are probed, and every probe hit is verified by comparing
-the words themselves. Only hits leave the scan.
-
-Defined results: a null or empty text has no words and no hits. Repeated rows each get the
+when its measured size is within ``broadcast_bytes``; beyond that a merge join shuffles on the
+hash. Each document's windows are hashed in the scan; a table of marks, a few per window of the
+benchmark and of bounded size, tells most of them apart at once, the others are probed, and
+every probe hit is verified by comparing the words themselves. Only hits leave the scan; with
+the merge join marked windows do, each with its own words and nothing else of the text.
+
+Defined results: a null or empty text has no words and no hits. Texts of any length are
+read whole. Repeated rows each get the
 result of their text. Rows are matched by (id, hash of the text), so a repeated or null id
 is no key. An empty benchmark leaves all documents clean. A null item id counts as ''.
 Extra columns, whatever their names, are neither read nor changed.
@@ -43,19 +45,21 @@ def _window_hash(length: int, start: str = "0") -> str:
     return f"xxhash64({', '.join(f'h[{start} + {k}]' for k in range(length))})"
 
 
-MARK_BITS, MARK = 18, b"\x01"
+MARK_BITS, MOST_MARK_BITS, MARK = 18, 22, b"\x01"
 
 
-def _marks(grams: DataFrame) -> bytearray:
-    """One byte per value of the hashes' first bits, set where an item's window has that value.
+def _marks(grams: DataFrame) -> tuple[bytearray, int]:
+    """One byte per value of the hashes' first bits, set where an item's window has that value; and how many bits.
 
-    Its size is fixed; the more windows the items have, the more windows of documents pass on
-    to the hash set itself.
+    There are at least sixteen bytes per window, up to a fixed size; beyond it more windows of
+    documents pass on to the hash set itself.
     """
-    marks = bytearray(1 << MARK_BITS)
-    for r in grams.select(F.shiftrightunsigned("b_hash", 64 - MARK_BITS).alias("at")).distinct().toLocalIterator():
+    windows = grams.agg(F.count("*")).first()[0]
+    bits = min(max(MARK_BITS, (16 * windows).bit_length()), MOST_MARK_BITS)
+    marks = bytearray(1 << bits)
+    for r in grams.select(F.shiftrightunsigned("b_hash", 64 - bits).alias("at")).distinct().toLocalIterator():
         marks[r["at"]] = MARK[0]
-    return marks
+    return marks, bits
 
 
 def window_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -70,13 +74,14 @@ def window_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     size = grams.agg(F.sum(F.expr("aggregate(b_words, 96L, (a, w) -> a + octet_length(w) + 16)")).alias("bytes"),
                      F.sort_array(F.collect_set("b_len")).alias("lengths")).first()  # at most `window` lengths
     lengths = size["lengths"] or [window]
-    probe = F.broadcast(grams) if (size["bytes"] or 0) <= broadcast_bytes else grams
-    marks = F.lit(_marks(grams))
+    probe = F.broadcast(grams) if (size["bytes"] or 0) <= broadcast_bytes else grams.hint("merge")
+    marks, bits = _marks(grams)
+    marks = F.lit(marks)
 
     def marked(n: int):
         """Places of the windows of n words whose hash has a mark."""
         return F.filter(F.sequence(F.lit(0), F.size("h") - n), lambda i: F.substring(
-            marks, F.shiftrightunsigned(F.xxhash64(*[F.get("h", i + k) for k in range(n)]), 64 - MARK_BITS).cast("int") + 1, F.lit(1)) == F.lit(MARK))
+            marks, F.shiftrightunsigned(F.xxhash64(*[F.get("h", i + k) for k in range(n)]), 64 - bits).cast("int") + 1, F.lit(1)) == F.lit(MARK))
 
     places = F.coalesce(*[F.when(F.col("len") == n, marked(n)) for n in lengths])
     hashes = " ".join(f"WHEN {n} THEN {_window_hash(n, 'pos')}" for n in lengths)
@@ -89,8 +94,8 @@ def window_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
             .selectExpr("*", "explode(array(transform(words, w -> xxhash64(w)))) AS h")
             .selectExpr("*", f"explode(filter(array({', '.join(map(str, lengths))}), l -> l <= size(words))) AS len")
             .select("*", F.explode(places).alias("pos"))
-            .selectExpr("id", "th", "words", "len", "pos", f"CASE len {hashes} END AS hash"))
-    hits = scan.join(probe, F.expr("hash = b_hash AND len = b_len AND slice(words, pos + 1, len) = b_words"))
+            .selectExpr("id", "th", "len", "pos", "slice(words, pos + 1, len) AS here", f"CASE len {hashes} END AS hash"))
+    hits = scan.join(probe, F.expr("hash = b_hash AND len = b_len AND here = b_words"))
     return (hits.selectExpr("id", "th", "struct(pos AS first, pos + len AS past) AS span", "item")
             .groupBy("id", "th")
             .agg(F.sort_array(F.collect_set("span")).alias("spans"), F.sort_array(F.collect_set("item")).alias("items")))

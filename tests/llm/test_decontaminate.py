@@ -72,3 +72,21 @@ def test_empty_tables(tables):
     assert {(r["n_hit"], r["contaminated"]) for r in dc.contamination(docs, items.where("false")).collect()} == {(0, False)}
     assert dc.contamination(docs.where("false"), items).count() == 0
     assert dc.remove_documents(docs, items.where("false")).count() == len(DOCS)
+
+
+def test_beyond_the_size_a_merge_join_carries_single_windows(spark, tables):
+    docs, items = tables
+    hits = dc.window_hits(docs, items, broadcast_bytes=0)
+    hits.count()
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    exchanges = [line for line in plan.split("\n") if "Project" in line and "here#" in line]
+    assert exchanges and not any("words#" in line.split("[", 1)[1].split("AS here")[0].split("slice(")[0] for line in exchanges[:1])
+
+
+def test_marks_follow_the_benchmark(spark):
+    few = dc.item_windows(spark.createDataFrame([(1, "a b c")], "item_id int, text string"))
+    many = dc.item_windows(spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(300))) for i in range(70)], "item_id int, text string"))
+    assert dc._marks(few)[1] == dc.MARK_BITS and sum(dc._marks(few)[0]) == 1
+    marks, bits = dc._marks(many)
+    assert bits == 19 and len(marks) == 1 << 19 and sum(marks) > 19_000
