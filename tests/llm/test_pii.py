@@ -105,3 +105,50 @@ def test_repeated_names_titles_accounts_and_spaced_phones(spark):
     assert m[1].replace(" ", "") == m[2] != "DE89370400440532013000" and mod97(m[2]) == mod97(m[3]) == 1 != mod97(m[4]) and "WEST" not in m[3]
     assert shape(out[3]) == "call 999 999 9999 or 999 9999999" and "5272" not in out[3] and "1234567" not in out[3]
     assert out[4] == "Roe only"
+
+
+def test_country_codes_stay_and_forms_of_a_number_agree(spark):
+    out = run(spark, ["+49 (0)30 901820, 030 901820, +49 30 901820, +4930901820", "+1 743 555 3824 and +351 21 123 4567", "06 12 34 56 78 or +33 6 12 34 56 78"])
+    m = re.fullmatch(r"\+49 \(0\)(\d\d) (\d{6}), 0(\d\d) (\d{6}), \+49 (\d\d) (\d{6}), \+49(\d{8})", out[0])
+    assert m[1] + m[2] == m[3] + m[4] == m[5] + m[6] == m[7] != "30901820"
+    assert re.fullmatch(r"\+1 \d{3} \d{3} \d{4} and \+351 \d\d \d{3} \d{4}", out[1]) and "3824" not in out[1] and "4567" not in out[1]
+    m = re.fullmatch(r"0(\d) (\d\d) (\d\d) (\d\d) (\d\d) or \+33 (\d) (\d\d) (\d\d) (\d\d) (\d\d)", out[2])
+    assert m.groups()[:5] == m.groups()[5:] != ("6", "12", "34", "56", "78")
+
+
+def test_one_person_has_one_name_whatever_the_title(spark):
+    out = run(spark, ["Dr Jane Roe spoke. Mrs Jane Roe left, Jane Roe too.", "Prof. Kim Poe.", "Mr Kim Poe and Ms Kim Doe", "MR SMITH and Mr Smith, DR. JOHN BIGGS"])
+    m = re.fullmatch(r"Dr (\w+ \w+) spoke\. Mrs (\w+ \w+) left, (\w+ \w+) too\.", out[0])
+    assert m[1] == m[2] == m[3] != "Jane Roe" and m[1].split()[0][-1] == "a"
+    kim = re.fullmatch(r"Prof\. (\w+) (\w+)\.", out[1])
+    both = re.fullmatch(r"Mr (\w+) (\w+) and Ms (\w+) (\w+)", out[2])
+    assert kim[2] == both[2] != "Poe" and len({kim[1], both[1], both[3]}) == 3
+    m = re.fullmatch(r"MR ([A-Z]+) and Mr (\w+), DR\. ([A-Z]+) ([A-Z]+)", out[3])
+    assert m[1] == m[2].upper() != "SMITH" and m[3] != "JOHN"
+
+
+def test_months_and_plain_numbers_are_left_alone(spark):
+    out = run(spark, ["Mr May came. In May it rained, on 5 May and May 2020 too; May said so.", "order 1700000000000 at 1712345678901, card 378282246310005, 4222222222225"])
+    m = re.fullmatch(r"Mr (\w+) came\. In May it rained, on 5 May and May 2020 too; (\w+) said so\.", out[0])
+    assert m[1] == m[2] != "May"
+    m = re.fullmatch(r"order 1700000000000 at 1712345678901, card (\d{15}), 4222222222225", out[1])
+    assert m[1][0] == "3" and luhn(m[1]) and m[1] != "378282246310005"
+
+
+def test_secrets_of_all_lengths(spark):
+    block = "-----BEGIN RSA PRIVATE KEY-----\nMIIEow+IBAAK/CAQEA\nabc==\n-----END RSA PRIVATE KEY-----"
+    source = [f"key {block} end", "a" * 40 + "bcdef", "f0" * 100, "sk-" + "aB3" * 40, "password=hunter2! and pwd: 'S3cret_x'", "password: please",
+              "2001:db8:85a3::8a2e:370:7334 and fe80::1 at 12:30:45, a::b std::cout", "Mr " + "Abcdefghij" * 12 + " left"]
+    out = run(spark, source)
+    assert re.fullmatch(r"key -----BEGIN RSA PRIVATE KEY-----\n[0-9a-f]{18}\n[0-9a-f]{3}==\n-----END RSA PRIVATE KEY----- end", out[0]) and "MIIE" not in out[0]
+    assert [len(o) for o in out[1:4]] == [len(s) for s in source[1:4]] and not set(out[1:4]) & set(source[1:4])
+    assert re.fullmatch(r"password=[a-z]{6}\d! and pwd: '[A-Z]\d[a-z]{4}_[a-z]'", out[4]) and "hunter" not in out[4]
+    assert out[5] == source[5]
+    assert re.fullmatch(r"[0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]{4}::[0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]{4} and [0-9a-f]{4}::[0-9a-f] at 12:30:45, a::b std::cout", out[6])
+    assert "db8:85a3" not in out[6] and re.fullmatch(r"Mr \w+ left", out[7]) and "Abcdefghij" not in out[7]
+
+
+def test_the_key_decides(spark):
+    text = ["Mr Roe, a@b.org"]
+    assert run(spark, text, key="one") == run(spark, text, key="one") != run(spark, text, key="two")
+    assert run(spark, text) == run(spark, text) == run(spark, text, key=pii.session_key(spark))
