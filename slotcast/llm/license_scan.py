@@ -65,6 +65,19 @@ TEMPLATES = (
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
             "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+                "or (at your option) any later version."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+                 "License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+                 "License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+                 "License, or (at your option) any later version."),
 )
 
 BIGRAMS = "array_distinct(transform(sequence(0, size({w}) - 2), i -> concat({w}[i], ' ', {w}[i + 1])))"
@@ -189,7 +202,7 @@ d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM
 s AS (SELECT r, unnest(string_split(text, chr(10))) AS seg FROM d
       UNION ALL SELECT r, unnest(regexp_split_to_array(text, '{PARAGRAPHS}')) FROM d WHERE regexp_matches(text, '{PARAGRAPHS}')
       UNION ALL SELECT r, text FROM d),
-w AS (SELECT DISTINCT r, {sql_words('seg')} AS w FROM s WHERE len({sql_words('seg')}) BETWEEN 2 AND 400),
+w AS (SELECT DISTINCT r, {sql_words('seg')} AS w FROM s WHERE len({sql_words('seg')}) > 1),
 g AS (SELECT r, w, {bigrams} AS b FROM w),
 x AS (SELECT r, w, ord, name, 2.0 * len(list_intersect(g.b, t.b)) / (len(g.b) + len(t.b)) AS dice FROM g, t
       WHERE len(g.b) >= len(t.b) * {threshold} / {2 - threshold} - 1e-6 AND len(g.b) <= len(t.b) * {2 - threshold} / {threshold} + 1e-6),

@@ -113,3 +113,14 @@ def test_notices_inside_segments_equal_all_windows(spark):
     got = {r["doc_id"]: (r["license"], r["dice"], r["n_hits"]) for r in ls.scan(docs).collect()}
     assert got == {i: plain_with_windows(t) for i, t in enumerate(INSIDE)}
     assert got[0] == ("Apache-2.0", 1.0, 1) and got[1] == ("GPL-3.0", 1.0, 1) and got[2][2] == 2 and got[7] == (None, 0.0, 0)
+
+
+def test_families_that_differ_by_a_word(spark):
+    header = ("This {0} is free software; you can redistribute it and/or modify\nit under the terms of the GNU {1}General Public License as\n"
+              "published by the Free Software Foundation; either version {2} of the License, or\n(at your option) any later version.\n")
+    texts = {"GPL-2.0": header.format("program", "", "2"), "GPL-3.0": header.format("program", "", "3").replace(";", ","),
+             "LGPL-2.1": header.format("library", "Lesser ", "2.1"), "LGPL-3.0": header.format("library", "Lesser ", "3"),
+             "AGPL-3.0": header.format("program", "Affero ", "3")}
+    inside = {name: FILL + " " + t.replace("\n", " ") + FILL for name, t in texts.items()}
+    docs = spark.createDataFrame([(n, t) for group in (texts, inside) for n, t in group.items()], "doc_id string, text string")
+    assert all(r["license"] == r["doc_id"] and r["dice"] == 1 for r in ls.scan(docs).collect())
