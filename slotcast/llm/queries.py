@@ -143,9 +143,10 @@ def op10_token_counts(spark, sf_dir):
 
 @query
 def op2_warc(spark, sf_dir):
-    """What the archives of all pages hold, read back through their index."""
-    archive = warc.write(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
-    return warc.captures(spark, archive, payloads=False).select(
+    """What the archives of all pages hold, every url looked up in the two levels of their index."""
+    pages = table(spark, sf_dir, "pages")
+    archive = warc.write(pages, scratch_path(spark, "warc"))
+    return warc.lookup(pages, archive, payloads=False, nameless=True).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -17,6 +17,7 @@ count, so lost or repeated tasks leave no trace.
 Defined results: a null html is an empty payload, a null url has an empty key and no target.
 Rows with a null id belong to no response: of equal payloads they revisit the largest id, and
 are all responses if there is none. Rows that repeat the response's id are responses too.
+Pages of any length are written and read whole, one record at a time.
 Control characters and spaces in a url are written percent-encoded. Extra columns are not read.
 """
 
@@ -33,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from slotcast.llm import files
+from slotcast.session import materialize
 
 MIN_REVISIT = 1000
 BLOCK_LINES = 500
@@ -109,7 +111,7 @@ def write(pages: DataFrame, out: str, page_id: str = "page_id", url: str = "url"
     owners = (rows.where(f"size >= {min_revisit}").groupBy("digest", "size")
               .agg(F.count("*").alias("n"), F.max(F.struct("page", "url")).alias("o")).where("n > 1 AND o.page IS NOT NULL")
               .selectExpr("digest AS o_digest", "size AS o_size", "o.page AS owner", "o.url AS owner_url"))
-    owners = owners.persist()
+    owners = materialize(owners)
     bytes_ = owners.agg(F.sum(F.expr("100 + coalesce(octet_length(owner_url), 0)"))).first()[0] or 0
     # Repeated payloads are few; where they are not, the same join shuffles on the digest.
     given = rows.join(F.broadcast(owners) if bytes_ <= BROADCAST_BYTES else owners,
@@ -149,7 +151,6 @@ def write(pages: DataFrame, out: str, page_id: str = "page_id", url: str = "url"
                                              names=["file", "first_key", "last_key", "offset", "length", "captures"])
 
     ordered.mapInArrow(store, BLOCK).write.parquet(f"{out}/blocks")
-    owners.unpersist()
     return out
 
 
@@ -216,14 +217,17 @@ def captures(spark: SparkSession, archive: str, payloads: bool = True) -> DataFr
     return dealt.mapInArrow(read, CAPTURE)
 
 
-def lookup(urls: DataFrame, archive: str, url: str = "url", payloads: bool = True) -> DataFrame:
-    """Captures of the given urls (any capture with the same key), by directory search and range reads."""
+def lookup(urls: DataFrame, archive: str, url: str = "url", payloads: bool = True, nameless: bool = False) -> DataFrame:
+    """Captures of the given urls (any capture with the same key), by directory search and range reads.
+
+    Null urls are ignored, or with ``nameless`` ask for the captures without url.
+    """
     spark = urls.sparkSession
     # One row per archive: as many as the write had partitions.
     spans = sorted((r["lo"], r["hi"], r["file"]) for r in blocks(spark, archive).groupBy("file").agg(
         F.min("first_key").alias("lo"), F.max("last_key").alias("hi")).collect())
     table = spark.createDataFrame(spans, "lo string, hi string, file string")
-    keys = urls.where(F.col(url).isNotNull()).select(F.expr(sort_key(f"`{url}`")).alias("want")).distinct()
+    keys = urls.where(F.lit(nameless) | F.col(url).isNotNull()).select(F.expr(sort_key(f"`{url}`")).alias("want")).distinct()
 
     def candidates(batches):
         lows = [s[0] for s in spans]

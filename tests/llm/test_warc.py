@@ -79,3 +79,11 @@ def test_damaged_payload_is_reported(spark):
     assert warc._parse(good)["payload"] == b"abc"
     with pytest.raises(ValueError):
         warc._parse(warc._record(1, "u", b"abc", hashlib.sha1(b"abd").hexdigest(), None, None, warc.DATE))
+
+
+def test_looking_up_every_page_finds_every_record_once(spark, tmp_path):
+    rows, docs = pages(spark)
+    archive = warc.write(docs.repartition(3), str(tmp_path / "a"), block_lines=5)
+    assert as_counter(warc.lookup(docs, archive, payloads=False, nameless=True).collect()) == expected(rows)
+    only = warc.lookup(docs.where("url IS NULL"), archive, nameless=True).collect()
+    assert Counter(r["page_id"] for r in only) == Counter(p for p, u, _ in rows if u is None)
