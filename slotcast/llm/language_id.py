@@ -12,8 +12,9 @@ codewords travel to the scoring tasks. Language, source and id are no inputs of
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0 and not
 ambiguous; without any labelled row all are. With one learned language every other text gets
-it, with score 1. Labels that are null teach nothing. Repeated rows each get a row; extra
-columns are not read.
+it, with score 1. Labels that are null teach nothing. Of languages with equal losses the first in
+alphabetical order is predicted. Texts of any length are read whole, a slice at a time. Repeated
+rows each get a row; extra columns are not read.
 """
 
 from __future__ import annotations

@@ -13,8 +13,9 @@
 Defined results: a text of fewer than n words, but at least one, has one gram, its words; it
 links to equal texts only. Null and wordless texts link to nothing and are their own class.
 Rows with equal words are copies and link to each other. The class id is the smallest id of
-the class (null only if it has no other id). Rows with the same id are separate rows. Extra
-columns are not read.
+the class (null only if it has no other id). Rows with the same id are separate rows. Texts
+of any length are compared by all their n-grams. An empty table gives no rows. Extra columns
+are not read.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ Only the weights (``2 * BUCKETS`` numbers) travel to the tasks.
 Defined results: a null or empty text has zero counts and fails the base rules. Labels that
 are null or not 0/1 teach nothing; with fewer than two classes there is no model, the
 probability is null and the base rules alone decide. Repeated rows each get a row; labels of
-a repeated id all count. Extra columns are not read.
+a repeated id all count. A probability equal to the threshold is kept. Texts of any length are
+read whole, a slice at a time; an empty table gives no rows. Extra columns are not read.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Defined results: of several changes to a document and version in one batch the l
 (then by the other columns) holds. Deleting what is not there changes nothing; revising it
 inserts it; inserting what is there replaces it. Rows without document id cannot be found
 again: inserts among them all count, deletes and revisions of them change nothing. Null
-source, language and version are values of their own; null counts are 0.
+source, language and version are values of their own; null counts are 0. Texts of any length
+are counted whole. An empty batch is committed and changes nothing.
 """
 
 from __future__ import annotations

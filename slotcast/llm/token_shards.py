@@ -16,7 +16,8 @@ Files appear under their names only when whole, so lost or repeated tasks leave
 
 Defined results: a null or empty text is its end id. The last sequence of a partition is
 filled with the end id; the index has its true length. No rows give no shards. Repeated rows
-are written as often as they occur. Extra columns are not read.
+are written as often as they occur. A text of any length is cut into as many sequences as it
+fills. Extra columns are not read.
 """
 
 from __future__ import annotations
