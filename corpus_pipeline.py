@@ -3,6 +3,12 @@
 Every stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and is
 written as Parquet before the next one reads it. All but the last return the columns of
 documents; the last returns packed pieces.
+
+Defined results: a null, empty or very short text fails the quality rules and goes in the first
+stage. Of documents with the same or nearly the same words the one with the smallest id stays,
+of equal ids one row. Any word window of a benchmark item removes a document. Very long texts
+go through every stage whole. Columns besides those of documents pass unchanged up to packing.
+An empty table gives no pieces. The surrogate key is that of the session (see llm.pii).
 """
 
 from __future__ import annotations
