@@ -68,13 +68,14 @@ def _any_title(titles) -> str:
 NAME = r"\p{Lu}(?:\p{L}|['’\-](?=\p{L})(?![sS](?!\p{L}))){1,200}"
 TITLE = f"(?:{_any_title(TITLES['m'] + TITLES['f'] + TITLES['u'])}){{1,3}}"
 HEX = "[0-9A-Fa-f]"
+ASSIGNED = r"[Pp](?:[Aa][Ss][Ss](?:[Ww][Oo][Rr][Dd]|[Ww][Dd])|[Ww][Dd])[\"']? ?[=:] ?[\"']?"
 BLOCK = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
 # Every pattern starts with a look behind and has bounded runs, so a very long word costs no more than its length.
 PATTERNS = {
     "email": rf"(?<!{LOCAL}){LOCAL}{{1,64}}+@(?:[\p{{L}}\p{{N}}\-]{{1,63}}\.){{1,8}}\p{{L}}{{2,24}}",
     "block": BLOCK + r"[A-Za-z0-9+/=\s,:\-]{1,20000}?-----END [A-Z ]{0,40}PRIVATE KEY-----",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,}+)(?![0-9A-Za-z])",
-    "password": r"(?<=(?i:password|passwd|pwd)[\"']? ?[=:] ?[\"']?)(?![\"' ])(?=[^\s\"',;]{0,200}[0-9!@#$%^&*])[^\s\"',;]{6,200}",
+    "password": rf"(?<![A-Za-z]){ASSIGNED}(?=[^\s\"',;]{{0,200}}[0-9!@#$%^&*])[^\s\"',;]{{6,200}}",
     "ip6": (rf"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]{{0,39}}[0-9])(?:(?:{HEX}{{1,4}}:){{7}}{HEX}{{1,4}}|(?:{HEX}{{1,4}}:){{1,6}}(?::{HEX}{{1,4}}){{1,6}})"
             r"(?![0-9A-Za-z:])"),
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)",
@@ -87,12 +88,12 @@ PATTERNS = {
 MENTION = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # What every mention holds at least one of, a digit or @ or one of these; plain searches spare most texts the full pattern.
 HINTS = (*TITLES["m"], *TITLES["f"], *TITLES["u"], "AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "PRIVATE KEY")
-HINT_PATTERN = "[0-9@]|[a-f]{32}|[A-F]{32}|(?i:password|passwd|pwd)[\"']? ?[=:]"
+HINTS = tuple(w for w in HINTS if not any(o != w and o in w for o in HINTS))
 
 SYLLABLES = {"l": "ba be bo da de do fa fe fi ga ge go la le lo ma me mo na ne no ra re ro sa se so ta te to va ve".split(),
              "c": "ба бе бо да де до фа фе фи га ге го ла ле ло ма ме мо на не но ра ре ро са се со та те то ва ве".split()}
 ENDINGS = {"lsurname": "ner son ler mann ton field berg stad".split(), "csurname": "нко чук вич ров лин ский тов дин".split(),
-           "lm": "rik lan mir ton bert nard gar vin".split(), "lf": "ria lina dora nia lia nette tessa vina".split(),
+           "lm": "rik lan mir ton bert nard gar vin".split(), "lf": "ria lina dora nia lia netta tessa vina".split(),
            "cm": "слав мир лан рик тон вин лад дар".split(), "cf": "рия лина дора ния лия вина тина дана".split(),
            "lu": "ory ael ine emi ari ely any oly".split(), "cu": "аля уня оша эни ики оло ути аро".split()}
 
@@ -127,9 +128,9 @@ def mentions_of(text: str) -> str:
 
 
 def _kind(mention: str) -> str:
-    """Kind of a whole mention: the first pattern that it matches from end to end; a password shows by what stands before it."""
-    cases = " ".join(f"WHEN {mention} RLIKE {_quoted('^(?:' + p + ')$')} THEN '{k}'" for k, p in PATTERNS.items() if k != "password")
-    return f"CASE {cases} ELSE 'password' END"
+    """Kind of a whole mention: the first pattern that it matches from end to end."""
+    cases = " ".join(f"WHEN {mention} RLIKE {_quoted('^(?:' + p + ')$')} THEN '{k}'" for k, p in PATTERNS.items())
+    return f"CASE {cases} END"
 
 
 def _title(mention: str) -> str:
@@ -153,6 +154,7 @@ def _parts(mentions: DataFrame) -> DataFrame:
     national = f"regexp_replace({_digits('mention')}, IF(mention LIKE '+%', '^(?:{COUNTRY})', '^$'), '')"
     one = "array(struct({k} AS k, {c} AS c, mention AS p))"
     literal = one.format(k="CAST(NULL AS STRING)", c="CAST(NULL AS STRING)")
+    before = f"regexp_extract(mention, {_quoted('^' + ASSIGNED)}, 0)"
     plain = f"kind = 'card' AND mention RLIKE '^[0-9]+$' AND length(mention) <> 16 AND {_luhn('mention')} <> 0"
     return (mentions
             .withColumn("kind", F.expr(_kind("mention")))
@@ -161,7 +163,10 @@ def _parts(mentions: DataFrame) -> DataFrame:
             .withColumn("parts", F.expr(f"""CASE
                 WHEN {plain} THEN {literal}
                 WHEN kind IN ('email', 'ip6') THEN {one.format(k="kind", c="lower(mention)")}
-                WHEN kind IN ('secret', 'ip', 'block', 'password') THEN {one.format(k="kind", c="mention")}
+                WHEN kind = 'password' THEN array(
+                    struct(CAST(NULL AS STRING) AS k, CAST(NULL AS STRING) AS c, {before} AS p),
+                    struct(kind AS k, substr(mention, length({before}) + 1) AS c, substr(mention, length({before}) + 1) AS p))
+                WHEN kind IN ('secret', 'ip', 'block') THEN {one.format(k="kind", c="mention")}
                 WHEN kind = 'iban' THEN {one.format(k="kind", c="replace(mention, ' ', '')")}
                 WHEN kind = 'phone' THEN {one.format(k="kind", c=f"regexp_replace({national}, '^0', '')")}
                 WHEN kind = 'person' THEN concat(
@@ -169,6 +174,7 @@ def _parts(mentions: DataFrame) -> DataFrame:
                     transform(names, (n, i) -> struct(
                         concat(IF(n RLIKE {_quoted("^" + chr(92) + "p{IsCyrillic}")}, 'c', 'l'), IF(i = size(names) - 1, 'surname', g)) AS k,
                         lower(n) AS c, concat(IF(i = 0, '', ' '), n) AS p)))
+                WHEN kind IS NULL THEN {literal}
                 ELSE {one.format(k="kind", c=_digits("mention"))} END"""))
             .selectExpr("mention", "g", "posexplode(parts) AS (at, part)")
             .selectExpr("mention", "g", "at", "part.k", "part.c", "part.p"))
@@ -293,7 +299,8 @@ def _month(name: str) -> str:
 def replaced(docs: DataFrame, text: str = "text", key: str | None = None) -> DataFrame:
     """Per input row: ``row`` (the row as it was), ``clean`` (its new text) and ``n_mentions``."""
     key = key or session_key(docs.sparkSession)
-    hint = " OR ".join([f"`{text}` RLIKE {_quoted(HINT_PATTERN)}", *[f"contains(`{text}`, {_quoted(w)})" for w in HINTS]])
+    hint = " OR ".join([f"`{text}` RLIKE '[0-9@]'", f"`{text}` RLIKE {_quoted('[a-f]{32}|[A-F]{32}|' + ASSIGNED)}",
+                        *[f"contains(`{text}`, {_quoted(w)})" for w in HINTS]])
     has = f"coalesce(({hint}) AND `{text}` RLIKE {_quoted(MENTION)}, false)"
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.expr(has).alias("has"))
     touched = docs.where(has).select(F.xxhash64(text).alias("h"), F.col(text).alias("body"))
