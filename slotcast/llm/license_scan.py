@@ -118,13 +118,25 @@ def _with_windows(rows: DataFrame, doc_id: str, threshold: float) -> DataFrame:
         CAST(array() AS array<struct<a:int,z:int,dice:double,license:string>>))""", ("cuts", "at", "n_lines", "n_paragraphs"))
     rows = step(rows, "open", "array_except(n_marks, flatten(transform(filter(spans, s -> s.dice >= 1D), s -> sequence(s.a - 1, s.z - 1))))")
     rows = step(rows, "grams", "IF(size(open) = 0, NULL, transform(sequence(0, size(n_words) - 2), i -> concat(n_words[i], ' ', n_words[i + 1])))")
-    score = "2.0D * size(array_intersect(slice(grams, i + 1, e), t.b)) / (size(array_distinct(slice(grams, i + 1, e))) + t.n)"
-    rows = step(rows, "windows", f"""IF(grams IS NULL, NULL, filter(flatten(transform(n_near, t -> flatten(transform(
-        filter(open, i -> array_contains(t.b, grams[i]) AND size(array_intersect(slice(grams, i + 1, t.hi), t.b)) >= t.lo),
-        i -> transform(
-            filter(sequence(1, least(t.hi, size(grams) - i)), e -> array_contains(t.b, grams[i + e - 1]) AND {score} >= {threshold!r}D),
-            e -> named_struct('behind', -({score}), 'ord', t.ord, 'n', e + 1, 'a', i, 'z', i + e + 1, 'license', t.name)))))),
-        x -> NOT exists(spans, s -> s.dice >= 1D AND s.a < x.z AND x.a < s.z)))""", ("open", "grams", "n_marks", "n_near"))
+    # Last place of the same bigram before each place, and each template's open bigrams: a window's distinct bigrams
+    # are the places in it whose last place lies before it, so its counts grow by one step with its end.
+    rows = step(rows, "sorted", "IF(grams IS NULL, NULL, sort_array(transform(grams, (g, i) -> named_struct('g', g, 'i', i))))")
+    rows = step(rows, "last", """IF(sorted IS NULL, NULL, transform(sort_array(transform(sorted, (x, k) ->
+        named_struct('i', x.i, 'last', IF(k > 0 AND sorted[k - 1].g = x.g, sorted[k - 1].i, -1)))), x -> x.last))""", ("sorted",))
+    rows = step(rows, "member", "IF(grams IS NULL, NULL, transform(n_near, t -> transform(grams, g -> array_contains(t.b, g))))")
+    rows = step(rows, "begin", "IF(grams IS NULL, NULL, transform(member, m -> filter(open, i -> m[i])))")
+    score = "2.0D * (s.shared + INT(last[j] < i AND member[k][j])) / (s.n + INT(last[j] < i) + t.n)"
+    # A window without a covered place holds at least t.lo open bigrams of its template.
+    rows = step(rows, "windows", f"""IF(grams IS NULL, NULL, filter(flatten(transform(n_near, (t, k) -> flatten(transform(
+        filter(begin[k], (i, m) -> m + t.lo <= size(begin[k]) AND begin[k][m + t.lo - 1] < i + t.hi),
+        i -> aggregate(sequence(i, least(i + t.hi, size(grams)) - 1),
+            named_struct('shared', 0, 'n', 0, 'w', CAST(array() AS array<struct<behind:double,ord:int,n:int,a:int,z:int,license:string>>)),
+            (s, j) -> named_struct('shared', s.shared + INT(last[j] < i AND member[k][j]), 'n', s.n + INT(last[j] < i), 'w',
+                IF(member[k][j] AND {score} >= {threshold!r}D, concat(s.w, array(
+                    named_struct('behind', -({score}), 'ord', t.ord, 'n', j - i + 2, 'a', i, 'z', j + 2, 'license', t.name))), s.w)),
+            s -> s.w))))),
+        x -> NOT exists(spans, s -> s.dice >= 1D AND s.a < x.z AND x.a < s.z)))""",
+        ("open", "grams", "last", "member", "begin", "n_marks", "n_near"))
     rows = step(rows, "taken", """aggregate(sort_array(windows), filter(windows, x -> false),
         (s, x) -> IF(exists(s, y -> y.a < x.z AND x.a < y.z), s, concat(s, array(x))))""", ("windows",))
     return rows.select(doc_id, F.expr("""IF(coalesce(size(taken), 0) <= 0, matched, array_distinct(concat(matched, transform(

@@ -124,3 +124,11 @@ def test_families_that_differ_by_a_word(spark):
     inside = {name: FILL + " " + t.replace("\n", " ") + FILL for name, t in texts.items()}
     docs = spark.createDataFrame([(n, t) for group in (texts, inside) for n, t in group.items()], "doc_id string, text string")
     assert all(r["license"] == r["doc_id"] and r["dice"] == 1 for r in ls.scan(docs).collect())
+
+
+def test_many_notices_in_one_line_equal_all_windows(spark):
+    short = " ".join(["Released under the MIT License.", FILL, "Licensed under CC BY 4.0."] * 4)
+    twice = "licensed under licensed under the apache license, version 2.0 the apache license, version 2.0. " + FILL
+    docs = spark.createDataFrame([(0, short), (1, twice), (2, FILL + " " + twice + " " + short)], "doc_id int, text string")
+    got = {r["doc_id"]: (r["license"], r["dice"], r["n_hits"]) for r in ls.scan(docs).collect()}
+    assert got == {r["doc_id"]: plain_with_windows(r["text"]) for r in docs.collect()}
