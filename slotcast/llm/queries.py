@@ -124,20 +124,40 @@ def op8_training_order(spark, sf_dir):
     return token_shards.index(spark, made).drop("crc32").join(back.hint("merge"), "slot")
 
 
+# What a document's text becomes before each version of its counts is taken.
+COUNTED = {"byte_bpe_50k/1": "text", "byte_bpe_50k-uncased/1": f"translate(text, '{UPPER}', '{UPPER.lower()}')"}
+BLANK = r"concat(' ', '\t', '\n', '\r')"
+COPY_SALTS = 16
+
+
+def later_copies(docs: DataFrame) -> DataFrame:
+    """``doc_id`` of every document with a text that a smaller id has too; a very common text is dealt over salts."""
+    texts = docs.selectExpr("doc_id", "sha2(text, 256) AS h").where("h IS NOT NULL AND doc_id IS NOT NULL")
+    first = texts.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last")
+    first = first.selectExpr("h", "first", f"explode(sequence(0, {COPY_SALTS - 1})) AS salt")
+    salted = texts.withColumn("salt", F.expr(f"CAST(pmod(xxhash64(doc_id), {COPY_SALTS}) AS INT)"))
+    return salted.join(first, ["h", "salt"]).where("doc_id <> first").select("doc_id")
+
+
 @query
 def op10_token_counts(spark, sf_dir):
-    """Totals after two batches: every document is counted, then later copies of a text are deleted."""
+    """Totals of two versions after three batches: all documents are counted, those that lose outer blanks are
+    revised, and later copies of a text are deleted."""
     docs = table(spark, sf_dir, "documents")
     store = token_counts.create(spark, scratch_path(spark, "counts"))
-    counted = token_counts.count_tokens(docs, "byte_bpe_50k/1")
-    inserts = counted.selectExpr("*", "'insert' AS op", "0 AS seq")
+
+    def counts(rows: DataFrame, op: str) -> DataFrame:
+        parts = [token_counts.count_tokens(rows.withColumn("text", F.expr(body)), version) for version, body in COUNTED.items()]
+        return parts[0].unionAll(parts[1]).selectExpr("*", f"'{op}' AS op", "0 AS seq")
+
+    inserts = counts(docs, "insert")
     token_counts.apply_batch(spark, store, "load", inserts)
     token_counts.apply_batch(spark, store, "load", inserts)  # a repeated commit changes nothing
-    texts = docs.select(F.col("doc_id"), F.sha2("text", 256).alias("h")).where("h IS NOT NULL AND doc_id IS NOT NULL")
-    first = texts.groupBy("h").agg(F.min("doc_id").alias("first"))
-    copies = texts.join(first, "h").where("doc_id <> first")
-    token_counts.apply_batch(spark, store, "copies", copies.selectExpr(
-        "doc_id", "NULL AS source", "NULL AS lang", "'byte_bpe_50k/1' AS version", "'delete' AS op", "0 AS n_tokens", "0 AS seq"))
+    trimmed = docs.withColumn("trimmed", F.expr(f"btrim(text, {BLANK})")).where("trimmed <> text AND doc_id IS NOT NULL")
+    token_counts.apply_batch(spark, store, "trimmed", counts(trimmed.drop("text").withColumnRenamed("trimmed", "text"), "revise"))
+    versions = ", ".join(f"'{v}'" for v in COUNTED)
+    token_counts.apply_batch(spark, store, "copies", later_copies(docs).selectExpr(
+        "doc_id", "NULL AS source", "NULL AS lang", f"explode(array({versions})) AS version", "'delete' AS op", "0 AS n_tokens", "0 AS seq"))
     return token_counts.totals(spark, store)
 
 

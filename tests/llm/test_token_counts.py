@@ -53,15 +53,34 @@ def test_broken_batch_is_written_anew(spark, tmp_path):
     assert totals(spark, store) == {("s", "en", "v"): (1, 5)}
 
 
-def test_query_counts_each_text_once(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang").collect()
+def brute(docs):
+    """What the query's three batches leave: per version the counts of trimmed texts, one document for each text."""
     encoder, first, want = tokens.Encoder(tokens.default_path()), {}, Counter()
     for r in sorted(docs, key=lambda r: r["doc_id"]):
         if r["text"] is not None and first.setdefault(r["text"], r["doc_id"]) != r["doc_id"]:
             continue
-        n = len(encoder.tokenizer.encode(r["text"] or "", add_special_tokens=False).ids)
-        want[r["source"], r["lang"], "d"] += 1
-        want[r["source"], r["lang"], "n"] += n
-    got = QUERIES["op10_token_counts"](spark, sf_dir).collect()
-    assert {(r["source"], r["lang"]): (r["n_docs"], r["n_tokens"]) for r in got} == {
-        (s, l): (want[s, l, "d"], want[s, l, "n"]) for s, l, x in want if x == "d"}
+        body = (r["text"] or "").strip(" \t\n\r")
+        lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in body)
+        for version, text in (("byte_bpe_50k/1", body), ("byte_bpe_50k-uncased/1", lowered)):
+            want[r["source"], r["lang"], version, "d"] += 1
+            want[r["source"], r["lang"], version, "n"] += len(encoder.tokenizer.encode(text, add_special_tokens=False).ids)
+    return {(s, l, v): (want[s, l, v, "d"], want[s, l, v, "n"]) for s, l, v, x in want if x == "d"}
+
+
+def counted(spark, sf_dir):
+    return {(r["source"], r["lang"], r["version"]): (r["n_docs"], r["n_tokens"]) for r in QUERIES["op10_token_counts"](spark, sf_dir).collect()}
+
+
+def test_query_counts_each_text_once(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source", "lang").collect()
+    assert counted(spark, sf_dir) == brute(docs)
+
+
+def test_query_with_a_very_common_text_and_outer_blanks(spark, tmp_path):
+    texts = ["the Same text ", "the Same text", " \t", "", None, "\n own words A B\r\n", "own words A B", "\x0b kept"]
+    rows = [(i, texts[0] if i % 3 else texts[i // 3 % len(texts)], "st"[i % 2], None if i % 5 == 0 else "en") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert counted(spark, str(tmp_path)) == brute(docs.collect())
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert counted(spark, f"{tmp_path}/none") == {}
