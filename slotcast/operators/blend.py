@@ -7,6 +7,7 @@ squared errors per candidate before anything is shuffled.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,36 +75,70 @@ def best_weights(scores: DataFrame, models: Sequence[str]) -> DataFrame:
     return scores.orderBy(["score", *weights], ascending=[False] + [True] * len(weights)).limit(1)
 
 
+def grid_optima(scores: DataFrame, models: Sequence[str], steps: int = SIMPLEX_STEPS, most: int = 5) -> DataFrame:
+    """Grid points that no neighbour beats, best first: the starts of a local search. Ties as in ``best_weights``.
+
+    A neighbour has one step of weight moved between two models.
+    """
+    at, weights = [f"i{j}" for j in range(len(models))], [f"w_{m}" for m in models]
+    grid = scores.selectExpr(*[f"cast(round({w} * {steps}) as int) as {i}" for i, w in zip(at, weights)], *weights, "r2", "score")
+    moved = [", ".join(f"{i} + {int(j == up) - int(j == down)} as {i}" for j, i in enumerate(at))
+             for up in range(len(at)) for down in range(len(at)) if up != down]
+    reached = grid.selectExpr("score as near", f"explode(array({', '.join(f'struct({m})' for m in moved)})) as cell").selectExpr("near", "cell.*")
+    tops = grid.join(grouped(reached, at, near="max(near)"), at, "left").where("near is null or score >= near")
+    return tops.select(*weights, "r2", "score").orderBy(["score", *weights], ascending=[False] + [True] * len(weights)).limit(most)
+
+
 def refine_weights(
-    df: DataFrame, models: Sequence[str], start: dict[str, float], step: float,
+    df: DataFrame, models: Sequence[str], start: dict[str, float] | Sequence[dict[str, float]], step: float,
     min_step: float = 1e-3, penalty: float = PENALTY, sp: Spec = DEFAULT,
 ) -> dict[str, float]:
     """Moves weight between two models at a time around ``start``, halving the step when nothing improves.
 
-    A model without any prediction gets no weight. Only one row of metrics per pass comes to
-    the driver.
+    Several starts are refined together, one pass over the rows for all of them, and the best
+    end is returned; of equal ones that of the earliest start. A model without any prediction
+    gets no weight. Only a score per candidate comes to the driver.
     """
-    weights = [start[m] for m in models]
     have = grouped(df, [], **{m: f"count({m})" for m in models}).first()
-    best: float | None = None
-    while step >= min_step:
-        candidates = [weights]
-        for i in range(len(models)):
-            for j in range(len(models)):
-                moved = min(step, weights[j])
-                if i != j and moved > 0 and have[models[i]]:
-                    trial = list(weights)
+    ends = [_End([s[m] for m in models], step) for s in ([start] if isinstance(start, dict) else start)]
+    while moving := [e for e in ends if e.step >= min_step]:
+        trials = [e.trials([have[m] > 0 for m in models]) for e in moving]
+        found = _score_candidates(df, models, [w for t in trials for w in t], penalty, sp)
+        scores = [r["score"] for r in found.orderBy("candidate").collect()]
+        for end, mine in zip(moving, trials):
+            end.take(mine, scores[:len(mine)])
+            scores = scores[len(mine):]
+    return dict(zip(models, max(ends, key=lambda e: e.score).weights))
+
+
+@dataclass
+class _End:
+    """Where a local search stands."""
+
+    weights: list[float]
+    step: float
+    score: float = float("-inf")
+
+    def trials(self, usable: list[bool]) -> list[list[float]]:
+        """The weights themselves, then every move of one step."""
+        found = [self.weights]
+        for i in range(len(self.weights)):
+            for j in range(len(self.weights)):
+                moved = min(self.step, self.weights[j])
+                if i != j and moved > 0 and usable[i]:
+                    trial = list(self.weights)
                     trial[i], trial[j] = trial[i] + moved, trial[j] - moved
-                    candidates.append(trial)
-        top = _score_candidates(df, models, candidates, penalty, sp).orderBy(
-            ["score", "candidate"], ascending=[False, True]).first()
-        if best is not None and top["score"] <= best:
-            step /= 2
+                    found.append(trial)
+        return found
+
+    def take(self, trials: list[list[float]], scores: list[float]) -> None:
+        top = max(range(len(trials)), key=lambda i: scores[i])  # the first of equal ones
+        if scores[top] > self.score:
+            self.weights, self.score = trials[top], scores[top]
         else:
-            weights, best = candidates[top["candidate"]], top["score"]
-            if top["candidate"] == 0:
-                step /= 2
-    return dict(zip(models, weights))
+            top = 0
+        if top == 0:
+            self.step /= 2
 
 
 def _score_candidates(

@@ -62,8 +62,8 @@ def _run(
     oof = materialize(trained.oof)
     validation = oof.where("fold = 0")
 
-    grid = B.best_weights(B.simplex_scores(validation, M.MODELS, simplex_steps, sp=sp), M.MODELS).first()
-    fine = B.refine_weights(validation, M.MODELS, {m: grid[f"w_{m}"] for m in M.MODELS}, 1 / simplex_steps, sp=sp)
+    starts = B.grid_optima(B.simplex_scores(validation, M.MODELS, simplex_steps, sp=sp), M.MODELS, simplex_steps).collect()
+    fine = B.refine_weights(validation, M.MODELS, [{m: r[f"w_{m}"] for m in M.MODELS} for r in starts], 1 / simplex_steps, sp=sp)
     best = spark.createDataFrame([tuple(fine[m] for m in M.MODELS)], ", ".join(f"w_{m} double" for m in M.MODELS))
     blended = materialize(B.apply_weights(validation, M.MODELS, best, sp).withColumnRenamed("blend_log", "p_log"))
     shift = materialize(B.best_shift(B.shift_scores(blended, sp=sp), shrink))

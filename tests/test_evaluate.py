@@ -85,6 +85,28 @@ def test_blend_is_best_on_the_grid_and_refines(models):
     assert score(models, w) >= best["score"] - 1e-12
 
 
+def test_starts_are_the_grid_points_no_neighbour_beats(models):
+    scores = B.simplex_scores(models, MODELS, steps=10)
+    grid = {tuple(round(10 * r[f"w_{m}"]) for m in MODELS): r["score"] for r in scores.collect()}
+
+    def around(cell):
+        return [tuple(c + (j == a) - (j == b) for j, c in enumerate(cell)) for a in range(3) for b in range(3) if a != b]
+
+    tops = sorted((-s, cell) for cell, s in grid.items() if all(s >= grid.get(n, s) for n in around(cell)))[:5]
+    starts = B.grid_optima(scores, MODELS, steps=10).collect()
+    assert [tuple(round(10 * r[f"w_{m}"]) for m in MODELS) for r in starts] == [cell for _, cell in tops]
+    assert starts[0]["score"] == max(grid.values())
+
+
+def test_restarts_end_where_the_best_single_search_ends(models):
+    corners = [dict(zip(MODELS, map(float, row))) for row in np.eye(3)]
+    alone = [B.refine_weights(models, MODELS, c, step=0.25, min_step=0.03) for c in corners]
+    together = B.refine_weights(models, MODELS, corners, step=0.25, min_step=0.03)
+    assert together in alone
+    reached = [score(models, [w[m] for m in MODELS]) for w in alone]
+    assert score(models, [together[m] for m in MODELS]) == pytest.approx(max(reached), abs=1e-12)
+
+
 def test_shift_zero_is_the_raw_prediction(models):
     df = models.selectExpr("y_log", "m1 as p_log")
     shifts = B.shift_scores(df)
