@@ -936,6 +936,16 @@ def _(spark, d):
     return out(best, *[f"w_{m}" for m in STANDINS], "~r2", "~score")
 
 
+@query("blend_starts", "SELECT w_oof_a, w_oof_b, w_oof_forest, w_oof_c, " + rr("r2", "score") + """ FROM (
+    SELECT c.i / 20.0 AS w_oof_a, c.j / 20.0 AS w_oof_b, c.l / 20.0 AS w_oof_forest, c.m / 20.0 AS w_oof_c, c.r2, c.r2 - 0.01 * c.sq AS score
+    FROM cand c WHERE NOT EXISTS (SELECT 1 FROM cand n WHERE n.r2 - 0.01 * n.sq > c.r2 - 0.01 * c.sq
+      AND abs(n.i - c.i) + abs(n.j - c.j) + abs(n.l - c.l) + abs(n.m - c.m) = 2)
+    ORDER BY score DESC, c.i, c.j, c.l, c.m LIMIT 5)""")
+def _(spark, d):
+    scores = B.simplex_scores(materialize(oof(spark, d).where("fold = 0")), STANDINS)
+    return out(B.grid_optima(scores, STANDINS), *[f"w_{m}" for m in STANDINS], "~r2", "~score")
+
+
 @query("blend_apply", f"""
     SELECT o.Index, {r(O._from_log('b.w_oof_a * o.oof_a + b.w_oof_b * o.oof_b + b.w_oof_forest * o.oof_forest + b.w_oof_c * o.oof_c'), 'blend')}
     FROM oof o CROSS JOIN best b WHERE o.fold = 0""")
