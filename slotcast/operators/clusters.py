@@ -9,13 +9,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotcast.functions.geo import decode
+from slotcast.functions.geo import with_lat_lon
 from slotcast.operators.profile import grouped
 from slotcast.session import materialize
 from slotcast.spec import DEFAULT, Spec
 
 SEED_ROUNDS = 5
 MAX_ROUNDS = 100
+UNIT = 1e-9
 
 Point = tuple[float, float]
 
@@ -37,39 +38,60 @@ def fit_zones(coordinates: DataFrame, k: int, restarts: int = 10, seed: int = 42
     iteration moves the centres of all restarts that still change: the points are read once
     per iteration however many restarts there are, and k sums per restart come back. A
     centre without points stays. With fewer distinct points than k there are fewer centres.
+    The points are few bytes but many distances: they are stored once, in a part per core.
     """
-    points = coordinates.select("lat", "lon").where("lat is not null and lon is not null")
+    points = _spread_out(coordinates)
     candidates = _candidates(points, k, seed)
     if not candidates:
         return Zones([], 0.0, [])
     weights = {r["cluster"]: r["n"] for r in grouped(assign_centroid(points, candidates), ["cluster"], n="count(*)").collect()}
     runs = [_spread(candidates, weights, k, random.Random(seed + i)) for i in range(restarts)]
-    costs, moving = [0.0] * restarts, list(range(restarts))
+    judged, moving = list(runs), list(range(restarts))
     for _ in range(MAX_ROUNDS):
-        sums = _sums(points, {i: runs[i] for i in moving})
+        means = _means(points, {i: runs[i] for i in moving})
         still = []
         for i in moving:
-            before = runs[i]
-            runs[i] = [sums[i, c][:2] if (i, c) in sums else centre for c, centre in enumerate(before)]
-            costs[i] = sum(v[2] for (run, _), v in sums.items() if run == i)
-            if runs[i] != before:
+            judged[i] = runs[i]
+            runs[i] = [means.get((i, c), centre) for c, centre in enumerate(judged[i])]
+            if runs[i] != judged[i]:
                 still.append(i)
         moving = still
         if not moving:
             break
+    costs = _costs(points, judged)
     best = min(range(restarts), key=lambda i: (costs[i], i))
     return Zones(runs[best], costs[best], costs)
 
 
-def _sums(points: DataFrame, runs: dict[int, list[Point]]) -> dict[tuple[int, int], tuple[float, float, float]]:
-    """(run, centre) -> mean lat, mean lon and squared distances to the centre, of the points nearest to it."""
-    nearest = ", ".join(f"named_struct('run', {i}, 'near', {_nearest(centres)})" for i, centres in runs.items())
-    rows = points.selectExpr("lat", "lon", f"explode(array({nearest})) as r").selectExpr("r.run", "r.near.c", "r.near.d", "lat", "lon")
+def _spread_out(coordinates: DataFrame) -> DataFrame:
+    """The points with whole coordinates x, y in units of ``UNIT``, stored in as many parts as there are cores."""
+    points = coordinates.where("lat is not null and lon is not null").selectExpr(
+        "lat", "lon", f"cast(round(lat / {UNIT}) as bigint) as x", f"cast(round(lon / {UNIT}) as bigint) as y")
+    return materialize(points.repartition(points.sparkSession.sparkContext.defaultParallelism, "lat", "lon"))
+
+
+def _nearest_by_run(points: DataFrame, runs: dict[int, list[Point]], *keep: str) -> DataFrame:
+    """A row per point and run: ``run``, the nearest centre ``c`` and its squared distance ``d``."""
+    near = points.selectExpr(*keep, *[f"{_distances(centres)} as _d{i}" for i, centres in runs.items()])
+    near = near.selectExpr(*keep, *[x for i in runs for x in (f"_d{i}", f"array_min(_d{i}) as _m{i}")])
+    near = near.selectExpr(*keep, *[x for i in runs for x in (f"{_position(f'_d{i}', f'_m{i}')} as _c{i}", f"_m{i}")])
+    each = ", ".join(f"named_struct('run', {i}, 'c', _c{i}, 'd', _m{i})" for i in runs)
+    return near.selectExpr(*keep, f"explode(array({each})) as r").selectExpr("r.*", *keep)
+
+
+def _means(points: DataFrame, runs: dict[int, list[Point]]) -> dict[tuple[int, int], Point]:
+    """(run, centre) -> mean lat and lon of the points nearest to it."""
     # Whole multiples of a tiny unit add up to the same sum in any order, so a settled run is seen to be settled.
-    unit = 1e-9
-    found = grouped(rows, ["run", "c"], n="count(*)", d="sum(d)", lat=f"sum(cast(round(lat / {unit}) as decimal(38, 0)))",
-                    lon=f"sum(cast(round(lon / {unit}) as decimal(38, 0)))")
-    return {(r["run"], r["c"]): (float(r["lat"]) * unit / r["n"], float(r["lon"]) * unit / r["n"], r["d"]) for r in found.collect()}
+    found = grouped(_nearest_by_run(points, runs, "x", "y"), ["run", "c"], n="count(*)",
+                    lat="sum(cast(x as decimal(20, 0)))", lon="sum(cast(y as decimal(20, 0)))")
+    return {(r["run"], r["c"]): (float(r["lat"]) * UNIT / r["n"], float(r["lon"]) * UNIT / r["n"]) for r in found.collect()}
+
+
+def _costs(points: DataFrame, runs: list[list[Point]]) -> list[float]:
+    """Sum of squared distances of every run; runs with the same centres cost the same however the points are dealt."""
+    found = grouped(_nearest_by_run(points, dict(enumerate(runs))), ["run"], d="sum(cast(d as decimal(28, 18)))")
+    costs = {r["run"]: float(r["d"]) for r in found.collect()}
+    return [costs[i] for i in range(len(runs))]
 
 
 def _candidates(points: DataFrame, k: int, seed: int) -> list[Point]:
@@ -77,7 +99,7 @@ def _candidates(points: DataFrame, k: int, seed: int) -> list[Point]:
     first = points.orderBy(F.xxhash64(F.lit(seed), "lat", "lon"), "lat", "lon").limit(1).collect()
     chosen = [(r["lat"], r["lon"]) for r in first]
     for i in range(4 * SEED_ROUNDS) if chosen else ():
-        far = points.selectExpr("lat", "lon", f"{_nearest(chosen)}.d as d")
+        far = points.selectExpr("lat", "lon", f"array_min({_distances(chosen)}) as d")
         total = grouped(far, [], t="sum(d)").first()["t"]
         if not total or (i >= SEED_ROUNDS and len(chosen) >= k):
             break
@@ -99,28 +121,38 @@ def _spread(candidates: list[Point], weights: dict[int, int], k: int, rng: rando
     return centres
 
 
+def known_keys(train: DataFrame, test: DataFrame, sp: Spec = DEFAULT) -> DataFrame:
+    """One stored row per key of either frame with lat and lon (NULL where malformed); ``seen`` are those of training rows."""
+    both = train.selectExpr(sp.key, "true as seen").unionByName(test.selectExpr(sp.key, "false as seen"))
+    return materialize(with_lat_lon(grouped(both, [sp.key], seen="max(seen)"), sp.key))
+
+
 def spatial_clusters(
     train: DataFrame, test: DataFrame, sp: Spec = DEFAULT, k: int | None = None, restarts: int = 10, seed: int = 42
 ) -> DataFrame:
     """key -> geohash_cluster (string): zones fitted on training keys, other keys go to the nearest centre."""
-    seen = materialize(decode(train, sp).where("valid"))
-    zones = fit_zones(seen, k or sp.n_clusters, restarts, seed)
-    every = decode(train.select(sp.key).unionByName(test.select(sp.key)), sp).where("valid")
+    every = known_keys(train, test, sp).where("lat is not null")
+    zones = fit_zones(every.where("seen"), k or sp.n_clusters, restarts, seed)
     return assign_centroid(every, zones.centres).selectExpr(
         sp.key, "lat", "lon", "cast(cluster as string) as geohash_cluster"
     )
 
 
-def _nearest(centres: Sequence[Point]) -> str:
-    """SQL for the struct of squared distance and index of the nearest centre (the smaller index on ties)."""
-    each = [f"named_struct('d', (lat - ({lat!r}D)) * (lat - ({lat!r}D)) + (lon - ({lon!r}D)) * (lon - ({lon!r}D)), 'c', {i})"
-            for i, (lat, lon) in enumerate(centres)]
-    return f"least({', '.join(each)})" if len(each) > 1 else each[0]
+def _distances(centres: Sequence[Point]) -> str:
+    """SQL for the array of squared distances to the centres."""
+    return f"array({', '.join(f'(lat - ({lat!r}D)) * (lat - ({lat!r}D)) + (lon - ({lon!r}D)) * (lon - ({lon!r}D))' for lat, lon in centres)})"
+
+
+def _position(distances: str, least: str) -> str:
+    """SQL for the index of the smallest entry (the smaller index on ties; 0 without coordinates)."""
+    return f"cast(coalesce(array_position({distances}, {least}), 1) - 1 as int)"
 
 
 def assign_centroid(coordinates: DataFrame, centroids: Sequence[Point]) -> DataFrame:
     """Adds ``cluster``, the index of the nearest centroid (the smaller one on ties)."""
-    return coordinates.selectExpr("*", f"{_nearest(centroids)}.c as cluster" if centroids else "cast(null as int) as cluster")
+    if not centroids:
+        return coordinates.selectExpr("*", "cast(null as int) as cluster")
+    return coordinates.selectExpr("*", f"{_distances(centroids)} as _d").selectExpr("*", f"{_position('_d', 'array_min(_d)')} as cluster").drop("_d")
 
 
 def assign_centroid_table(coordinates: DataFrame, centroids: DataFrame) -> DataFrame:

@@ -122,3 +122,25 @@ def test_all_restarts_at_once_are_as_good_as_one_by_one(spark):
 def test_few_points(spark, data, k, n):
     zones = clusters.fit_zones(points(spark, data), k, restarts=2)
     assert len(zones.centres) == n and zones.cost == pytest.approx(0, abs=1e-9)
+
+
+def test_points_are_dealt_over_all_cores(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(clusters, "materialize", lambda df, *by: stored.append(materialize(df, *by)) or stored[-1])
+    rng = random.Random(2)
+    zones = clusters.fit_zones(points(spark, [(rng.random(), rng.random()) for _ in range(400)]).coalesce(1), 5, restarts=4)
+    assert stored[0].count() == 400 and stored[0].rdd.getNumPartitions() >= 4
+    assert zones.cost == min(zones.costs) and len(zones.costs) == 4
+
+
+def test_equal_restarts_cost_the_same(spark):
+    rng = random.Random(3)
+    data = [(c % 3 * 10 + rng.gauss(0, 0.01), c // 3 * 10 + rng.gauss(0, 0.01)) for c in range(9) for _ in range(30)]
+    zones = clusters.fit_zones(points(spark, data), 9)
+    assert zones.costs.count(zones.cost) > 1 and zones.centres == clusters.fit_zones(points(spark, data).repartition(7), 9).centres
+
+
+def test_no_coordinates_are_the_first_zone(spark):
+    df = spark.createDataFrame([("a", None, None), ("b", 5.0, 5.0)], "geohash string, lat double, lon double")
+    got = clusters.assign_centroid(df, [(1.0, 0.0), (5.0, 4.0)]).collect()
+    assert [r["cluster"] for r in got] == [0, 1]
