@@ -182,3 +182,13 @@ def test_an_absent_model_drops_out(spark):
     mixed = B.reblend(rows, {"a": 0.5, "b": 0.2, "c": 0.3}, ("a", "b", 0.25), required=("c",)).selectExpr("p_log", "0.25D * a + 0.75D * b as w").collect()
     dropped = B.reblend(rows, {"a": 0.5, "b": 0.2, "c": 0.3}, ("a", "b", 0.25)).selectExpr("p_log", "0.5D * a + 0.2D * b as w").collect()
     assert all(r["p_log"] == pytest.approx(r["w"]) for r in [*mixed, *dropped])
+
+
+def test_inputs_are_assembled_once_for_all_learners_and_fits(built, monkeypatch):
+    calls = []
+    monkeypatch.setattr(M, "_assemble", lambda df, columns, assemble=M._assemble: calls.append(len(columns)) or assemble(df, columns))
+    quick = M.ModelParams(boosting_rounds=1, min_final_rounds=1, forest_trees=1, depth_a=1, depth_b=1, depth_c=1, forest_depth=1)
+    done = M.train_ensemble(built, quick)
+    predicting = 2 * len(M.MODELS)  # labelled and unlabelled rows
+    assert len(calls) == len({tuple(c) for c in done.fold_models.inputs.values()}) + predicting
+    assert set(done.final_models.models) == set(M.MODELS)
