@@ -144,3 +144,10 @@ def test_no_coordinates_are_the_first_zone(spark):
     df = spark.createDataFrame([("a", None, None), ("b", 5.0, 5.0)], "geohash string, lat double, lon double")
     got = clusters.assign_centroid(df, [(1.0, 0.0), (5.0, 4.0)]).collect()
     assert [r["cluster"] for r in got] == [0, 1]
+
+
+def test_binning_computes_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    data = spark.sparkContext.parallelize([(i, float(i)) for i in range(50)], 2).map(lambda r: seen.add(1) or r)
+    got = search.binned(spark.createDataFrame(data, "Index bigint, v double"), ["v"], ["Index"], 8)
+    assert got.count() == 50 and seen.value == 50
