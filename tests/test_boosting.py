@@ -151,3 +151,11 @@ def test_binning_computes_its_rows_once(spark):
     data = spark.sparkContext.parallelize([(i, float(i)) for i in range(50)], 2).map(lambda r: seen.add(1) or r)
     got = search.binned(spark.createDataFrame(data, "Index bigint, v double"), ["v"], ["Index"], 8)
     assert got.count() == 50 and seen.value == 50
+
+
+def test_known_keys_are_one_row_each(spark):
+    train = spark.createDataFrame([("qp0000",), ("qp0000",), ("a!",)], "geohash string")
+    test = spark.createDataFrame([("qp0000",), ("qp0001",)], "geohash string")
+    got = {r["geohash"]: (r["seen"], r["lat"] is not None) for r in clusters.known_keys(train, test).collect()}
+    assert got == {"qp0000": (True, True), "qp0001": (False, True), "a!": (True, False)}
+    assert clusters.known_keys(train, test).count() == 3
