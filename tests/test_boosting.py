@@ -159,3 +159,42 @@ def test_known_keys_are_one_row_each(spark):
     got = {r["geohash"]: (r["seen"], r["lat"] is not None) for r in clusters.known_keys(train, test).collect()}
     assert got == {"qp0000": (True, True), "qp0001": (False, True), "a!": (True, False)}
     assert clusters.known_keys(train, test).count() == 3
+
+
+def test_the_plan_does_not_grow_with_the_centres(spark):
+    df, rng = points(spark, [(1, 1), (2, 2)]), random.Random(5)
+    plans = [clusters._nearest_by_run(df, {0: [(rng.random(), rng.random()) for _ in range(n)]})._jdf.queryExecution().optimizedPlan().toString()
+             for n in (2, 300)]
+    assert len(plans[1]) < len(plans[0]) + 50
+
+
+def test_nearest_centres_are_those_of_the_table(spark):
+    rng = random.Random(6)
+    df = points(spark, [(rng.randrange(6), rng.randrange(6)) for _ in range(200)])  # many ties
+    centres = [(rng.randrange(6) + 0.5, rng.randrange(6) + 0.5) for _ in range(7)]
+    found = {(r["run"], r["lat"], r["lon"]): (r["c"], r["d"]) for r in clusters._nearest_by_run(df, {3: centres, 4: centres[:2]}).collect()}
+    assert len(found) == 2 * df.distinct().count()
+    for run, some in ((3, centres), (4, centres[:2])):
+        for r in clusters.assign_centroid(df, some).collect():
+            least = min((r["lat"] - a) ** 2 + (r["lon"] - b) ** 2 for a, b in some)
+            assert found[run, r["lat"], r["lon"]] == (r["cluster"], least)
+
+
+def test_means_are_exact_far_from_the_origin(spark):
+    data = [(i * 10.0 ** 8 + s / 4, -i * 10.0 ** 8) for i in range(-3, 4) for s in range(100)]
+    whole = clusters._spread_out(points(spark, data))
+    centres = [(i * 10.0 ** 8, -i * 10.0 ** 8) for i in range(-3, 4)]
+    means = clusters._means(whole, {0: centres, 2: [*centres, (9e9, 9e9)]})
+    assert len(means) == 14  # a centre without points has none
+    for run in (0, 2):
+        assert [means[run, i] for i in range(7)] == [pytest.approx((a + 12.375, b), rel=1e-15) for a, b in centres]
+
+
+def test_predictions_are_stored_only_for_further_rounds(matrix, monkeypatch):
+    from slotcast.operators import boosting
+
+    stored = []
+    monkeypatch.setattr(boosting, "materialize", lambda df: stored.append(materialize(df)) or stored[-1])
+    fit = Boosting(matrix, PARAMS)
+    assert boost(fit, 2, None, 2) == 2 and not stored
+    assert boost(fit, 5, None, 2) == 5 and len(stored) == 2 and len(fit.losses) == 5
