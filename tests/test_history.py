@@ -11,6 +11,7 @@ import pytest
 from slotcast.plans import history as H
 from slotcast.plans import target_day
 from slotcast.plans.feature_matrix import build_features, feature_matrix
+from slotcast.session import materialize
 
 EPS = 1e-9
 
@@ -179,3 +180,16 @@ def test_temperature_levels_and_no_nulls(spark, observed):
     matrix = feature_matrix(built)
     assert matrix.dropna(subset=[c for c in matrix.columns if c != "fold"]).count() == 7
     assert "demand" not in matrix.columns
+
+
+def test_the_overall_row_is_not_carried_through_the_explode(observed):
+    rows = observed([("qp0000", 48, 0, 0.1), ("qp0000", 48, 15, 0.3), ("qp0001", 48, 15, 0.2), ("qp0001", 49, 30, 0.2)])
+    grid = H.observation_grid(H.stack_rows(rows, rows.where("false").drop("demand")))
+    prof = H.profile_of(grid)
+    wide = materialize(H.entities(rows.where("day = 48"), prof, H.key_classes(grid), H.needs_of(["profile_or_slot"])))
+    cell = H.cells(wide, prof, ["profile_or_slot"])
+    plan = cell.where("minute_of_day is not null")._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" not in plan[plan.index("Generate explode"):]
+    got = {(r["geohash"], r["minute_of_day"]): r["profile_or_slot"] for r in cell.collect()}
+    assert got == {("qp0000", 0): pytest.approx(0.1), ("qp0000", 15): pytest.approx(0.3), ("qp0001", 15): pytest.approx(0.2),
+                   ("qp0001", 30): pytest.approx(0.2)}
